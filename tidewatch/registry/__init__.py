@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with its SQL where SQL can say it."""
 
-from . import aggregates, incremental, joins, scalars, windows  # noqa: F401
+from . import aggregates, flows, incremental, joins, scalars, windows  # noqa: F401
 from .book import BOOK
 
 __all__ = ["BOOK"]

@@ -23,7 +23,7 @@ class BatchLog:
     def append(self, rows: DataFrame, batch: int) -> None:
         writer = rows.write.mode("overwrite")
         if self.day:
-            writer = writer.partitionBy(self.day)
+            writer = rows.hint("rebalance", self.day).write.mode("overwrite").partitionBy(self.day)
         writer.parquet(f"{self.folder}/batch={batch}")
 
     def read(self) -> DataFrame:

@@ -24,7 +24,7 @@ def publish_touched(log: BatchLog, touched: DataFrame, published: str, keys: Seq
     """
     rows = log.read().join(F.broadcast(touched), log.day, "left_semi")
     best = merge_revisions(rows, keys, order).drop("batch")
-    best.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(log.day).parquet(published)
+    best.hint("rebalance", log.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(log.day).parquet(published)
 
 
 def merge_stream(
