@@ -12,14 +12,28 @@ from .missing import col
 ISO = "yyyy-M-d"
 US = "M/d/yyyy"
 COMPACT = "yyyyMMdd"
-ANY_FORMATS = (ISO, US, COMPACT, "yyyy/M/d", "d-MMM-yyyy")
+YEAR_FIRST = (ISO, "yyyy/M/d", COMPACT)
+ANY_FORMATS = (*YEAR_FIRST, US, "d-MMM-yyyy")
 
+# What a text must look like for a format to be tried on it. Without this test
+# every misfit costs an exception inside the parser.
+SHAPES = {
+    ISO: r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    COMPACT: r"^\d{8}$",
+    US: r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-MMM-yyyy": r"^\d{1,2}-[A-Za-z]{3}-\d{4}$",
+}
 
-def parse_date(c: Column | str, formats: str | Sequence[str] = ISO) -> Column:
+
+def parse_date(c: Column | str, formats: str | Sequence[str] = YEAR_FIRST) -> Column:
     """Text to date by the first declared format that fits; else missing."""
-    formats = [formats] if isinstance(formats, str) else list(formats)
-    text = col(c).cast("string")
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    text = F.trim(col(c).cast("string"))
+    tries = []
+    for f in [formats] if isinstance(formats, str) else formats:
+        parsed = F.try_to_date(text, f)
+        tries.append(F.when(text.rlike(SHAPES[f]), parsed) if f in SHAPES else parsed)
+    return F.coalesce(*tries)
 
 
 def date_head(c: Column | str, formats: str | Sequence[str] = US, width: int = 10) -> Column:
@@ -44,10 +58,13 @@ def weekday(day: Column | str) -> Column:
     return F.date_format(col(day), "EEEE")
 
 
-def as_of_columns(day: str, latest: Column) -> dict[str, Column]:
-    """Latest date, the dates one and two weeks before it, and the flags against it."""
+def as_of_columns(day: str, latest: str = "max_date") -> dict[str, Column]:
+    """The dates one and two weeks before the latest date, and the flags against it.
+
+    The latest date is a column, not an expression: a scalar subquery is then
+    planned once and not once per flag.
+    """
     return {
-        "max_date": latest,
         "one_week_date": F.date_sub(latest, 7),
         "two_week_date": F.date_sub(latest, 14),
         "max_date_ind": is_latest(day, latest),

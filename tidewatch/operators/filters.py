@@ -35,15 +35,19 @@ def min_history(df: DataFrame, panel: Panel, rows: int = 8, name: str = "n_dates
     return df.withColumn(name, panel.size()).where(F.col(name) >= rows)
 
 
-def min_coverage(df: DataFrame, day: str, entities: int = 5, name: str = "n_states") -> DataFrame:
+def covered_days(df: DataFrame, day: str, entities: int = 5, name: str = "n_states") -> DataFrame:
+    """Days on which at least `entities` rows report, and how many do."""
+    return df.groupBy(day).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) >= entities)
+
+
+def min_coverage(df: DataFrame, day: str, entities: int = 5, name: str = "n_states", days: DataFrame | None = None) -> DataFrame:
     """Keep days on which at least `entities` rows report; their number stays in `name`.
 
     The counts are a map-side combined aggregate with one row per calendar day,
     which bounds what is broadcast. A window per day would instead move every
     entity of a day into one task.
     """
-    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) >= entities)
-    return df.join(F.broadcast(counts), day, "inner")
+    return df.join(F.broadcast(covered_days(df, day, entities, name) if days is None else days), day, "inner")
 
 
 def only_entities(df: DataFrame, key: str, entities: Iterable[str] | None) -> DataFrame:

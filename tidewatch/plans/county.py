@@ -12,6 +12,7 @@ from ..operators.dedupe import first_per_key
 from ..operators.enrich import lookup, overridden, repaired
 from ..operators.filters import min_history
 from ..operators.panel import Panel, with_latest
+from ..sources.staging import staged
 from . import constants as k
 
 COUNTY = ("stname", "ctyname")
@@ -141,40 +142,46 @@ def county_panel(feeds: dict[str, DataFrame]) -> DataFrame:
     """One row per county and day with ramp means, elections and vaccination.
 
     Exact repeats of a counter row go first, on six narrow columns and with
-    copies collapsing before the shuffle.
+    copies collapsing before the shuffle. The windows come before the other
+    dimensions, so what is shuffled and sorted by county stays narrow.
     """
     fact = named(counters(feeds["county_counters"]).distinct(), population(feeds["county_population"]))
-    wide = described(fact, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
-    panel = growth(changes(min_history(wide, PANEL, k.MIN_COUNTY_ROWS)))
+    panel = growth(changes(min_history(fact, PANEL, k.MIN_COUNTY_ROWS)))
     panel = with_latest(panel, PANEL, recent_cases="pos_7d_avg", recent_cases_1wk="lstwk_pos_7d_avg")
-    panel = lookup(panel, result_2020(feeds["election_2020"]), "fips")
+    panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
+    panel = lookup(panel, staged(result_2020(feeds["election_2020"]), "result_2020"), "fips")
     panel = lookup(panel, result_2016(feeds["election_2016"]), "fips")
     panel = panel.withColumn("result2016", overridden("result2016", "ctyname", {k.NEW_YORK_CITY: k.NYC_RESULT_2016}))
-    panel = panel.withColumns(as_of_columns("date", latest_day(fact)))
+    panel = panel.withColumn("max_date", latest_day(fact)).withColumns(as_of_columns("date"))
     panel = lookup(panel, regions(feeds["census_regions"]), "stname")
     return lookup(panel, vaccination(feeds["county_vaccination"]), "fips")
 
 
+def latest_by_code(rows: DataFrame) -> DataFrame:
+    """Latest day per code, from two columns of the feed. A row without a code has none."""
+    return rows.dropna(subset=["fips"]).groupBy("fips").agg(F.max("date").alias("max_date"))
+
+
 def county_panel_strict(feeds: dict[str, DataFrame]) -> DataFrame:
     """One row per county and day with strict means and the latest day per code.
 
     A county and day that repeats keeps the row with the smallest code and the
     highest counters.
     """
-    fact = named(counters(feeds["county_counters"]), population(feeds["county_population"]))
+    rows = counters(feeds["county_counters"])
+    fact = named(rows, population(feeds["county_population"]))
     one = first_per_key(
         fact, [*COUNTY, "date"], [F.col("fips").asc_nulls_last(), F.col("cases").desc_nulls_last(), F.col("deaths").desc_nulls_last()]
     )
-    wide = described(one, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
-    wide = lookup(wide, result_2016(feeds["election_2016"]).select("fips", "result2016"), "fips")
-    wide = wide.withColumn("result2016", overridden("result2016", "ctyname", {k.NEW_YORK_CITY: k.NYC_RESULT_2016}))
-    wide = lookup(wide, regions(feeds["census_regions"]).select("stname", "region"), "stname")
-    panel = changes(wide).withColumns(
+    panel = changes(one).withColumns(
         {
             "pos_7d_avg": PANEL.rolling_mean("new_cases", mode="strict"),
             "death_7d_avg": PANEL.rolling_mean("new_deaths", mode="strict"),
         }
     )
-    newest = one.groupBy("fips").agg(F.max("date").alias("_newest"))
-    panel = lookup(panel, newest, "fips").withColumns(as_of_columns("date", F.col("_newest"))).drop("_newest")
+    panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
+    panel = lookup(panel, result_2016(feeds["election_2016"]).select("fips", "result2016"), "fips")
+    panel = panel.withColumn("result2016", overridden("result2016", "ctyname", {k.NEW_YORK_CITY: k.NYC_RESULT_2016}))
+    panel = lookup(panel, regions(feeds["census_regions"]).select("stname", "region"), "stname")
+    panel = lookup(panel, latest_by_code(rows), "fips").withColumns(as_of_columns("date"))
     return panel.withColumn("fips", pad_code("fips"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import US, calendar_parts, in_last_week, is_latest, parse_date
@@ -10,7 +10,7 @@ from ..functions.missing import default_to, is_in, ratio_or_zero, split_by_share
 from ..functions.names import rename
 from ..operators.dedupe import first_per_key
 from ..operators.enrich import full_join_feeds, left_join_feeds, lookup, overridden, step_value
-from ..operators.filters import latest_of, min_coverage
+from ..operators.filters import covered_days, latest_of, min_coverage
 from ..operators.panel import Panel, zero_fill
 from ..sources.staging import staged
 from . import constants as k
@@ -37,11 +37,9 @@ def cases_and_deaths(raw: DataFrame, min_states: int = k.MIN_REPORTING) -> DataF
         }
     )
     panel = panel.withColumns({f"case_7d_avg_{w}_wks": PANEL.lag("new_case_7d_avg", 7 * w) for w in (1, 2, 3, 4)})
-    days = min_coverage(feed.select(*KEY).distinct(), "date", min_states)
-    newest = latest_of(days, "date")
-    return min_coverage(panel, "date", min_states, "n_states").withColumns(
-        {"case_death_date": newest, "one_wk_ago": F.date_sub(newest, 7), "two_wks_ago": F.date_sub(newest, 14)}
-    )
+    days = covered_days(feed.select(*KEY).distinct(), "date", min_states)
+    covered = min_coverage(panel, "date", days=days).withColumn("case_death_date", latest_of(days, "date"))
+    return covered.withColumns({"one_wk_ago": F.date_sub("case_death_date", 7), "two_wks_ago": F.date_sub("case_death_date", 14)})
 
 
 def vaccination(raw: DataFrame) -> DataFrame:
@@ -74,7 +72,7 @@ def places(df: DataFrame, census: DataFrame, population: DataFrame, hexes: DataF
 
 def imputed(df: DataFrame) -> DataFrame:
     """Last known values by date, zero tests inside the reporting window, refreshed test means."""
-    test_date = latest_of(df, "test_date")
+    df = df.withColumn("test_date", latest_of(df, "test_date"))
     df = df.withColumns(
         {
             "last_hosp": PANEL.last_known("currently_hospitalized"),
@@ -84,11 +82,10 @@ def imputed(df: DataFrame) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "test_date": test_date,
             "new_tests2": F.col("new_tests"),
             "new_tests_positive2": F.col("new_tests_positive"),
-            "new_tests": zero_fill("new_tests", "date", test_date),
-            "new_tests_positive": zero_fill("new_tests_positive", "date", test_date),
+            "new_tests": zero_fill("new_tests", "date", F.col("test_date")),
+            "new_tests_positive": zero_fill("new_tests_positive", "date", F.col("test_date")),
         }
     )
     df = df.withColumns(
@@ -101,13 +98,12 @@ def imputed(df: DataFrame) -> DataFrame:
     return df.withColumn("new_pos_tests_7d_avg_2wk", PANEL.lag("new_pos_tests_7d_avg", 14))
 
 
-def flagged(df: DataFrame, newest) -> DataFrame:
+def flagged(df: DataFrame, newest: Column) -> DataFrame:
     won = F.when(is_in("state", [k.NO_VOTE]), F.lit("NA")).when(is_in("state", k.STATES_2020), F.lit(k.PARTY_A)).otherwise(F.lit(k.PARTY_B))
-    return df.withColumns(
+    return df.withColumn("hosp_date", newest).withColumns(
         {
-            "hosp_date": newest,
-            "max_date_ind": is_latest("date", newest),
-            "lst_wk_flag": in_last_week("date", newest),
+            "max_date_ind": is_latest("date", "hosp_date"),
+            "lst_wk_flag": in_last_week("date", "hosp_date"),
             "elect20": won,
             **calendar_parts("date"),
         }

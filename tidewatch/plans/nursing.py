@@ -37,12 +37,12 @@ def weekly_totals(facilities: DataFrame) -> DataFrame:
 
 def against_all_deaths(weekly: DataFrame, all_deaths: DataFrame) -> DataFrame:
     """Deaths in homes and in all per state and week; the first week of a state is masked."""
-    cdc = all_deaths.select("tot_death", "state", _day(all_deaths, "submission_date", ANY_FORMATS[1:]).alias("date"))
+    cdc = all_deaths.select("tot_death", "state", _day(all_deaths, "submission_date", ANY_FORMATS).alias("date"))
     cdc = first_per_key(cdc, ["state", "date"], [F.col("tot_death").desc_nulls_last()])
     homes = weekly.select(
         F.col("new_covid_deaths").alias("new_deaths_nh"),
         F.col("provider_state").alias("state"),
-        _day(weekly, "week_ending", ANY_FORMATS[1:]).alias("date"),
+        _day(weekly, "week_ending", ANY_FORMATS).alias("date"),
     )
     both = left_join_feeds(homes, cdc, ["state", "date"])
     return both.select(

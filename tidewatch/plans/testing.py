@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ANY_FORMATS, parse_date
 from ..functions.missing import add_all, ratio, sum_or_zero
-from ..operators.filters import latest_of, min_coverage
+from ..operators.filters import covered_days, latest_of, min_coverage
 from ..operators.panel import Panel
 from ..operators.reshape import widen
 from . import constants as k
@@ -47,9 +47,8 @@ def tests_by_state(wide: DataFrame, min_states: int = k.MIN_REPORTING) -> DataFr
         )
         .withColumn("new_pos_tests_7d_avg_2wk", PANEL.lag("new_pos_tests_7d_avg", 14))
     )
-    covered = min_coverage(panel, "date", min_states)
-    days = min_coverage(wide.select("date"), "date", min_states)
-    return covered.withColumn("test_date", latest_of(days, "date"))
+    days = covered_days(wide, "date", min_states)
+    return min_coverage(panel, "date", days=days).withColumn("test_date", latest_of(days, "date"))
 
 
 def snapshot_totals(tests: DataFrame) -> DataFrame:

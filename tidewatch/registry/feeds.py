@@ -1,7 +1,8 @@
 """Feeds of the flows, made from the test tables, and the same in SQL.
 
 Counties stand for customers, states for nations, facilities for suppliers.
-Nothing is left out: every order and every line item reaches a feed.
+Nothing is left out: every order and every line item reaches a feed. A feed that a
+flow reads more than once is staged, as a stored feed would be.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from ..operators.dedupe import union_by_name
 from ..operators.enrich import lookup
 from ..operators.panel import Panel, build_panel
 from ..plans.hospital import ADULT, CHILD, ICU
+from ..sources.staging import staged
 from .tables import load, money, nations, nations_panel, orders_of_nations, rows, running, shipments
 
 
@@ -48,7 +50,7 @@ def county_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     high = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     mid = F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED")
     return {
-        "county_counters": union_by_name([counters, counters.where(F.col("cases") == 1)]),
+        "county_counters": staged(union_by_name([counters, counters.where(F.col("cases") == 1)]), "county_counters"),
         "county_population": customers.where(F.col("c_acctbal") >= 0).select(
             F.substring(code, 1, 6).alias("state"),
             F.substring(code, 7, 3).alias("county"),
@@ -63,8 +65,11 @@ def county_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             F.col("c_nationkey").cast("string").alias("area_in_square_miles_total_area"),
         ),
         "census_regions": census(spark, sf, "n_name"),
-        "election_2016": orders.groupBy(F.col("o_custkey").alias("combined_fips")).agg(
-            rows(high).cast("double").alias("votes_dem"), rows(~high).cast("double").alias("votes_gop")
+        "election_2016": staged(
+            orders.groupBy(F.col("o_custkey").alias("combined_fips")).agg(
+                rows(high).cast("double").alias("votes_dem"), rows(~high).cast("double").alias("votes_gop")
+            ),
+            "election_2016",
         ),
         "election_2020": orders.select(
             F.when(F.col("o_orderstatus") != "P", F.lit("President")).otherwise(F.lit("Senate")).alias("race"),
@@ -128,9 +133,10 @@ def test_results(spark: SparkSession, sf: str) -> DataFrame:
     panel = build_panel(orders_of_nations(spark, sf), ["c_nationkey", "o_orderstatus"], F.col("o_orderdate"), "date", new_results_reported=rows())
     counted = panel.withColumn("total_results_reported", running(Panel(("c_nationkey", "o_orderstatus"), "date"), "new_results_reported"))
     outcome = F.create_map(*[F.lit(x) for pair in OUTCOME_OF.items() for x in pair])[F.col("o_orderstatus")]
-    return lookup(counted, nations(spark, sf, "c_nationkey", "state"), "c_nationkey").select(
+    feed = lookup(counted, nations(spark, sf, "c_nationkey", "state"), "c_nationkey").select(
         "state", "date", outcome.alias("overall_outcome"), "new_results_reported", "total_results_reported"
     )
+    return staged(feed, "test_results")
 
 
 TEST_CTE = """
@@ -209,7 +215,7 @@ def hospital_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame,
 
     newest = daily(lines.where(F.col("l_returnflag") == "R"), 7).withColumn("source_rank", F.lit(0))
     older = daily(lines.where(F.col("l_returnflag") != "N"), 12).withColumn("source_rank", F.lit(1))
-    return by_day(lines, "date", 0), union_by_name([newest, older]), daily(lines, 20)
+    return staged(by_day(lines, "date", 0), "hospital_series"), union_by_name([newest, older]), daily(lines, 20)
 
 
 # Fixed values of the test: days and states to correct
@@ -243,7 +249,7 @@ HOSPITAL_CTE = f"""
 def cases_deaths(spark: SparkSession, sf: str) -> DataFrame:
     panel = nations_panel(spark, sf).select(F.col("n_name").alias("state"), "d", "n", "n_f")
     by_state = Panel(("state",), "d")
-    return panel.select(
+    feed = panel.select(
         "state",
         F.date_format("d", "MM/dd/yyyy").alias("submission_date"),
         running(by_state, "n").cast("double").alias("tot_cases"),
@@ -251,6 +257,7 @@ def cases_deaths(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n").cast("double").alias("new_case"),
         F.col("n_f").cast("double").alias("new_death"),
     )
+    return staged(feed, "cases_deaths")
 
 
 CASES_CTE = """

@@ -12,7 +12,7 @@ from ..sources.staging import staged
 from . import feeds
 from .book import query, rounded
 from .feeds import CASES_CTE, COUNTY_SQL, HOSPITAL_CTE, NURSING_CTE, TEST_CTE, VAX_CTE
-from .tables import NATIONS_SQL, SHIPMENTS_SQL, change_sql, lag_sql, nations_panel, over, ramp_sql, shipments_panel, strict_sql
+from .tables import NATIONS_SQL, SHIPMENTS_SQL, change_sql, lag_sql, nations_panel, over, ramp_sql, running, shipments_panel, strict_sql
 
 C = "stname, ctyname"
 S = "state"
@@ -196,8 +196,7 @@ def history(spark: SparkSession, panel: DataFrame) -> DataFrame:
     per_year = panel.groupBy("state", F.year("date").alias("y")).agg(
         F.coalesce(F.sum("new_tests"), F.lit(0)).alias("t"), F.coalesce(F.sum("new_tests_positive"), F.lit(0)).alias("p"), F.max("date").alias("date")
     )
-    so_far = federal.PANEL.ordered.rowsBetween(-1000, 0)
-    runs = per_year.select("state", F.sum("t").over(so_far).alias("total_tests"), F.sum("p").over(so_far).alias("total_pos_tests"), "date")
+    runs = per_year.select("state", running(federal.PANEL, "t").alias("total_tests"), running(federal.PANEL, "p").alias("total_pos_tests"), "date")
     return testing.history_changes(testing.accumulate(runs, testing.snapshot_totals(panel)))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import buckets, join_code, pad_code
-from ..functions.dates import ANY_FORMATS, COMPACT, as_of_columns, calendar_parts, date_head, in_last_week, parse_date, weekday
+from ..functions.dates import ANY_FORMATS, COMPACT, ISO, as_of_columns, calendar_parts, date_head, in_last_week, parse_date, weekday
 from ..functions.missing import clip, number, rate_per
 from ..operators.enrich import lookup
 from ..operators.filters import latest_of
@@ -61,7 +61,7 @@ def date_parse_multi(spark: SparkSession, sf: str) -> DataFrame:
         parse_date("t", ANY_FORMATS).alias("any_date"),
         parse_date("t", "M/d/yyyy").alias("us_date"),
         parse_date("t", COMPACT).alias("compact_date"),
-        parse_date("t").alias("iso_date"),
+        parse_date("t", ISO).alias("iso_date"),
         date_head("stamp").alias("head_date"),
         number("k", "long").alias("key_number"),
     )
@@ -78,7 +78,7 @@ SELECT event_type, d, n, max_date, max_date - 7 AS one_week_date, max_date - 14
 )
 def date_flags(spark: SparkSession, sf: str) -> DataFrame:
     newest = latest_of(load(spark, sf, "events").select(F.to_date("ts").alias("d")), "d")
-    panel = events_panel(spark, sf).drop("v").withColumns(as_of_columns("d", newest))
+    panel = events_panel(spark, sf).drop("v").withColumn("max_date", newest).withColumns(as_of_columns("d"))
     return panel.withColumn("lst_wk_flag", in_last_week("d", "max_date"))
 
 
