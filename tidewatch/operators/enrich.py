@@ -91,7 +91,9 @@ def _left_hot_safe(fact: DataFrame, dim: DataFrame, on: list[str], payload: list
         apart = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on], apart)
     place = F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), F.lit(limits.spread)) + 1
     spread = marked.withColumn("_place", F.when(apart, place).otherwise(F.lit(0).cast("long")))
-    cold = dim.select(*on, F.lit(0).cast("long").alias("_place"), F.struct(*payload).alias("_cold"))
+    # always 0, but computed: Catalyst would take a literal out of the join key and undo the spread
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
+    cold = dim.select(*on, zero.alias("_place"), F.struct(*payload).alias("_cold"))
     joined = _left(spread, cold, [*on, "_place"], null_safe)
     return joined.select(*fact.columns, *[F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in payload])
 

@@ -241,7 +241,7 @@ HOSPITAL_CTE = f"""
  hosp0 AS (SELECT * EXCLUDE (source_rank) REPLACE (
      CASE WHEN {' OR '.join(f"(state = '{s}' AND date = DATE '{d}')" for s, d in CARRY)}
        THEN lag(currently_hospitalized) OVER w ELSE currently_hospitalized END AS currently_hospitalized,
-     CASE WHEN state = '{ICU_FIX[0]}' AND date > DATE '{ICU_FIX[1]}' AND date < DATE '{ICU_FIX[2]}' THEN {ICU_FIX[3]}.0 ELSE {ICU} END AS {ICU})
+     CASE WHEN state = '{ICU_FIX[0]}' AND date > DATE '{ICU_FIX[1]}' AND date < DATE '{ICU_FIX[2]}' THEN CAST({ICU_FIX[3]} AS DOUBLE) ELSE {ICU} END AS {ICU})
      FROM one WINDOW w AS (PARTITION BY state ORDER BY date))"""
 
 

@@ -150,7 +150,7 @@ HOSP_CTE = f"""{HOSPITAL_CTE},
      inpatient_beds_used - {lag_sql('inpatient_beds_used', 1, S, 'date')} AS total_hosp_change,
      {ICU} - {lag_sql(ICU, 1, S, 'date')} AS raw_icu, {ramp_sql('new_admit', S, 'date')} AS new_admit_7d_avg,
      {lag_sql('currently_hospitalized', 7, S, 'date')} AS currently_hospitalized_1wk, {lag_sql('new_admit', 7, S, 'date')} AS adm_1_wk FROM hosp0),
- hosp AS (SELECT * EXCLUDE (raw_icu), CASE WHEN raw_icu > 500 THEN 500.0 WHEN raw_icu < -500 THEN -500.0 ELSE raw_icu END AS icu_change,
+ hosp AS (SELECT * EXCLUDE (raw_icu), CAST(CASE WHEN raw_icu > 500 THEN 500 WHEN raw_icu < -500 THEN -500 ELSE raw_icu END AS DOUBLE) AS icu_change,
      {lag_sql('new_admit_7d_avg', 7, S, 'date')} AS new_admit_avg_1wk FROM hosp1)"""
 
 
