@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import folded
 from ..functions.missing import col
+from ..sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -75,13 +76,15 @@ def _left_hot_safe(fact: DataFrame, dim: DataFrame, on: list[str], payload: list
     """Shuffle join that no single key can overload.
 
     Keys above the hot share number at most 1 / hot_share, so their dimension
-    rows are safe to broadcast. Rows already served that way, and rows whose
+    rows are safe to broadcast. They are found by one pass over the key columns
+    and written down, as two later steps need them. Rows already served that way, and rows whose
     key is missing, are then spread over the shuffle instead of following
     their key into one task. The spread depends on the row and its task only,
     so a re-run task sends every row to the same place.
     """
     total = fact.agg(F.count(F.lit(1))).scalar()
-    hot_keys = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > total * limits.hot_share).select(*on)
+    per_key = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot_keys = staged(per_key.where(F.col("_n") > total * limits.hot_share).select(*on), "hot_keys")
     hot_rows = _semi(dim, F.broadcast(hot_keys), on, null_safe).select(*on, F.struct(*payload).alias("_hot"))
     hot = _left(hot_keys.withColumn("_is_hot", F.lit(True)), F.broadcast(hot_rows), on, null_safe)
     marked = _left(fact, F.broadcast(hot), on, null_safe)

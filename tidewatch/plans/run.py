@@ -15,7 +15,7 @@ from ..functions.missing import number
 from ..operators.dedupe import union_by_name
 from ..schemas import TEST_HISTORY
 from ..sources.delimited import typed
-from ..sources.extracts import write_extract
+from ..sources.extracts import write_extract, write_table
 from ..sources.landing import Landing
 from ..sources.staging import staged
 from . import county, federal, hospital, nursing, testing, trend
@@ -72,11 +72,20 @@ def extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, DataFrame]
     return made
 
 
+def publish(df: DataFrame, out: str, name: str) -> None:
+    """A daily panel becomes a table by year first; its flat extract is then read from there."""
+    if "date" in df.columns:
+        table = os.path.join(out, "tables", name)
+        write_table(df, table, "date")
+        df = df.sparkSession.read.schema(df.schema).parquet(table)
+    write_extract(df, os.path.join(out, name))
+
+
 def main(landing: str, out: str, wanted: set[str] | None = None) -> None:
     spark = SparkSession.builder.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     wanted = wanted or {"county", "strict", "trend", "federal", "ages", "nursing"}
     for name, df in extracts(Landing(spark, landing), out, wanted).items():
-        write_extract(df, os.path.join(out, name))
+        publish(df, out, name)
 
 
 if __name__ == "__main__":
