@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.plans import county, federal, hospital, run, testing, trend
-from tidewatch.schemas import ADMISSIONS
+from tidewatch.schemas import ADMISSIONS, TEST_HISTORY
+from tidewatch.sources.delimited import read_feed
 from tidewatch.sources.landing import Landing
 
 DAYS = [dt.date(2021, 10, 1) + dt.timedelta(days=i) for i in range(40)]
@@ -172,11 +173,11 @@ def test_county_changes_means_and_growth(panels):
 
 def test_county_elections_density_vaccination(panels):
     row = pick(panels["county_panel"], fips=1001, date=DAYS[0])
-    assert (row["biden"], row["trump"], row["total_votes"], row["biden_pct"], row["biden_pct_bucket"]) == (46.0, 54.0, 100.0, 0.46, "Biden +/- 10")
+    assert (row["Biden"], row["Trump"], row["total_votes"], row["biden_pct"], row["biden_pct_bucket"]) == (46.0, 54.0, 100.0, 0.46, "Biden +/- 10")
     assert (row["result2016"], row["full_vax_bin"], row["series_complete_pop_pct"]) == ("Red", "50-60", 50.0)
     assert row["pop_density"] == 54571 / 594.44 and row["msaname"] == "MONTGOMERY, AL"
     other = pick(panels["county_panel"], fips=35013, date=DAYS[0])
-    assert (other["biden"], other["trump"], other["total_votes"], other["biden_pct_bucket"], other["full_vax_bin"]) == (3.0, None, None, None, None)
+    assert (other["Biden"], other["Trump"], other["total_votes"], other["biden_pct_bucket"], other["full_vax_bin"]) == (3.0, None, None, None, None)
 
 
 def test_strict_county_panel(panels):
@@ -271,6 +272,29 @@ def test_a_second_run_of_the_day_adds_nothing(landing, out, panels):
     assert again.count() == len(panels["federal_state"])
 
 
+def test_reports_and_imported_history(landing, tmp_path, spark):
+    write(tmp_path, "test_history.csv", ["state", "total_tests", "total_pos_tests", "date"], [["NY", "100", "5", "2021-09-30"]])
+    landing.opened["test_history"] = read_feed(spark, str(tmp_path / "test_history.csv"), TEST_HISTORY)
+    made = run.extracts(landing, str(tmp_path), {"county", "federal", "reports", "history"})
+    fresh = {r["feed"]: r["last_date"] for r in made["freshness"].collect()}
+    assert fresh == {"hospital": DAYS[-1] + dt.timedelta(days=3), "cases": DAYS[-2], "tests": DAYS[-2]}
+    checks = {r["check"]: (r["n_rows"], r["n_distinct"]) for r in made["uniqueness"].collect()}
+    assert checks["county counters"] == (129, 127) and checks["metro crosswalk"] == (2, 1) and checks["election 2020"] == (6, 4)
+    assert {r["stname"]: r["n"] for r in made["rows_by_state"].collect()} == {"Alabama": 40, "New Mexico": 40, "New York": 40}
+    week = made["hospital_last_week"].orderBy("day").collect()
+    assert len(week) == 8 and week[0]["change"] is None
+    ny = made["federal_state"].where("state = 'NY' AND new_reported_tests IS NOT NULL").collect()
+    assert [(r["date"], r["new_reported_tests"]) for r in ny] == [(DAYS[-2], 39 * 100.0 - 100)]
+
+
+def test_publishing_writes_a_table_and_an_extract(spark, frame, tmp_path):
+    df = frame([("NY", "2021-12-31", 1), ("NY", "2022-01-01", 2)], "state string, date date, x int")
+    run.publish(df, str(tmp_path), "p")
+    assert spark.read.parquet(str(tmp_path / "tables" / "p")).where("year_part = 2022").count() == 1
+    back = read_feed(spark, str(tmp_path / "p"), {"state": "string", "date": "date", "x": "int"})
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_pediatric_totals_do_not_count_beside_their_parts(frame):
     names = [f"{PREFIX}pediatric_covid_confirmed{x}" for x in ("", "_0_4", "_5_11")]
     df = frame([("NY", "2021-01-01", 10, 4, 6)], f"state string, date date, {', '.join(f'{n} int' for n in names)}")
@@ -298,7 +322,7 @@ def test_trend_without_values_has_no_peak(frame):
 def test_votes_all_missing_count_zero(frame):
     df = frame([("President", 1, "Biden", None), ("President", 1, "Trump", 3.0)], "race string, fips5 long, lname string, votes double")
     row = county.result_2020(df).first()
-    assert (row["biden"], row["trump"], row["total_votes"], row["biden_pct"]) == (0.0, 3.0, 3.0, 0.0)
+    assert (row["Biden"], row["Trump"], row["total_votes"], row["biden_pct"]) == (0.0, 3.0, 3.0, 0.0)
 
 
 def test_variant_steps(frame):

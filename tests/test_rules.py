@@ -168,8 +168,9 @@ def test_codes(spark):
         codes.join_code(F.lit("01"), null).alias("e"),
         codes.two_way_label(F.lit(2), F.lit(1), "Blue", "Red").alias("f"),
         codes.two_way_label(F.lit(None).cast("int"), F.lit(1), "Blue", "Red").alias("g"),
+        codes.two_way_label(F.lit(None).cast("int"), F.lit(1), "Blue", "Red", True).alias("h"),
     )
-    assert tuple(row) == ("00012", "01001", "123456", None, None, "Blue", None)
+    assert tuple(row) == ("00012", "01001", "123456", None, None, "Blue", None, "Red")
 
 
 def test_buckets(spark):

@@ -21,9 +21,12 @@ def pad_code(c: Column | str, width: int = 5) -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
-def two_way_label(a: Column | str, b: Column | str, higher: str, lower: str) -> Column:
-    """`higher` where a > b, else `lower`; missing if either side is missing."""
-    return if_else_null(col(a) > col(b), F.lit(higher), F.lit(lower))
+def two_way_label(a: Column | str, b: Column | str, higher: str, lower: str, missing_is_lower: bool = False) -> Column:
+    """`higher` where a > b, else `lower`; missing if either side is missing, or `lower` if so asked."""
+    more = col(a) > col(b)
+    if missing_is_lower:
+        return F.when(more, F.lit(higher)).otherwise(F.lit(lower))
+    return if_else_null(more, F.lit(higher), F.lit(lower))
 
 
 def buckets(c: Column | str, rules: Sequence[tuple[float | None, str]]) -> Column:

@@ -43,12 +43,12 @@ def regions(raw: DataFrame) -> DataFrame:
     return raw.withColumnRenamed("state", "stname")
 
 
-def result_2016(raw: DataFrame) -> DataFrame:
+def result_2016(raw: DataFrame, missing_is_lower: bool = False) -> DataFrame:
     return raw.select(
         number("combined_fips", "long").alias("fips"),
         "votes_dem",
         "votes_gop",
-        two_way_label("votes_dem", "votes_gop", "Blue", "Red").alias("result2016"),
+        two_way_label("votes_dem", "votes_gop", "Blue", "Red", missing_is_lower).alias("result2016"),
     )
 
 
@@ -61,9 +61,9 @@ def result_2020(raw: DataFrame) -> DataFrame:
     votes = raw.where(is_in("race", [k.RACE]) & F.col("fips5").isNotNull() & is_in("lname", [k.PARTY_A, k.PARTY_B]))
 
     def of(party: str) -> Column:
-        return F.sum(F.when(F.col("lname") == party, F.coalesce("votes", F.lit(0)))).alias(party.lower())
+        return F.sum(F.when(F.col("lname") == party, F.coalesce("votes", F.lit(0)))).alias(party)
 
-    a, b = k.PARTY_A.lower(), k.PARTY_B.lower()
+    a, b = k.PARTY_A, k.PARTY_B
     wide = votes.groupBy(F.col("fips5").cast("long").alias("fips")).agg(of(k.PARTY_A), of(k.PARTY_B))
     return (
         wide.withColumn("total_votes", add_all(a, b))
@@ -180,8 +180,8 @@ def county_panel_strict(feeds: dict[str, DataFrame]) -> DataFrame:
         }
     )
     panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
-    panel = lookup(panel, result_2016(feeds["election_2016"]).select("fips", "result2016"), "fips")
+    votes = result_2016(feeds["election_2016"], missing_is_lower=True).select("fips", "result2016")
+    panel = lookup(panel, votes, "fips")
     panel = panel.withColumn("result2016", overridden("result2016", "ctyname", {k.NEW_YORK_CITY: k.NYC_RESULT_2016}))
-    panel = lookup(panel, regions(feeds["census_regions"]).select("stname", "region"), "stname")
     panel = lookup(panel, latest_by_code(rows), "fips").withColumns(as_of_columns("date"))
     return panel.withColumn("fips", pad_code("fips"))

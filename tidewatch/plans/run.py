@@ -1,6 +1,8 @@
 """Build the extracts from a landing folder.
 
-    python -m tidewatch.plans.run LANDING OUT [county strict trend federal ages nursing]
+    python -m tidewatch.plans.run LANDING OUT [county strict trend federal ages nursing reports history]
+
+`history` also takes in the snapshots of an earlier system, from test_history.csv.
 """
 
 from __future__ import annotations
@@ -11,14 +13,15 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.missing import number
+from ..functions.dates import parse_date
 from ..operators.dedupe import union_by_name
+from ..operators.quality import frequency
 from ..schemas import TEST_HISTORY
 from ..sources.delimited import typed
 from ..sources.extracts import write_extract, write_table
 from ..sources.landing import Landing
 from ..sources.staging import staged
-from . import county, federal, hospital, nursing, testing, trend
+from . import county, federal, hospital, nursing, reports, testing, trend
 
 COUNTY_FEEDS = (
     "county_counters", "county_population", "metro_crosswalk", "density", "census_regions", "election_2016", "election_2020",
@@ -26,45 +29,67 @@ COUNTY_FEEDS = (
 )
 
 
-def snapshot_history(spark: SparkSession, folder: str, today: DataFrame) -> DataFrame:
+SNAPSHOT = ("state", "total_tests", "total_pos_tests", "date")
+
+
+def snapshot_history(spark: SparkSession, folder: str, today: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """All snapshots so far; today's is added in a folder of its own, so nothing is rewritten."""
     today = staged(today, "snapshot")
     newest = today.agg(F.max("date")).first()[0]
     today.write.mode("overwrite").parquet(f"{folder}/snapshot={newest}")
-    kept = spark.read.schema("state string, total_tests double, total_pos_tests double, date date").parquet(folder)
-    return testing.history_changes(kept.select("state", "total_tests", "total_pos_tests", "date").distinct())
+    kept = spark.read.schema("state string, total_tests double, total_pos_tests double, date date").parquet(folder).select(*SNAPSHOT)
+    return testing.history_changes(testing.accumulate(earlier, kept))
 
 
 def imported_history(raw: DataFrame) -> DataFrame:
     """History kept as text by an earlier system."""
-    return typed(raw, TEST_HISTORY).withColumn("date", F.try_to_date("date", "yyyy-M-d")).select(
-        "state", number("total_tests").alias("total_tests"), number("total_pos_tests").alias("total_pos_tests"), "date"
-    )
+    return typed(raw, TEST_HISTORY).withColumn("date", parse_date("date")).select(*SNAPSHOT)
 
 
-def federal_extracts(feeds: Landing, out: str) -> dict[str, DataFrame]:
+def federal_extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, DataFrame]:
     spark = feeds.spark
+    earlier = imported_history(feeds["test_history"]) if "history" in wanted else None
     tests = staged(testing.tests_by_state(testing.tests_wide(feeds["test_results"])), "tests")
-    history = snapshot_history(spark, f"{out}/snapshots", testing.snapshot_totals(tests).select("state", "total_tests", "total_pos_tests", "date"))
+    history = snapshot_history(spark, f"{out}/snapshots", testing.snapshot_totals(tests).select(*SNAPSHOT), earlier)
     beds = staged(hospital.hospital_panel(feeds["hospital_series"], feeds["hospital_archives"], feeds["hospital_daily"]), "hospital")
     cases = federal.cases_and_deaths(feeds["cases_deaths"])
     panel = federal.federal_panel(
         cases, tests, beds, history, federal.vaccination(feeds["state_vaccination"]),
         feeds["census_regions"], feeds["state_population"], feeds["hex_grid"],
     )
-    return {"federal_state": panel, "admissions_ages": hospital.admissions_by_age(beds)}
+    made = {"federal_state": panel, "admissions_ages": hospital.admissions_by_age(beds)}
+    if "reports" in wanted:
+        made["freshness"] = reports.federal_freshness(panel, beds)
+        made["hospital_last_week"] = reports.last_week(beds, "date", "currently_hospitalized").withColumnRenamed("date", "day")
+    return made
+
+
+def county_checks(feeds: Landing) -> DataFrame:
+    """Whether the feeds hold a key once: whole counter rows, counties and days, votes, states and days."""
+    return reports.uniqueness(
+        {
+            "county counters": (feeds["county_counters"], None),
+            "county and day": (feeds["county_counters"], ["state", "county", "date"]),
+            "metro crosswalk": (feeds["metro_crosswalk"], None),
+            "election 2016": (feeds["election_2016"], None),
+            "election 2020": (feeds["election_2020"], ["fips5", "lname"]),
+        }
+    )
 
 
 def extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, DataFrame]:
     made: dict[str, DataFrame] = {}
     if "county" in wanted:
         made["county_panel"] = county.county_panel(feeds.load(*COUNTY_FEEDS))
+        if "reports" in wanted:
+            made["uniqueness"] = county_checks(feeds)
+            made["rows_by_state"] = frequency(made["county_panel"], "stname")
     if "strict" in wanted:
         made["county_panel_strict"] = county.county_panel_strict(feeds.load(*COUNTY_FEEDS))
     if "trend" in wanted:
         made["state_trend"] = trend.state_trend(feeds["state_tracking"])
     if wanted & {"federal", "ages"}:
-        made |= federal_extracts(feeds, out)
+        made |= federal_extracts(feeds, out, wanted)
     if "nursing" in wanted:
         weekly = nursing.weekly_totals(feeds["nursing_homes"])
         made["nursing_weekly"] = weekly
@@ -83,7 +108,7 @@ def publish(df: DataFrame, out: str, name: str) -> None:
 
 def main(landing: str, out: str, wanted: set[str] | None = None) -> None:
     spark = SparkSession.builder.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    wanted = wanted or {"county", "strict", "trend", "federal", "ages", "nursing"}
+    wanted = wanted or {"county", "strict", "trend", "federal", "ages", "nursing", "reports"}
     for name, df in extracts(Landing(spark, landing), out, wanted).items():
         publish(df, out, name)
 

@@ -24,22 +24,29 @@ def whole(c: str) -> Column:
 
 
 # counties ---------------------------------------------------------------------------
-def county_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    customers = lookup(
-        load(spark, sf, "customer"), nations(spark, sf, "c_nationkey"), "c_nationkey"
-    )
-    orders = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
-    key = F.col("c_custkey")
-    city = F.when(key == 1, F.lit("New York City")).otherwise(F.col("c_name"))
+def customers_of_nations(spark: SparkSession, sf: str) -> DataFrame:
+    return lookup(load(spark, sf, "customer"), nations(spark, sf, "c_nationkey"), "c_nationkey")
+
 
+def county_counters(spark: SparkSession, sf: str, customers: DataFrame) -> DataFrame:
+    """Orders so far per customer and day. One customer stands for a city without a code; first days come twice."""
+    orders = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderstatus")
     panel = build_panel(orders, ["o_custkey"], F.col("o_orderdate"), "date", n=rows(), f=rows(F.col("o_orderstatus") == "F"))
     by_customer = Panel(("o_custkey",), "date")
     counted = panel.select("o_custkey", "date", running(by_customer, "n").alias("cases"), running(by_customer, "f").alias("deaths"))
+    key = F.col("c_custkey")
+    city = F.when(key == 1, F.lit("New York City")).otherwise(F.col("c_name"))
     names = customers.select(key.alias("o_custkey"), city.alias("county"), F.col("n_name").alias("state"))
     counters = lookup(counted, names, "o_custkey").select(
         "date", "county", "state", F.when(F.col("o_custkey") != 1, F.col("o_custkey")).alias("fips"), "cases", "deaths"
     )
+    return staged(union_by_name([counters, counters.where(F.col("cases") == 1)]), "county_counters")
+
 
+def county_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    customers = customers_of_nations(spark, sf)
+    orders = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    key = F.col("c_custkey")
     code = F.lpad(key.cast("string"), 9, "0")
     pct = F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100).cast("string")).otherwise(F.lit("n/a"))
     vax = customers.select(key.cast("string").alias("fips"), pct.alias("series_complete_pop_pct"), "c_mktsegment")
@@ -50,7 +57,7 @@ def county_feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     high = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     mid = F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED")
     return {
-        "county_counters": staged(union_by_name([counters, counters.where(F.col("cases") == 1)]), "county_counters"),
+        "county_counters": county_counters(spark, sf, customers),
         "county_population": customers.where(F.col("c_acctbal") >= 0).select(
             F.substring(code, 1, 6).alias("state"),
             F.substring(code, 7, 3).alias("county"),

@@ -50,7 +50,7 @@ RESULT_SQL = """CASE WHEN ctyname = 'New York City' THEN 'Blue' WHEN votes_dem >
 SELECT date, fips, stname, ctyname, cases, deaths, cbsaname, msaname, n_dates, cases_prior, new_cases, deaths_prior, new_deaths,
  {r6('pop', 'pop_density', 'caseper1k', 'deathper1k', 'pos_7d_avg', 'death_7d_avg', 'lstwk_pos_7d_avg', 'lstwk_death_7d_avg', 'deaths_incr_week',
      'pos_incr_week', 'case_7d_15', 'case_yest', 'death_yest', 'recent_cases', 'recent_cases_1wk')},
- biden, trump, total_votes, round(biden_pct, 6) AS biden_pct,
+ biden AS "Biden", trump AS "Trump", total_votes, round(biden_pct, 6) AS biden_pct,
  CASE WHEN biden_pct <= 0.45 THEN 'Trump +10 or more' WHEN biden_pct < 0.55 THEN 'Biden +/- 10' WHEN biden_pct >= 0.55 THEN 'Biden + 10 or more' END AS biden_pct_bucket,
  votes_dem, votes_gop, {RESULT_SQL} AS result2016, {asof_sql('newest')}, state_code, region, division, series_complete_pop_pct,
  CASE WHEN series_complete_pop_pct >= 70 THEN '70-100' WHEN series_complete_pop_pct >= 60 THEN '60-70'
@@ -68,11 +68,11 @@ def entity_daily_panel(spark: SparkSession, sf: str) -> DataFrame:
  newest AS (SELECT *, CASE WHEN fips IS NOT NULL THEN last_fips END AS newest FROM ch)
 SELECT date, CASE WHEN length(CAST(fips AS VARCHAR)) < 5 THEN lpad(CAST(fips AS VARCHAR), 5, '0') ELSE CAST(fips AS VARCHAR) END AS fips,
  stname, ctyname, cases, deaths, cbsaname, msaname, cases_prior, new_cases, deaths_prior, new_deaths, {r6('pop', 'pop_density', 'caseper1k', 'deathper1k')},
- {RESULT_SQL} AS result2016, region, round({strict_sql('new_cases', C, 'date')}, 6) AS pos_7d_avg,
+ {RESULT_SQL} AS result2016, round({strict_sql('new_cases', C, 'date')}, 6) AS pos_7d_avg,
  round({strict_sql('new_deaths', C, 'date')}, 6) AS death_7d_avg, newest AS max_date, newest - 7 AS one_week_date, newest - 14 AS two_week_date,
  CASE WHEN date = newest THEN 'Yes' WHEN date <> newest THEN 'No' END AS max_date_ind, dayname(date) AS weekday, dayname(newest) AS max_weekday,
  CASE WHEN dayname(date) = dayname(newest) THEN 'Yes' WHEN dayname(date) <> dayname(newest) THEN 'No' END AS weekday_match
-FROM newest LEFT JOIN v16 USING (fips) LEFT JOIN regions USING (stname)""",
+FROM newest LEFT JOIN v16 USING (fips)""",
 )
 def entity_daily_panel_strict(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(county.county_panel_strict(feeds.county_feeds(spark, sf)))
@@ -337,7 +337,7 @@ def quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(
         reports.uniqueness(
             {
-                "county counters": (feeds.county_feeds(spark, sf)["county_counters"], None),
+                "county counters": (feeds.county_counters(spark, sf, feeds.customers_of_nations(spark, sf)), None),
                 "state and day of cases": (feeds.cases_deaths(spark, sf), ["state", "submission_date"]),
                 "state and day of tests": (feeds.test_results(spark, sf), ["state", "date"]),
             }

@@ -44,6 +44,7 @@ class Landing:
                 sp, self.path("county_vaccination.json"), VACCINATION_FIELD, s.COUNTY_VACCINATION
             ),
             "test_results": csv("test_results", s.TEST_RESULTS),
+            "test_history": csv("test_history", s.TEST_HISTORY),
             "hospital_series": csv("hospital_series", s.HOSPITAL_SERIES, prefixes=ADMISSION_PREFIXES),
             "hospital_daily": csv("hospital_daily", s.HOSPITAL_DAILY, prefixes=ADMISSION_PREFIXES),
             "hospital_archives": lambda: read_manifest(
