@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,16 @@ def test_staging_uses_the_shared_folder(spark, frame):
     df = staged(frame([("a", 1), ("b", 2)], "k string, x int").where(F.col("x") > 1), "t")
     assert values(df, "k", "k") == ["b"]
     assert shared_folder(spark).removeprefix("file:") + "/staged/t-" in df.inputFiles()[0]
+
+
+@pytest.mark.parametrize("named", ["/shared/x", "/shared/x/"])
+def test_the_cluster_names_the_folder(named):
+    session = SimpleNamespace(conf={"spark.checkpoint.dir": named, "spark.master": "yarn"})
+    assert shared_folder(session) == "/shared/x"
+
+
+def test_a_cluster_without_a_folder_is_refused_and_a_local_run_gets_one():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf={"spark.master": "yarn"}))
+    local = SimpleNamespace(conf={"spark.master": "local[2]"})
+    assert shared_folder(local) == shared_folder(local)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
-    folder = tempfile.mkdtemp(prefix="tidewatch-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    """One folder for all local sessions of this process."""
+    return tempfile.mkdtemp(prefix="tidewatch-")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
