@@ -11,6 +11,7 @@ from ..functions.missing import sum_or_zero
 from ..operators.filters import not_zero, only_entities
 from ..operators.panel import Panel
 from ..operators.reshape import lengthen
+from ..sources.staging import staged
 from . import constants as k
 from .hospital import ICU
 
@@ -43,10 +44,11 @@ def peak_index(
 ) -> DataFrame:
     """Long table (date, name, value): each series over its own peak up to `regime_day`, or from it on.
 
-    The peaks are one row of four maxima, taken as one scalar subquery over the
-    per-day totals.
+    The totals have one row per day and are written down, as both the series and
+    their peaks read them. The peaks are one row of four maxima, taken as one
+    scalar subquery.
     """
-    totals = daily_totals(df, states, start)
+    totals = staged(daily_totals(df, states, start), "daily_totals")
     split = F.lit(regime_day).cast("date")
     side = F.col("date") >= split if later_peak else F.col("date") <= split
     peaks = totals.agg(F.struct(*[F.max(F.when(side, F.col(c))).alias(c) for c in SERIES.values()])).scalar()

@@ -15,7 +15,7 @@ from ..operators.enrich import lookup
 from ..operators.panel import Panel, build_panel
 from ..plans.hospital import ADULT, CHILD, ICU
 from ..sources.staging import staged
-from .tables import load, money, nations, nations_panel, orders_of_nations, rows, running, shipments
+from .tables import load, nations, orders_of_nations, rows, running, shipments
 
 
 def whole(c: str) -> Column:
@@ -135,15 +135,22 @@ WITH cust AS (SELECT *, lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS code FROM cu
 OUTCOME_OF = {"F": "Positive", "O": "Negative", "P": "Inconclusive"}
 
 
-def test_results(spark: SparkSession, sf: str) -> DataFrame:
+def order_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per nation, day and status: small at any size of the raw table, which is read once."""
+    cells = build_panel(orders_of_nations(spark, sf), ["c_nationkey", "o_orderstatus"], F.col("o_orderdate"), "date", n=rows())
+    return staged(lookup(cells, nations(spark, sf, "c_nationkey", "state"), "c_nationkey").drop("c_nationkey"), "order_cells")
+
+
+def test_results(cells: DataFrame) -> DataFrame:
     """Orders by state, status and day as new results; everything so far as the total."""
-    panel = build_panel(orders_of_nations(spark, sf), ["c_nationkey", "o_orderstatus"], F.col("o_orderdate"), "date", new_results_reported=rows())
-    counted = panel.withColumn("total_results_reported", running(Panel(("c_nationkey", "o_orderstatus"), "date"), "new_results_reported"))
     outcome = F.create_map(*[F.lit(x) for pair in OUTCOME_OF.items() for x in pair])[F.col("o_orderstatus")]
-    feed = lookup(counted, nations(spark, sf, "c_nationkey", "state"), "c_nationkey").select(
-        "state", "date", outcome.alias("overall_outcome"), "new_results_reported", "total_results_reported"
+    return cells.select(
+        "state",
+        "date",
+        outcome.alias("overall_outcome"),
+        F.col("n").alias("new_results_reported"),
+        running(Panel(("state", "o_orderstatus"), "date"), "n").alias("total_results_reported"),
     )
-    return staged(feed, "test_results")
 
 
 TEST_CTE = """
@@ -161,22 +168,36 @@ TEST_CTE = """
 BANDS = ["18_19", "60_69", "80"]
 
 
+def line_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items per nation, day, flag, status and line: small at any size of the raw table, which is read once."""
+    lines = shipments(spark, sf, "l_quantity", "l_linenumber", "l_returnflag", "l_linestatus")
+    keys = ["s_nationkey", "l_returnflag", "l_linestatus", "l_linenumber"]
+    cells = build_panel(lines, keys, F.col("l_shipdate"), "day", n=rows(), qty=F.sum(F.col("l_quantity").cast("decimal(18,2)")))
+    return staged(lookup(cells, nations(spark, sf, "s_nationkey", "state"), "s_nationkey").drop("s_nationkey"), "line_cells")
+
+
+def lines_where(condition: Column | None = None) -> Column:
+    """Line items counted from their cells."""
+    return F.sum("n") if condition is None else F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("long"))
+
+
 def hospital_measures() -> dict[str, Column]:
     def flag(f: str, lo: int, hi: int) -> Column:
-        return rows((F.col("l_returnflag") == f) & F.col("l_linenumber").between(lo, hi))
+        return lines_where((F.col("l_returnflag") == f) & F.col("l_linenumber").between(lo, hi))
 
     bands = {}
     for status, f in (("confirmed", "R"), ("suspected", "A")):
         for i, band in enumerate(BANDS):
             bands[f"{ADULT}_covid_{status}_{band}"] = F.nullif(flag(f, 2 * i + 1, 2 * i + 2), F.lit(0))
-        bands[f"{ADULT}_covid_{status}_{BANDS[0]}_coverage"] = rows()
+        bands[f"{ADULT}_covid_{status}_{BANDS[0]}_coverage"] = lines_where()
+    quantity = F.sum("qty").cast("double")
     return {
-        "inpatient_beds_used": money("l_quantity"),
-        "staffed_adult_icu_bed_occupancy": F.sum("l_linenumber"),
-        "inpatient_beds_used_covid": rows(),
-        "deaths_covid": rows(F.col("l_linestatus") == "F"),
-        "deaths_covid_coverage": rows(),
-        ICU: F.floor(money("l_quantity") * 40),
+        "inpatient_beds_used": quantity,
+        "staffed_adult_icu_bed_occupancy": F.sum(F.col("l_linenumber") * F.col("n")),
+        "inpatient_beds_used_covid": lines_where(),
+        "deaths_covid": lines_where(F.col("l_linestatus") == "F"),
+        "deaths_covid_coverage": lines_where(),
+        ICU: F.floor(quantity * 40),
         f"{ADULT}_covid_confirmed": flag("R", 1, 6),
         f"{ADULT}_covid_suspected": flag("A", 1, 6),
         f"{CHILD}_covid_confirmed": flag("R", 7, 7),
@@ -208,21 +229,19 @@ def _measure_sql() -> str:
     return ",\n ".join(f"{e} AS {n}" for n, e in parts.items())
 
 
-def hospital_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def hospital_feeds(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The long series, two archives of shifted days that reach beyond its end, and the current daily file."""
-    lines = shipments(spark, sf, "l_quantity", "l_linenumber", "l_returnflag", "l_linestatus")
 
     def by_day(part: DataFrame, name: str, shift: int) -> DataFrame:
-        panel = build_panel(part, ["s_nationkey"], F.date_add(F.to_date("l_shipdate"), shift), name, **hospital_measures())
-        return lookup(panel, nations(spark, sf, "s_nationkey", "state"), "s_nationkey").drop("s_nationkey")
+        return build_panel(part, ["state"], F.date_add("day", shift), name, **hospital_measures())
 
     def daily(part: DataFrame, shift: int) -> DataFrame:
         """A cutoff four days before the day it counts for."""
         return by_day(part, "reporting_cutoff_start", shift - 4).drop("deaths_covid", "deaths_covid_coverage")
 
-    newest = daily(lines.where(F.col("l_returnflag") == "R"), 7).withColumn("source_rank", F.lit(0))
-    older = daily(lines.where(F.col("l_returnflag") != "N"), 12).withColumn("source_rank", F.lit(1))
-    return staged(by_day(lines, "date", 0), "hospital_series"), union_by_name([newest, older]), daily(lines, 20)
+    newest = daily(cells.where(F.col("l_returnflag") == "R"), 7).withColumn("source_rank", F.lit(0))
+    older = daily(cells.where(F.col("l_returnflag") != "N"), 12).withColumn("source_rank", F.lit(1))
+    return by_day(cells, "date", 0), union_by_name([newest, older]), daily(cells, 20)
 
 
 # Fixed values of the test: days and states to correct
@@ -253,18 +272,19 @@ HOSPITAL_CTE = f"""
 
 
 # cases, vaccination, places ------------------------------------------------------------
-def cases_deaths(spark: SparkSession, sf: str) -> DataFrame:
-    panel = nations_panel(spark, sf).select(F.col("n_name").alias("state"), "d", "n", "n_f")
-    by_state = Panel(("state",), "d")
-    feed = panel.select(
+def cases_deaths(cells: DataFrame) -> DataFrame:
+    by_state = Panel(("state",), "date")
+    panel = build_panel(
+        cells, ["state"], F.col("date"), "date", n=F.sum("n"), f=F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("n"))), F.lit(0))
+    )
+    return panel.select(
         "state",
-        F.date_format("d", "MM/dd/yyyy").alias("submission_date"),
+        F.date_format("date", "MM/dd/yyyy").alias("submission_date"),
         running(by_state, "n").cast("double").alias("tot_cases"),
-        running(by_state, "n_f").cast("double").alias("tot_death"),
+        running(by_state, "f").cast("double").alias("tot_death"),
         F.col("n").cast("double").alias("new_case"),
-        F.col("n_f").cast("double").alias("new_death"),
+        F.col("f").cast("double").alias("new_death"),
     )
-    return staged(feed, "cases_deaths")
 
 
 CASES_CTE = """
@@ -274,19 +294,17 @@ CASES_CTE = """
  cases0 AS (SELECT *, sum(new_case) OVER w AS tot_cases, sum(new_death) OVER w AS tot_death FROM cd WINDOW w AS (PARTITION BY state ORDER BY date))"""
 
 
-def state_vaccination(spark: SparkSession, sf: str) -> DataFrame:
-    lines = shipments(spark, sf, "l_returnflag", "l_linenumber")
-    panel = build_panel(
-        lines,
-        ["s_nationkey"],
-        F.col("l_shipdate"),
+def state_vaccination(cells: DataFrame) -> DataFrame:
+    return build_panel(
+        cells.withColumnRenamed("state", "location"),
+        ["location"],
+        F.col("day"),
         "date",
-        administered_dose1_recip_18plus_pop_pct=rows(F.col("l_returnflag") == "N").cast("double"),
-        administered_dose1_recip_65plus_pop_pct=rows(F.col("l_returnflag") == "A").cast("double"),
-        administered_dose1_recip_12plus_pop_pct=rows(F.col("l_linenumber") <= 3).cast("double"),
-        administered_dose1_pop_pct=rows().cast("double"),
+        administered_dose1_recip_18plus_pop_pct=lines_where(F.col("l_returnflag") == "N").cast("double"),
+        administered_dose1_recip_65plus_pop_pct=lines_where(F.col("l_returnflag") == "A").cast("double"),
+        administered_dose1_recip_12plus_pop_pct=lines_where(F.col("l_linenumber") <= 3).cast("double"),
+        administered_dose1_pop_pct=lines_where().cast("double"),
     )
-    return lookup(panel, nations(spark, sf, "s_nationkey", "location"), "s_nationkey").drop("s_nationkey")
 
 
 VAX_CTE = """
@@ -321,7 +339,8 @@ def nursing_homes(spark: SparkSession, sf: str) -> DataFrame:
         rows().alias("residents_total_confirmed_covid_19"),
         F.max("l_linenumber").alias("residents_total_admissions_covid_19"),
     )
-    return lookup(weekly, nations(spark, sf, "s_nationkey", "provider_state"), "s_nationkey").drop("s_nationkey", "l_suppkey")
+    homes = lookup(weekly, nations(spark, sf, "s_nationkey", "provider_state"), "s_nationkey").drop("s_nationkey", "l_suppkey")
+    return staged(homes, "nursing_homes")
 
 
 NURSING_CTE = """

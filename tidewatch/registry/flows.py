@@ -130,8 +130,8 @@ TESTS_CTE = f"""{TEST_CTE},
  tests AS (SELECT *, (SELECT max(date) FROM covered) AS test_date FROM tests3 JOIN covered USING (date))"""
 
 
-def tests(spark: SparkSession, sf: str) -> DataFrame:
-    return testing.tests_by_state(testing.tests_wide(feeds.test_results(spark, sf)))
+def tests(cells: DataFrame) -> DataFrame:
+    return testing.tests_by_state(testing.tests_wide(feeds.test_results(cells)))
 
 
 @query(
@@ -140,7 +140,7 @@ def tests(spark: SparkSession, sf: str) -> DataFrame:
 SELECT * REPLACE ({r6('new_tests_7d_avg', 'new_pos_tests_7d_avg', 'new_pos_tests_7d_avg_2wk', 'pct_pos')}) FROM tests""",
 )
 def outcome_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(tests(spark, sf))
+    return rounded(tests(feeds.order_cells(spark, sf)))
 
 
 # hospital ------------------------------------------------------------------------------
@@ -154,13 +154,13 @@ HOSP_CTE = f"""{HOSPITAL_CTE},
      {lag_sql('new_admit_7d_avg', 7, S, 'date')} AS new_admit_avg_1wk FROM hosp1)"""
 
 
-def beds(spark: SparkSession, sf: str) -> DataFrame:
-    return hospital.hospital_panel(*feeds.hospital_feeds(spark, sf), carry_days=feeds.CARRY, icu_range=feeds.ICU_FIX)
+def beds(cells: DataFrame) -> DataFrame:
+    return hospital.hospital_panel(*feeds.hospital_feeds(cells), carry_days=feeds.CARRY, icu_range=feeds.ICU_FIX)
 
 
 @query("flow_corrected_series", f"WITH {HOSP_CTE} SELECT * REPLACE ({r6('new_admit_7d_avg', 'new_admit_avg_1wk')}) FROM hosp")
 def corrected_series(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(beds(spark, sf))
+    return rounded(beds(feeds.line_cells(spark, sf)))
 
 
 BAND_COLUMNS = [f"{ADULT}_covid_{s}_{b}" for s in ("confirmed", "suspected") for b in feeds.BANDS] + [
@@ -179,7 +179,7 @@ BAND_CASE = " ".join(f"WHEN ends_with(name, '{b}') THEN '{b.replace('_', ' to ')
 SELECT *, round({ramp_sql('prev_day_admissions', 'state, age_group, status', 'date')}, 6) AS adm_7d_avg FROM b""",
 )
 def band_series(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(hospital.admissions_by_age(beds(spark, sf)))
+    return rounded(hospital.admissions_by_age(beds(feeds.line_cells(spark, sf))))
 
 
 # federal panel --------------------------------------------------------------------------
@@ -248,14 +248,15 @@ SELECT * EXCLUDE (pop0) REPLACE (pop0 AS population, {r6('new_case_7d_avg', 'new
 FROM wide""",
 )
 def federal_state(spark: SparkSession, sf: str) -> DataFrame:
-    by_test = staged(tests(spark, sf), "tests")
+    orders, lines = feeds.order_cells(spark, sf), feeds.line_cells(spark, sf)
+    by_test = staged(tests(orders), "tests")
     census, population, hexes = feeds.state_places(spark, sf)
     panel = federal.federal_panel(
-        federal.cases_and_deaths(feeds.cases_deaths(spark, sf)),
+        federal.cases_and_deaths(feeds.cases_deaths(orders)),
         by_test,
-        beds(spark, sf),
+        beds(lines),
         history(spark, by_test),
-        federal.vaccination(feeds.state_vaccination(spark, sf)),
+        federal.vaccination(feeds.state_vaccination(lines)),
         census,
         population,
         hexes,
@@ -320,7 +321,8 @@ SELECT state, date, tot_death, n, CASE WHEN n > 1 THEN tot_death - {lag_sql('tot
  CASE WHEN n > 1 THEN new_covid_deaths END AS new_deaths_nh FROM n""",
 )
 def weekly_totals_vs_all(spark: SparkSession, sf: str) -> DataFrame:
-    return nursing.against_all_deaths(nursing.weekly_totals(feeds.nursing_homes(spark, sf)), feeds.cases_deaths(spark, sf))
+    weekly = nursing.weekly_totals(feeds.nursing_homes(spark, sf))
+    return nursing.against_all_deaths(weekly, feeds.cases_deaths(feeds.order_cells(spark, sf)))
 
 
 # reports -----------------------------------------------------------------------------------------
@@ -334,12 +336,13 @@ def weekly_totals_vs_all(spark: SparkSession, sf: str) -> DataFrame:
 SELECT *, round(n_distinct / n_rows, 6) AS uniqueness FROM r""",
 )
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    cells = feeds.order_cells(spark, sf)
     return rounded(
         reports.uniqueness(
             {
                 "county counters": (feeds.county_counters(spark, sf, feeds.customers_of_nations(spark, sf)), None),
-                "state and day of cases": (feeds.cases_deaths(spark, sf), ["state", "submission_date"]),
-                "state and day of tests": (feeds.test_results(spark, sf), ["state", "date"]),
+                "state and day of cases": (feeds.cases_deaths(cells), ["state", "submission_date"]),
+                "state and day of tests": (feeds.test_results(cells), ["state", "date"]),
             }
         )
     )
