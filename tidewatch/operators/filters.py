@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.missing import is_in
 from .panel import Panel
 
 
@@ -51,8 +50,8 @@ def min_coverage(df: DataFrame, day: str, entities: int = 5, name: str = "n_stat
 
 
 def only_entities(df: DataFrame, key: str, entities: Iterable[str] | None) -> DataFrame:
-    """Keep the named entities; None keeps all. Pushed below windows on the same key."""
-    return df if entities is None else df.where(is_in(key, list(entities)))
+    """Keep the named entities; None keeps all. Pushed below windows on the same key and into the scan."""
+    return df if entities is None else df.where(F.col(key).isin(*entities))
 
 
 def not_zero(df: DataFrame, c: str) -> DataFrame:

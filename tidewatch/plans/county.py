@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import buckets, join_code, margin_bucket, pad_code, two_way_label
 from ..functions.dates import as_of_columns, parse_date
-from ..functions.missing import add_all, is_in, number, rate_per, ratio
+from ..functions.missing import add_all, number, rate_per, ratio
 from ..operators.dedupe import first_per_key
 from ..operators.enrich import lookup, overridden, repaired
 from ..operators.filters import min_history
@@ -58,7 +58,7 @@ def result_2020(raw: DataFrame) -> DataFrame:
     Summing and widening is one aggregate: a party without rows is missing, a
     party whose votes are all missing counts 0.
     """
-    votes = raw.where(is_in("race", [k.RACE]) & F.col("fips5").isNotNull() & is_in("lname", [k.PARTY_A, k.PARTY_B]))
+    votes = raw.where((F.col("race") == k.RACE) & F.col("fips5").isNotNull() & F.col("lname").isin(k.PARTY_A, k.PARTY_B))
 
     def of(party: str) -> Column:
         return F.sum(F.when(F.col("lname") == party, F.coalesce("votes", F.lit(0)))).alias(party)

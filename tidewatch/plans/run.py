@@ -11,7 +11,6 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
 from ..operators.dedupe import union_by_name
@@ -33,10 +32,8 @@ SNAPSHOT = ("state", "total_tests", "total_pos_tests", "date")
 
 
 def snapshot_history(spark: SparkSession, folder: str, today: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
-    """All snapshots so far; today's is added in a folder of its own, so nothing is rewritten."""
-    today = staged(today, "snapshot")
-    newest = today.agg(F.max("date")).first()[0]
-    today.write.mode("overwrite").parquet(f"{folder}/snapshot={newest}")
+    """All snapshots so far. Today's is appended, nothing is rewritten, and a repeated run counts once."""
+    today.write.mode("append").parquet(folder)
     kept = spark.read.schema("state string, total_tests double, total_pos_tests double, date date").parquet(folder).select(*SNAPSHOT)
     return testing.history_changes(testing.accumulate(earlier, kept))
 
