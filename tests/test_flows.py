@@ -295,6 +295,13 @@ def test_publishing_writes_a_table_and_an_extract(spark, frame, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_command_line(landing, spark, tmp_path):
+    run.main(landing.folder, str(tmp_path), {"trend", "nursing"})
+    assert spark.read.parquet(str(tmp_path / "tables" / "state_trend")).count() == 80
+    assert read_feed(spark, str(tmp_path / "nursing_weekly"), {"n_residents": "double"}).count() == 3
+    assert (tmp_path / "nursing_and_all_deaths").is_dir()
+
+
 def test_pediatric_totals_do_not_count_beside_their_parts(frame):
     names = [f"{PREFIX}pediatric_covid_confirmed{x}" for x in ("", "_0_4", "_5_11")]
     df = frame([("NY", "2021-01-01", 10, 4, 6)], f"state string, date date, {', '.join(f'{n} int' for n in names)}")

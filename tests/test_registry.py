@@ -8,6 +8,7 @@ import pytest
 
 from compare import difference
 from conftest import SMALL
+from tidewatch.operators.enrich import Limits, lookup
 from tidewatch.registry import BOOK
 
 
@@ -30,3 +31,11 @@ def test_entry_points(spark):
     first = e.entry(spark)
     assert first.columns == ["event_type", "d", "n", "n_7d_avg", "lstwk_n_7d_avg", "n_incr_week"]
     assert first.count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["right_join_enrich", "left_join_enrich_multi", "full_join_three_feeds", "flow_entity_daily_panel", "flow_trend_and_peak"]
+)
+def test_same_rows_when_no_dimension_may_be_broadcast(spark, con, name, monkeypatch):
+    monkeypatch.setitem(lookup.__kwdefaults__, "limits", Limits(rows=0, hot_share=0.02, spread=64))
+    assert difference(BOOK[name].run(spark, SMALL), con, BOOK[name].sql) is None

@@ -13,7 +13,6 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import parse_date
-from ..operators.dedupe import union_by_name
 from ..operators.quality import frequency
 from ..schemas import TEST_HISTORY
 from ..sources.delimited import typed

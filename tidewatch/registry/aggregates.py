@@ -13,7 +13,7 @@ from ..operators.filters import latest_of
 from ..operators.quality import freshness, frequency, key_uniqueness
 from ..operators.reshape import lengthen, widen
 from .book import query, rounded
-from .tables import EVENTS_SQL, events_panel, load, rows
+from .tables import EVENTS_SQL, events_panel, load
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
 

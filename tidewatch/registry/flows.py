@@ -79,10 +79,6 @@ def entity_daily_panel_strict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # state trend ------------------------------------------------------------------------
-def _peak_sql(a: str, peak: str, day: str, decline: str, since: str) -> str:
-    return f"{peak}, {day}, round(({a} - {peak}) / nullif({peak}, 0), 6) AS {decline}, CAST(date - {day} AS INTEGER) AS {since}"
-
-
 @query(
     "flow_trend_and_peak",
     f"""

@@ -14,7 +14,7 @@ from ..operators.quality import frequency
 from ..operators.reshape import lengthen
 from ..plans.hospital import ADULT, CHILD, band_label, band_status
 from .book import query, rounded
-from .tables import EVENTS_SQL, NATIONS, NATIONS_SQL, events_panel, lag_sql, load, nations, nations_panel, rows
+from .tables import EVENTS_SQL, NATIONS, NATIONS_SQL, events_panel, load, nations, nations_panel, rows
 
 N = "n_name"
 

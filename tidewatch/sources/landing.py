@@ -11,12 +11,15 @@ from .. import schemas as s
 from .delimited import read_banner, read_feed, read_positional, read_text
 from .documents import read_nested_records, read_records
 from .manifest import read_manifest
+from .staging import staged
 
 ADMISSION_PREFIXES = ("previous_day_admission_adult", "previous_day_admission_pediatric")
 LATIN = "ISO-8859-1"
 
 # Texts of the two heading lines of the density file.
 DENSITY_BANNER = {"id": ["GEO.id", "Id"]}
+# Fact feeds that the plans read more than once: their text is parsed once and kept as columns.
+READ_OFTEN = {"county_counters", "test_results", "hospital_series", "cases_deaths", "nursing_homes"}
 VACCINATION_FIELD = "vaccination_county_condensed_data"
 
 
@@ -63,7 +66,8 @@ class Landing:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.opened:
-            self.opened[name] = self.readers[name]()
+            feed = self.readers[name]()
+            self.opened[name] = staged(feed, name) if name in READ_OFTEN else feed
         return self.opened[name]
 
     def load(self, *names: str) -> dict[str, DataFrame]:
