@@ -41,6 +41,13 @@ def test_both_ways_agree_and_keep_every_row(fact, dim):
     assert set(small.columns) == set(large.columns)
 
 
+def test_hot_keys_from_another_table_change_nothing(spark, fact, dim):
+    other = spark.range(1000).select(F.lit(3).cast("long").alias("k"))
+    assert as_set(lookup(fact, dim, "k", limits=SHUFFLED, hot_from=other)) == as_set(lookup(fact, dim, "k"))
+    empty = other.where("k < 0")
+    assert as_set(lookup(fact, dim, "k", limits=SHUFFLED, hot_from=empty, unique=True)) == as_set(lookup(fact, dim, "k"))
+
+
 def test_hot_and_missing_keys_are_spread(spark, fact, dim):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

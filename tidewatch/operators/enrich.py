@@ -35,19 +35,37 @@ class Size:
     copies: int
 
 
-def measure(dim: DataFrame, on: list[str]) -> Size:
-    """Rows, text size and the most rows any key has, by one distributed aggregate."""
+def measure(dim: DataFrame, on: list[str], unique: bool = False) -> Size:
+    """Rows, text size and the most rows any key has, by one distributed aggregate.
+
+    A dimension known to hold a key once is counted without a shuffle.
+    """
     width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in dim.columns])
+    if unique:
+        row = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+        return Size(row["n"], row["b"] or 0, 1)
     per_key = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
     row = per_key.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("n").alias("copies")).first()
     return Size(row["n"] or 0, row["b"] or 0, row["copies"] or 0)
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str], *, null_safe: bool = False, limits: Limits = Limits()) -> DataFrame:
+def lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str | list[str],
+    *,
+    unique: bool = False,
+    null_safe: bool = False,
+    hot_from: DataFrame | None = None,
+    limits: Limits = Limits(),
+) -> DataFrame:
     """Left join that keeps every fact row exactly once.
 
     Missing keys match nothing unless `null_safe`. A dimension that repeats a
-    key, or brings a column name the fact already has, is an error.
+    key, or brings a column name the fact already has, is an error. `unique`
+    is for a dimension that was grouped or reduced to one row per key just before.
+    `hot_from` is a stored table to find the fact's hot keys in when the fact
+    itself is costly to compute; it decides how rows travel, never the result.
     """
     on = [on] if isinstance(on, str) else list(on)
     payload = [c for c in dim.columns if c not in on]
@@ -55,12 +73,12 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str], *, null_safe: b
     if clash:
         raise ValueError(f"columns on both sides: {clash}; rename them before the join")
     keyed = dim if null_safe else dim.dropna(subset=on)
-    size = measure(keyed, on)
+    size = measure(keyed, on, unique)
     if size.copies > 1:
         raise ValueError(f"dimension repeats a key of {on} up to {size.copies} times")
     if size.rows <= limits.rows and size.bytes <= limits.bytes:
         return _left(fact, F.broadcast(keyed), on, null_safe)
-    return _left_hot_safe(fact, keyed, on, payload, null_safe, limits)
+    return _left_hot_safe(fact, keyed, on, payload, null_safe, fact if hot_from is None else hot_from, limits)
 
 
 def _left(fact: DataFrame, dim: DataFrame, on: list[str], null_safe: bool) -> DataFrame:
@@ -72,7 +90,9 @@ def _left(fact: DataFrame, dim: DataFrame, on: list[str], null_safe: bool) -> Da
     return fact.join(right, same, "left").drop(*held.values())
 
 
-def _left_hot_safe(fact: DataFrame, dim: DataFrame, on: list[str], payload: list[str], null_safe: bool, limits: Limits) -> DataFrame:
+def _left_hot_safe(
+    fact: DataFrame, dim: DataFrame, on: list[str], payload: list[str], null_safe: bool, counted: DataFrame, limits: Limits
+) -> DataFrame:
     """Shuffle join that no single key can overload.
 
     Keys above the hot share number at most 1 / hot_share, so their dimension
@@ -82,8 +102,8 @@ def _left_hot_safe(fact: DataFrame, dim: DataFrame, on: list[str], payload: list
     their key into one task. The spread depends on the row and its task only,
     so a re-run task sends every row to the same place.
     """
-    total = fact.agg(F.count(F.lit(1))).scalar()
-    per_key = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counted.agg(F.count(F.lit(1))).scalar()
+    per_key = counted.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     hot_keys = staged(per_key.where(F.col("_n") > total * limits.hot_share).select(*on), "hot_keys")
     hot_rows = _semi(dim, F.broadcast(hot_keys), on, null_safe).select(*on, F.struct(*payload).alias("_hot"))
     hot = _left(hot_keys.withColumn("_is_hot", F.lit(True)), F.broadcast(hot_rows), on, null_safe)
