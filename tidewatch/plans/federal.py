@@ -63,11 +63,11 @@ def merged(cases: DataFrame, tests: DataFrame, hospital: DataFrame, history: Dat
     return left_join_feeds(left_join_feeds(full, history, KEY), vax, KEY)
 
 
-def places(df: DataFrame, census: DataFrame, population: DataFrame, hexes: DataFrame) -> DataFrame:
-    df = lookup(df, regions(census), "state")
+def places(df: DataFrame, census: DataFrame, population: DataFrame, hexes: DataFrame, rows: DataFrame) -> DataFrame:
+    df = lookup(df, regions(census), "state", hot_from=rows)
     df = df.withColumn("region", overridden("region", "state", {k.NYC_STATE_CODE: k.NYC_REGION}))
-    df = lookup(df, population.select("state", "population"), "state")
-    return lookup(df.withColumn("population", default_to("population", 0)), hexes, "state")
+    df = lookup(df, population.select("state", "population"), "state", hot_from=rows)
+    return lookup(df.withColumn("population", default_to("population", 0)), hexes, "state", hot_from=rows)
 
 
 def imputed(df: DataFrame) -> DataFrame:
@@ -129,5 +129,5 @@ def federal_panel(
 ) -> DataFrame:
     """The merged panel is written once; its latest days and windows are then read from that table."""
     base = staged(merged(cases, tests, hospital, history, vax), "federal")
-    full = places(imputed(base), census, population, hexes)
+    full = places(imputed(base), census, population, hexes, base)
     return with_variant(flagged(full, latest_of(base, "date")), steps)
