@@ -6,7 +6,9 @@ offsets of its rows. A row is never cut, so one slice holds one very long text a
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +114,16 @@ def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
+def in_workers(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """mapInArrow whose workers find this package also where it is not installed but on the driver's path."""
+    environment = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    return df.mapInArrow(run, schema)
+
+
 def add_columns(df: DataFrame, text: str, schema: str, work: Callable, limit: int = SLICE) -> DataFrame:
     """df with the columns of `schema` (DDL), computed slice by slice.
 
@@ -137,7 +149,7 @@ def map_slices(df: DataFrame, text: str, schema: str, work: Callable, limit: int
                 if made is not None:
                     yield pa.RecordBatch.from_arrays(made, names=names)
 
-    return df.mapInArrow(run, parsed)
+    return in_workers(df, run, parsed)
 
 
 def _ddl(df: DataFrame) -> str:
@@ -152,4 +164,4 @@ def keep_rows(df: DataFrame, text: str, keep: Callable, limit: int = SLICE) -> D
             for rows, buf, at in slices(batch, text, limit):
                 yield rows.filter(pa.array(keep(rows, buf, at)))
 
-    return df.mapInArrow(run, df.schema)
+    return in_workers(df, run, df.schema)

@@ -21,7 +21,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .arrays import add_columns, binaries
+from .arrays import add_columns, binaries, in_workers
 
 PIECE = 1 << 16
 LONG_SPACE = 1 << 12
@@ -108,4 +108,4 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, ids: str = "ids") -
             raw = [bpe.decode_bytes(np.frombuffer(x.as_buffer(), "<u4").tolist()) if x.is_valid else b"" for x in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], names=schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return in_workers(encoded, run, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .arrays import FOLD, WORD_OF_LETTERS, add_columns, binaries, hashed, keep_rows, lists, ranges, words
+from .arrays import FOLD, WORD_OF_LETTERS, add_columns, binaries, hashed, in_workers, keep_rows, lists, ranges, words
 
 WINDOW = 10
 BLOCK = 32 << 20
@@ -302,7 +302,7 @@ def _merged(df: DataFrame, columns: list[str]) -> DataFrame:
             made = [pa.array([len(x) for x in places], pa.int64()), pa.array([x.tobytes() for x in places], pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=result.names)
 
-    joined = both.mapInArrow(run, result)
+    joined = in_workers(both, run, result)
     return joined.select(*columns, *schema.names)
 
 
