@@ -1,6 +1,6 @@
 """One registered query per operator, over whole tables with production parameters."""
 
-from . import query_byte_bpe, query_decontaminate, query_quality, query_secrets  # noqa: F401
+from . import query_byte_bpe, query_decontaminate, query_main_text, query_quality, query_secrets, query_token_files  # noqa: F401
 from .book import BOOK
 
 __all__ = ["BOOK"]
