@@ -1,6 +1,7 @@
 """Token ids of a corpus in files, Huffman coded.
 
-Texts are encoded with the tokenizers library and the end id is appended to each. Ids are
+Texts are encoded with the tokenizers library (a byte-level BPE with its own split pattern)
+and the end id is appended to each. Ids are
 counted over the whole corpus; package-merge gives the best code lengths of at most
 LONGEST bits, and canonical codes follow from the lengths alone. A file set is
 
@@ -19,6 +20,7 @@ order of their code's checksum; null ids come first. An empty table gives files
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -29,21 +31,128 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructType
 from tokenizers import Tokenizer
 
 from ..sources.staging import shared_folder
-from .arrays import binaries, in_workers, map_slices, ranges
+from .arrays import SPACES, binaries, hashed, in_workers, ranges, slices
 from .byte_bpe import safe_pieces
 
 LONGEST = 20
 BLOCK = 1 << 16
 CHECK = 256
 PER_FILE = 16 << 20
-CACHE = 300_000
+CACHE = 1 << 19
 LINES = 2000
 
-#: Characters whose kind no Unicode version changed; the split pattern is applied to texts of these alone.
-_SETTLED = regex.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0, 0x1B), (0x20, 0x84), (0x86, 0x9F), (0xA1, 0x52F))).replace("[", r"\[").replace("]", r"\]") + "]")
+#: Texts of characters below this code point, without the separators named in _plain_rows, are split
+#: here; no Unicode version changes what is a letter or a number among them.
+SETTLED = 0x500
+LETTER, NUMBER, WHITE, OTHER = range(4)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Kind of each code point below SETTLED, by the classes of the split pattern."""
+    tests = [regex.compile(c) for c in (r"\p{L}", r"\p{N}", r"\s")]
+    return np.array([next((k for k, t in enumerate(tests) if t.match(chr(c))), OTHER) for c in range(SETTLED)], np.uint8)
+
+
+def _plain_rows(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows whose bytes are all of settled characters; 1C-1F, U+0085 and U+00A0 are not white space to every library."""
+    odd = (buf >= 0xC0 + (SETTLED >> 6)) | ((buf >= 0x1C) & (buf <= 0x1F))
+    if len(buf) > 1:
+        odd[:-1] |= (buf[:-1] == 0xC2) & ((buf[1:] == 0x85) | (buf[1:] == 0xA0))
+    seen = np.append(0, np.cumsum(odd))
+    return seen[at[1:]] == seen[at[:-1]]
+
+
+def piece_starts(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places where matches of the byte-level split pattern begin, in rows of settled characters.
+
+    Letters, numbers and other characters each form runs, with one space before them; white space
+    forms runs without the last character before another kind; and an apostrophe that
+    begins a match takes s, t, m, d, re, ve or ll along.
+    """
+    n = len(buf)
+    kinds = _kinds()
+    kind = kinds[np.minimum(buf, 0x7F)]
+    lead = np.flatnonzero(buf >= 0xC0)
+    wide = kinds[np.minimum(((buf[lead].astype(np.int64) & 0x1F) << 6) | (buf[lead + 1] & 0x3F), SETTLED - 1)]
+    kind[lead] = wide
+    kind[lead + 1] = wide
+    first = np.zeros(n + 1, bool)  # first byte of a row
+    first[at[:-1]] = True
+    before = np.empty(n, np.uint8)
+    before[0], before[1:] = 9, kind[:-1]
+    before[first[:n]] = 9
+    after = np.empty(n, np.uint8)
+    after[-1], after[:-1] = 9, kind[1:]
+    after[first[1:]] = 9
+    white = kind == WHITE
+    glued = white & (buf == 32) & (after != 9) & (after != WHITE)  # a space that goes with what follows
+    start = kind != before
+    start |= white & (after != WHITE) & (after != 9)  # the last white character before another kind stands alone
+    start[1:] &= ~(glued[:-1] & ~first[1:n])
+
+    marks = np.flatnonzero((buf == 39) & start)
+    if len(marks):
+        padded = np.append(buf, [0, 0])
+        one, two = padded[marks + 1], padded[marks + 2]
+        same = ~first[np.minimum(marks + 1, n)]
+        short = same & np.isin(one, list(b"stmd"))
+        long = same & ~first[np.minimum(marks + 2, n)] & ((((one == 114) | (one == 118)) & (two == 101)) | ((one == 108) & (two == 108)))
+        for found, size in ((marks[short], 2), (marks[long], 3)):
+            start[found + 1] = False
+            stop = found + size
+            stop = stop[stop < n]
+            start[stop] = True  # what follows begins a match, be it another letter
+    return np.flatnonzero(start)
+
+
+class Known:
+    """Ids of pieces by the 64-bit hash of their bytes: an open table that lookups probe side by side."""
+
+    def __init__(self, slots: int):
+        self.mask = np.uint64(slots - 1)
+        self.slots = slots
+        self.reset()
+
+    def reset(self) -> None:
+        self.keys = np.zeros(self.slots, np.uint64)
+        self.place = np.zeros(self.slots, np.int64)
+        self.held = 0
+        self.ids = np.zeros(0, np.uint32)
+        self.begin = np.zeros(1, np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where it is not held."""
+        out = np.full(len(h), -1, np.int64)
+        left, slot = np.arange(len(h)), h & self.mask
+        while len(left):
+            key = self.keys[slot]
+            hit = key == h[left]
+            out[left[hit]] = self.place[slot[hit]]
+            on = ~hit & (key != 0)
+            left, slot = left[on], (slot[on] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, h: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Distinct hashes that are not held, with their ids one after the other."""
+        place = np.arange(len(self.begin) - 1, len(self.begin) - 1 + len(h))
+        self.ids = np.append(self.ids, ids)
+        self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(counts))
+        left, slot = np.arange(len(h)), h & self.mask
+        while len(left):
+            free = self.keys[slot] == 0
+            _, pick = np.unique(slot[free], return_index=True)  # one newcomer to a slot
+            won = left[free][pick]
+            at = slot[free][pick]
+            self.keys[at], self.place[at] = h[won], place[won]
+            lost = np.ones(len(left), bool)
+            lost[np.flatnonzero(free)[pick]] = False
+            left, slot = left[lost], (slot[lost] + np.uint64(1)) & self.mask
+        self.held += len(h)
 
 
 class Encoder:
@@ -51,95 +160,101 @@ class Encoder:
 
     Byte-level BPE never joins two matches of the pattern, so a text's ids are those of
     its matches. Each new match is encoded by the library; texts with characters
-    beyond _SETTLED are given to it whole, in safe pieces.
+    that are not settled are given to it whole, in safe pieces.
     """
 
-    class _Known(dict):
-        def __init__(self):
-            self.new: list[str] = []
-
-        def __missing__(self, piece: str) -> int:
-            self.new.append(piece)
-            self[piece] = place = len(self)
-            return place
-
-    def __init__(self, file: str, pattern: str):
+    def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         self.library = Tokenizer.from_file(file)
         self.library.encode_special_tokens = True
-        self.split = regex.compile(pattern).findall
         alone = self.library.encode("\n", add_special_tokens=False).ids
         self.break_id = alone[0] if len(alone) == 1 else None
-        self.reset()
-
-    def reset(self) -> None:
-        self.known = self._Known()
-        self.ids = np.zeros(0, np.uint32)
-        self.begin = np.zeros(1, np.int64)
-
-    def _learn(self) -> None:
-        """Ids of the new pieces. Lines of pieces are encoded together: a line break ends any match but white space."""
-        new = self.known.new
-        if not new:
+        self.known = Known(4 * CACHE)
+
+    def _learn(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Pieces are encoded in lines together: a line break ends any match but white space."""
+        white = np.isin(buf[ends - 1], list(SPACES)) | (self.break_id is None)
+        for k in np.flatnonzero(white).tolist():
+            ids = self.library.encode(buf[starts[k] : ends[k]].tobytes().decode(), add_special_tokens=False).ids
+            self.known.add(h[k : k + 1], np.array(ids, np.uint32), np.array([len(ids)]))
+        h, starts, sizes = h[~white], starts[~white], (ends - starts)[~white]
+        if not len(h):
             return
-        made: list = [None] * len(new)
-        plain = [k for k, piece in enumerate(new) if self.break_id is not None and not any(map(str.isspace, piece[1:])) and piece != " " and piece[0] not in "\t\n\v\f\r"]
-        for k in set(range(len(new))).difference(plain):
-            made[k] = np.array(self.library.encode(new[k], add_special_tokens=False).ids, np.uint32)
-        groups = [plain[a : a + LINES] for a in range(0, len(plain), LINES)]
-        for group, line in zip(groups, self.library.encode_batch_fast(["\n".join([new[k] for k in g]) for g in groups], add_special_tokens=False)):
-            ids = np.array(line.ids, np.uint32)
-            ends = [*np.flatnonzero(ids == self.break_id), len(ids)]
-            for k, a, b in zip(group, [0, *(e + 1 for e in ends)], ends):
-                made[k] = ids[a:b]
-        new.clear()
-        self.ids = np.concatenate([self.ids, *made])
-        self.begin = np.append(self.begin, self.begin[-1] + np.cumsum([len(x) for x in made]))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where each text's begin."""
-        if len(self.known) > CACHE:
-            self.reset()
-        pieces, whole = [], {}
-        sizes = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            if _SETTLED.search(text):
-                whole[k] = np.concatenate([np.array(self.library.encode(p, add_special_tokens=False).ids, np.uint32) for p in safe_pieces(text)])
-            else:
-                found = self.split(text)
-                sizes[k] = len(found)
-                pieces += found
-        which = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        self._learn()
-        counts = self.begin[which + 1] - self.begin[which]
-        flat = self.ids[ranges(self.begin[which], counts)]
-        sums = np.append(0, np.cumsum(counts))
-        ends = np.append(0, np.cumsum(sizes))
-        begin = sums[ends]
-        if not whole:
-            return flat, begin
-        parts = [whole[k] if k in whole else flat[begin[k] : begin[k + 1]] for k in range(len(texts))]
-        return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+        cuts = np.append(0, np.cumsum(sizes + 1))
+        lines = np.full(cuts[-1], 10, np.uint8)
+        lines[ranges(cuts[:-1], sizes)] = buf[ranges(starts, sizes)]
+        texts = [lines[cuts[a] : cuts[min(a + LINES, len(h))] - 1].tobytes().decode() for a in range(0, len(h), LINES)]
+        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array([*line.ids, self.break_id], np.uint32) for line in made])
+        breaks = ids == self.break_id
+        self.known.add(h, ids[~breaks], np.diff(np.append(-1, np.flatnonzero(breaks))) - 1)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.concatenate([np.array(self.library.encode(p, add_special_tokens=False).ids, np.uint32) for p in safe_pieces(text)])
+
+    def encode(self, buf: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """ids of each row of a slice."""
+        plain = _plain_rows(buf, at)
+        rows = np.arange(len(plain))
+        if not plain.all():
+            keep = np.repeat(plain, np.diff(at))
+            own, sizes = buf[keep], np.diff(at)[plain]
+        else:
+            own, sizes = buf, np.diff(at)
+        begin = np.append(0, np.cumsum(sizes))
+        starts = piece_starts(own, begin) if len(own) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(own)) if len(starts) else starts
+        h = hashed(own, starts, ends) | np.uint64(1)
+        if self.known.held > CACHE:
+            self.known.reset()
+        which = self.known.find(h)
+        new = np.flatnonzero(which < 0)
+        if len(new):
+            fresh, at_ = np.unique(h[new], return_index=True)
+            self._learn(fresh, own, starts[new[at_]], ends[new[at_]])
+            which[new] = self.known.find(h[new])
+        lo, counts = self.known.begin[which], np.diff(self.known.begin)[which]
+        flat = self.known.ids[ranges(lo, counts)]
+        cuts = np.append(0, np.cumsum(counts))[np.searchsorted(starts, begin)]
+        made = {r: flat[a:b] for r, a, b in zip(rows[plain].tolist(), cuts, cuts[1:])}
+        for r in np.flatnonzero(~plain).tolist():
+            made[r] = self._whole(buf[at[r] : at[r + 1]].tobytes().decode())
+        return [made[r] for r in rows.tolist()]
 
 
 @lru_cache(maxsize=2)
-def encoder(file: str, pattern: str) -> Encoder:
-    return Encoder(file, pattern)
+def encoder(file: str) -> Encoder:
+    return Encoder(file)
 
 
-def encode(docs: DataFrame, file: str, pattern: str, end: int, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): ids with the end id, as the low bytes of all ids, then the next bytes, and so on."""
-    kind = docs.schema[id].dataType.simpleString()
+def encode(docs: DataFrame, file: str, end: int, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_tokens, ids): ids with the end id, as the low bytes of all ids, then the next bytes, and so on.
+
+    Each task adds one row of counts: n_tokens -1 and, in ids, the ids it met and how often.
+    """
+    kind = docs.schema[id].dataType
+    names = [id, "n_tokens", "ids"]
+    schema = StructType().add(id, kind).add("n_tokens", LongType()).add("ids", BinaryType())
 
-    def work(rows, buf, at):
-        column = rows.column(rows.schema.get_field_index(text))
-        flat, begin = encoder(file, pattern).encode([t.as_py() or "" for t in column])
-        parts = [np.append(flat[a:b], np.uint32(end)) for a, b in zip(begin, begin[1:])]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        planes = np.concatenate([p.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.ravel() for p in parts])
-        own = rows.column(rows.schema.get_field_index(id))
-        return [own, pa.array(sizes), binaries(planes, np.append(0, np.cumsum(sizes * 3)))]
+    def run(batches):
+        total, arrow = np.zeros(1 << 16, np.int64), None
+        for batch in batches:
+            for rows, buf, at in slices(batch, text):
+                parts = [np.append(p, np.uint32(end)) for p in encoder(file).encode(buf, at)]
+                sizes = np.array([len(p) for p in parts], np.int64)
+                counts = np.bincount(np.concatenate(parts))
+                if len(counts) > len(total):
+                    total = np.append(total, np.zeros(len(counts) - len(total), np.int64))
+                total[: len(counts)] += counts
+                planes = np.concatenate([p.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.ravel() for p in parts])
+                own = rows.column(rows.schema.get_field_index(id))
+                arrow = own.type
+                yield pa.RecordBatch.from_arrays([own, pa.array(sizes), binaries(planes, np.append(0, np.cumsum(sizes * 3)))], names=names)
+        if arrow is not None:
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, arrow), pa.array([-1], pa.int64()), pa.array([np.stack([used, total[used]]).astype("<i8").tobytes()], pa.binary())], names=names)
 
-    return map_slices(docs.select(id, text), text, f"`{id}` {kind}, n_tokens bigint, ids binary", work)
+    return in_workers(docs.select(id, text), run, schema)
 
 
 def _from_planes(raw: np.ndarray) -> np.ndarray:
@@ -148,20 +263,15 @@ def _from_planes(raw: np.ndarray) -> np.ndarray:
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
-    """(id, n) over all documents: one row per task and id before the shuffle."""
+    """(id, n) over all documents, from the rows of counts."""
 
     def run(batches):
-        total = np.zeros(1, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                counts = np.bincount(_from_planes(np.frombuffer(x.as_buffer(), np.uint8)))
-                if len(counts) > len(total):
-                    total = np.append(total, np.zeros(len(counts) - len(total), np.int64))
-                total[: len(counts)] += counts
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+                ids, n = np.frombuffer(x.as_buffer(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
-    return in_workers(encoded.select("ids"), run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return in_workers(encoded.where("n_tokens < 0").select("ids"), run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -304,7 +414,7 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
 
     files = max(1, -(-int(n.sum()) // per_file))
     shares = [k / files for k in range(1, files)]
-    bounds = encoded.agg(F.percentile_approx(id, shares, 10_000).alias("b")).first()["b"] if shares else []
+    bounds = encoded.where("n_tokens >= 0").agg(F.percentile_approx(id, shares, 10_000).alias("b")).first()["b"] if shares else []
     edges = F.array(*[F.lit(b) for b in bounds or []]).cast(f"array<{encoded.schema[id].dataType.simpleString()}>")
     shared = spark.sparkContext.broadcast(code)
     kind = encoded.schema[id].dataType.simpleString()
@@ -318,7 +428,7 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
                 checks = pa.array([zlib.crc32(p) for p in payloads], pa.int64())
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(payloads, pa.binary()), checks], names=["id", "n_tokens", "payload", "tie"])
 
-    payloads = in_workers(encoded.select(id, "n_tokens", "ids"), coded, f"id {kind}, n_tokens bigint, payload binary, tie bigint")
+    payloads = in_workers(encoded.where("n_tokens >= 0").select(id, "n_tokens", "ids"), coded, f"id {kind}, n_tokens bigint, payload binary, tie bigint")
     # an id that fills whole files shares them by the tie; all others lie between two bounds
     low = F.size(F.filter(edges, lambda b: b < F.col("id")))
     same = F.size(F.filter(edges, lambda b: b == F.col("id")))
@@ -336,7 +446,7 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
                 before += size
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts), batch.column(2), batch.column(3)], names=["bucket", "id", "start", "n_tokens", "payload"])
 
-    ordered = payloads.withColumn("bucket", bucket).repartition(files, "bucket").sortWithinPartitions("bucket", "id", "tie").select("bucket", "id", "n_tokens", "payload")
+    ordered = payloads.withColumn("bucket", bucket).repartition(3 * files, "bucket").sortWithinPartitions("bucket", "id", "tie").select("bucket", "id", "n_tokens", "payload")
     rows = in_workers(ordered, numbered, f"bucket int, id {kind}, start bigint, n_tokens bigint, payload binary")
     rows.write.option("compression", "uncompressed").partitionBy("bucket").parquet(f"{folder}/ids")
 
@@ -371,11 +481,11 @@ def read(spark: SparkSession, folder: str, id: str = "doc_id") -> DataFrame:
     return in_workers(files.select("bucket", "id", "start", "n_tokens", "payload"), run, f"id {kind}, start bigint, n_tokens bigint, ids binary").withColumnRenamed("id", id)
 
 
-def store(docs: DataFrame, file: str, pattern: str, end: int, *, id: str = "doc_id", text: str = "text", folder: str | None = None, per_file: int = PER_FILE) -> str:
+def store(docs: DataFrame, file: str, end: int, *, id: str = "doc_id", text: str = "text", folder: str | None = None, per_file: int = PER_FILE) -> str:
     """Encodes docs and writes their file set; returns its folder (by default a new one in the shared folder)."""
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark)}/token_files/{uuid.uuid4().hex}"
     held = f"{folder}/encoded"
-    encode(docs, file, pattern, end, id=id, text=text).write.option("compression", "zstd").parquet(held)
+    encode(docs, file, end, id=id, text=text).write.option("compression", "zstd").parquet(held)
     write(spark.read.parquet(held), folder, id, per_file)
     return folder
