@@ -50,10 +50,16 @@ def _without(text: Column, letters: str) -> Column:
 
 
 def _bound(value: Column, use) -> Column:
-    """use(value) with value computed once."""
+    """use(value) with value computed once, also where the optimizer moves the expression to another place."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _window_hashes(w: Column) -> Column:
+    """64-bit hash of each window of words."""
+    window = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)])
+    return F.when(F.size(w) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), window)).otherwise(F.array().cast("array<bigint>"))
+
+
 def _repeated_words(hashes: Column) -> Column:
     """Words inside windows whose hash occurs twice or more."""
     pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -65,7 +71,8 @@ def _repeated_words(hashes: Column) -> Column:
     places = _bound(pairs, twice)
     # each window adds the words the one before it did not hold
     start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n"))
-    return F.aggregate(places, start, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n")), lambda a: a["n"])
+    covered = F.aggregate(places, start, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n")), lambda a: a["n"])
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(covered)
 
 
 def text_stats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -75,9 +82,6 @@ def text_stats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     df = df.withColumn("_w", F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), ""))
     df = df.withColumn("_l", F.filter(F.split(t, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     n = F.size("_w")
-    window = lambda i: F.xxhash64(*[F.get("_w", i + k) for k in range(WINDOW)])
-    hashes = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), window)).otherwise(F.array().cast("array<bigint>"))
-    df = df.withColumn("_h", hashes)
     chars = F.length(t)
     df = df.select(
         id,
@@ -85,7 +89,7 @@ def text_stats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
         _without(t, SPACE).cast("long").alias("word_chars"),
         (chars - _without(t, SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct("_h")) == F.size("_h"), F.lit(0)).otherwise(_repeated_words(F.col("_h"))).cast("long").alias("n_repeat_words"),
+        _bound(_bound(F.col("_w"), _window_hashes), _repeated_words).cast("long").alias("n_repeat_words"),
         chars.alias("_chars"),
         F.size("_l").alias("_lines"),
         (chars - _without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).alias("_upper"),

@@ -6,8 +6,8 @@ counted over the whole corpus; package-merge gives the best code lengths of at m
 LONGEST bits, and canonical codes follow from the lengths alone. A file set is
 
     folder/codes    one row per used id: id, bits
-    folder/ids      one row per document, in ascending id order: document id, start (ids before
-                    it in its bucket), n_tokens, payload; buckets are ranges of document ids
+    folder/ids      one row per document, in ascending id order within and between buckets, which are
+                    ranges of document ids: bucket, id, start (ids before it in its bucket), n_tokens, payload
 
 A payload is a row of independent blocks of up to BLOCK ids, in little-endian 32-bit words:
 ids in the block, words of code, bit offset of every CHECK-th id, then the code, most
@@ -448,7 +448,7 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
 
     ordered = payloads.withColumn("bucket", bucket).repartition(3 * files, "bucket").sortWithinPartitions("bucket", "id", "tie").select("bucket", "id", "n_tokens", "payload")
     rows = in_workers(ordered, numbered, f"bucket int, id {kind}, start bigint, n_tokens bigint, payload binary")
-    rows.write.option("compression", "uncompressed").partitionBy("bucket").parquet(f"{folder}/ids")
+    rows.write.option("compression", "uncompressed").parquet(f"{folder}/ids")
 
 
 def read(spark: SparkSession, folder: str, id: str = "doc_id") -> DataFrame:
