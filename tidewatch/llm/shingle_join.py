@@ -459,7 +459,7 @@ def common_links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
         spots = place.select("sig", "family", "block", "piece").distinct().withColumnsRenamed({c: f"to_{c}" for c in ("family", "block", "piece")})
         probes = probing.select("key", "sig", "family", "block", "piece").join(spots, "sig").where("block <> to_block or piece <> to_piece")
         probes = probes.select("key", F.col("to_family").alias("family"), F.col("to_block").alias("block"), F.col("to_piece").alias("piece")).distinct()
-        sent = probes.join(home.select("key", "n", "n_rare", "frequent"), "key")
+        sent = staged(probes.join(home.select("key", "n", "n_rare", "frequent"), "key"), "probes")
         across = home.groupBy("family", "block", "piece").cogroup(sent.groupBy("family", "block", "piece")).applyInArrow(_probe_links, LINK)
         inside = staged(inside.union(across), "links")
     return inside
