@@ -11,5 +11,8 @@ from .secret_scan import listed
 def op9_character_tagger(spark, sf_dir):
     """Personal data of every document: formats, and other spellings by a trained tagger."""
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
