@@ -12,8 +12,7 @@ ancestors that hold one, by equality of paths; files then join their directory.
 
 A file with null or empty text has no licence of its own. A null path has no directory and inherits
 nothing. Several licence files in a directory: the best score counts, then the smaller path.
-Equal cosines: the earlier template, then the longer unit comes later: lines before paragraphs
-before the text. Repeated rows are each reported. An empty table gives an empty one.
+Equal cosines: the earlier template. Repeated rows are each reported. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -100,7 +99,7 @@ def cosines(unit: np.ndarray, h: np.ndarray, n_units: int, m: Model) -> tuple[np
         order = np.argsort(where, kind="stable")
         heads = np.flatnonzero(np.append(True, np.diff(where[order]) > 0))
         products = m.matrix[place[known][order]] * weight[known][order][:, None]
-        dots = np.add.reduceat(products, heads) / norm[touched][:, None]
+        dots = np.round(np.add.reduceat(products, heads) / norm[touched][:, None], 12)  # equal but for the order of sums is equal
         which[touched] = dots.argmax(1)
         best[touched] = dots.max(1)
     return best, which
@@ -125,7 +124,7 @@ def own_licence(buf, at, m: Model) -> tuple[np.ndarray, np.ndarray]:
         owner = row[heads][order]
         top = order[np.append(True, np.diff(owner) > 0)]
         rows = row[heads][top]
-        better = (score[top] > best[rows] + 1e-12) | ((np.abs(score[top] - best[rows]) <= 1e-12) & (template[top] < which[rows]))
+        better = (score[top] > best[rows]) | ((score[top] == best[rows]) & (template[top] < which[rows]))
         best[rows[better]], which[rows[better]] = score[top][better], template[top][better]
     return best, which
 
@@ -162,7 +161,8 @@ def inherited(owned: DataFrame, *, path: str = "path", is_licence_file: Column |
     parts = F.split("_directory", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     above = folders.select("_directory", F.posexplode(F.array_distinct(ancestors)).alias("depth", "holder"))
-    nearest = above.join(holders, "holder").groupBy("_directory").agg(F.max_by(F.struct("licence", "holder"), "depth").alias("_from"))
+    # written, so that the join below is free to split a directory that holds a large share of all files
+    nearest = staged(above.join(holders, "holder").groupBy("_directory").agg(F.max_by(F.struct("licence", "holder"), "depth").alias("_from")), "nearest")
     joined = placed.join(nearest, "_directory", "left")
     has, found = F.col("own").isNotNull(), F.col("_from").isNotNull()
     return joined.select(
