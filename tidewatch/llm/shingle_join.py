@@ -425,11 +425,39 @@ def _probe_links(left: pa.Table, right: pa.Table) -> pa.Table:
     return _link_table(found)
 
 
+def _meetings_at_combinations(sets: DataFrame) -> DataFrame:
+    """(a, b): links each set to the smallest that shares a signature, over one of its own batch.
+
+    Within a batch every set points to the smallest that holds the signature; only that one
+    goes on to the shuffle, so a signature held by a large share of all sets is a row per batch there.
+    """
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            held = batch.column(1)
+            sig = held.flatten().to_numpy()
+            key = np.repeat(keys, np.diff(held.offsets.to_numpy()))
+            order = np.lexsort((key, sig))
+            sig, key = sig[order], key[order]
+            heads = np.append(True, sig[1:] != sig[:-1]) if len(sig) else np.zeros(0, bool)
+            least = key[heads][np.cumsum(heads) - 1] if len(sig) else key
+            # the smallest set once per signature, and each other set once per smallest one
+            pairs = np.unique(np.stack([key[~heads], least[~heads]], 1), axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(np.zeros(len(pairs), np.int64), sig[heads])), pa.array(np.append(pairs[:, 0], key[heads])), pa.array(np.append(pairs[:, 1], key[heads]))],
+                names=["sig", "a", "b"],
+            )
+
+    local = staged(in_workers(sets.select("key", "sigs"), run, "sig bigint, a bigint, b bigint"), "meetings")
+    heads = local.where("a = b").select("sig", "a")
+    pivots = heads.groupBy("sig").agg(F.min("a").alias("b"))
+    return local.where("a <> b").select("a", "b").union(heads.join(pivots, "sig").where("a <> b").select("a", "b")).distinct()
+
+
 def common_links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
     """Links that connect the sets that meet at combinations of frequent tokens. `sets` is a stored table."""
-    rows = sets.select("key", F.explode("sigs").alias("sig"))
-    pivots = rows.groupBy("sig").agg(F.min("key").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    meet = rows.join(pivots, "sig").where("key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
+    meet = _meetings_at_combinations(sets)
     families = components(meet).select(F.col("node").alias("key"), F.col("label").alias("family"))
     sizes = families.join(sets.select("key", "n"), "key").groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
     # within a large family sets with the same smallest signature go together
