@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE = 2 << 20
+SLICE = 1 << 19  # what a slice's working arrays need is about 40 times as much
 ODD = np.uint64(0x9E3779B97F4A7C15 ^ 0b1000)  # 5 mod 8: a full period of its powers
 MASK = (1 << 64) - 1
 

@@ -29,6 +29,7 @@ from .arrays import FOLD, WORD_OF_LETTERS, add_columns, binaries, hashed, in_wor
 
 WINDOW = 10
 BLOCK = 32 << 20
+SHARD = 2 << 20  # bytes of text under one suffix array
 
 
 @dataclass(frozen=True)
@@ -231,7 +232,7 @@ def _search_block(docs: DataFrame, p: Probe | None, text: str) -> DataFrame:
         bits, at_bytes = _hit_bits(hit, begins, n_hit)
         return [pa.array(counts.astype(np.int64)), pa.array(n_hit), lists(owners >> 32, names, n), pa.array(longest), lists(row[keep], structs, n), binaries(bits, at_bytes)]
 
-    return add_columns(docs, text, FOUND, work)
+    return add_columns(docs, text, FOUND, work, SHARD)
 
 
 def _hit_bits(hit, begins, n_hit):
@@ -325,4 +326,4 @@ def _without(docs: DataFrame, p: Probe | None, text: str) -> DataFrame:
         clean[np.searchsorted(begins, place, "right") - 1] = False
         return clean
 
-    return keep_rows(docs, text, keep)
+    return keep_rows(docs, text, keep, SHARD)

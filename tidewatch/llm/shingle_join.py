@@ -49,7 +49,7 @@ KEYS_LIMIT = 2 << 20  # set keys broadcast as a filter; beyond it a join alone d
 BLOCK = 4096
 BLOCK_TOKENS = 2 << 20
 PER_BUCKET = 1 << 20
-BATCH = 4 << 20
+BATCH = 2 << 20
 
 
 def shingles(buf: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +258,7 @@ def rare_tokens(docs: DataFrame, text: str, frequent, bits: int) -> DataFrame:
                 if chosen.any():
                     parts.append((token[chosen], keys[row[chosen]]))
                     held += int(chosen.sum())
-                if held >= BATCH // 2:
+                if held >= BATCH:
                     yield flush(parts)
                     parts, held = [], 0
         if held:
