@@ -167,3 +167,9 @@ def test_a_small_limit_of_frequent_tokens(docs, monkeypatch):
     ids = list(range(len(texts)))
     monkeypatch.setattr(shingle_join.frequent_tokens, "__defaults__", (shingle_join.RARE, 20))
     assert rows(grouped(docs(texts, ids))) == expected(ids, texts)
+
+
+def test_classes_without_tokens_do_not_end_the_choice():
+    assert shingle_join.least_class({4: 50, 5: 20, 9: 3, 14: 1}, 100) == 4
+    assert shingle_join.least_class({4: 50, 5: 20, 9: 3, 14: 1}, 24) == 5
+    assert shingle_join.least_class({14: 9}, 5) == 15 and shingle_join.least_class({}, 5) == 1

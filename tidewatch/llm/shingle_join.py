@@ -163,6 +163,17 @@ def _dealt(tokens: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (tokens >> np.uint64(96 - bits)).astype(np.int64), ((tokens >> np.uint64(64 - bits)) & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
+def least_class(by_class: dict[int, int], limit: int) -> int:
+    """The lowest class down to which all classes together hold at most `limit` tokens."""
+    held, least = 0, max(by_class, default=0) + 1
+    for c in sorted(by_class, reverse=True):
+        held += by_class[c]
+        if held > limit:
+            break
+        least = c
+    return least
+
+
 def frequent_tokens(docs: DataFrame, text: str, bits: int, rare: int = RARE, limit: int = FREQUENT_LIMIT) -> Frequent:
     """Counts all tokens: sorted and added up per task first, so a hot token is one entry a task."""
 
@@ -201,11 +212,7 @@ def frequent_tokens(docs: DataFrame, text: str, bits: int, rare: int = RARE, lim
     dealt = in_workers(docs.select(text), deal, "bucket int, low binary, n binary")
     counted = staged(dealt.groupBy("bucket").applyInArrow(add, "token bigint, class int"), "frequent")
     by_class = {r["class"]: r["n"] for r in counted.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
-    least, held = max(by_class, default=0) + 1, 0
-    while least - 1 in by_class and held + by_class[least - 1] <= limit:
-        least -= 1
-        held += by_class[least]
-    kept = counted.where(F.col("class") >= least).toArrow()
+    kept = counted.where(F.col("class") >= least_class(by_class, limit)).toArrow()
     return Frequent(kept["token"].to_numpy().astype(np.uint64), kept["class"].to_numpy().astype(np.uint8), bits)
 
 
