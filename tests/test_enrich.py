@@ -8,10 +8,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from tidewatch.operators import enrich
-from tidewatch.operators.enrich import Limits, full_join_feeds, lookup, step_join, step_value
+from tidewatch.operators.enrich import full_join_feeds, left_join_feeds, lookup, one_per_key, step_join, step_value
+from tidewatch.functions.codes import folded
 
-SHUFFLED = Limits(rows=2, hot_share=0.05, spread=64)
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def way(request, spark):
+    """Both ways a join can run."""
+    if request.param == "shuffle":
+        for key, value in NO_BROADCAST.items():
+            spark.conf.set(key, value)
+    yield request.param
+    for key in NO_BROADCAST:
+        spark.conf.unset(key)
 
 
 @pytest.fixture(scope="module")
@@ -24,64 +35,48 @@ def fact(spark):
 
 @pytest.fixture(scope="module")
 def dim(spark):
-    return spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("name "), "id").alias("name"), F.when(F.col("id") != 7, F.col("id")).alias("w"))
-
+    return spark.range(40).select(F.concat(F.lit("name "), "id").alias("name"), F.col("id").alias("k"), F.when(F.col("id") != 7, F.col("id")).alias("w"))
 
-def as_set(df):
-    return {(r["id"], r["k"], r["name"], r["w"]) for r in df.collect()}
 
+def test_rows_and_column_order_are_the_same_both_ways(fact, dim, way):
+    df = lookup(fact, dim, "k")
+    assert df.columns == ["id", "k", "name", "w"]
+    got = [(r["id"], r["k"], r["name"], r["w"]) for r in df.collect()]
+    want = [(r["id"], k, *((f"name {k}", None if k == 7 else k) if k is not None and k < 40 else (None, None))) for r in fact.collect() for k in [r["k"]]]
+    assert sorted(got, key=lambda r: r[0]) == sorted(want, key=lambda r: r[0])
+    assert ("BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()) == (way == "broadcast")
 
-def test_both_ways_agree_and_keep_every_row(fact, dim):
-    small = lookup(fact, dim, "k")
-    large = lookup(fact, dim, "k", limits=SHUFFLED)
-    assert small.count() == large.count() == 9000
-    assert as_set(small) == as_set(large)
-    want = {(r["id"], r["k"], f"name {r['k']}" if r["k"] is not None and r["k"] < 40 else None) for r in fact.collect()}
-    assert {x[:3] for x in as_set(large)} == want
-    assert set(small.columns) == set(large.columns)
 
+def test_no_job_runs_before_rows_are_asked_for(spark, fact, dim):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan only")
+    lookup(lookup(fact, dim, "k"), dim.select("k", F.col("name").alias("again")), "k")
+    assert list(tracker.getJobIdsForGroup("plan")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-def test_hot_keys_from_another_table_change_nothing(spark, fact, dim):
-    other = spark.range(1000).select(F.lit(3).cast("long").alias("k"))
-    assert as_set(lookup(fact, dim, "k", limits=SHUFFLED, hot_from=other)) == as_set(lookup(fact, dim, "k"))
-    empty = other.where("k < 0")
-    assert as_set(lookup(fact, dim, "k", limits=SHUFFLED, hot_from=empty, unique=True)) == as_set(lookup(fact, dim, "k"))
 
-
-def test_hot_and_missing_keys_are_spread(spark, fact, dim):
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_hot_keys_are_split_by_adaptive_execution(spark, dim):
+    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    for key, value in {**NO_BROADCAST, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}.items():
+        spark.conf.set(key, value)
     try:
-        df = lookup(fact, dim, "k", limits=SHUFFLED)
-        per_task = df.withColumn("task", F.spark_partition_id()).groupBy("task", "k").count()
-        for key in (F.col("k") == 7, F.col("k").isNull()):
-            sizes = [r["count"] for r in per_task.where(key).collect()]
-            assert len(sizes) >= 6 and max(sizes) < 2 * sum(sizes) / len(sizes)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan
+        n = F.col("id")
+        rows = spark.range(400_000, numPartitions=8).select(n, F.when(n % 2 == 0, 7).otherwise(n % 5000).alias("k"), F.sha2(n.cast("string"), 256).alias("wide"))
+        df = lookup(rows, spark.range(5000).select(F.col("id").alias("k"), F.col("id").alias("w")), "k")
+        df.write.format("noop").mode("overwrite").save()
+        sizes = [r["count"] for r in df.withColumn("task", F.spark_partition_id()).where("k = 7").groupBy("task").count().collect()]
+        assert sum(sizes) == 200_000 + 80 and len(sizes) >= 4
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_identical_copies_of_a_row_are_spread(spark, dim):
-    copies = spark.range(8000, numPartitions=8).select(F.lit(7).cast("long").alias("k"))
-    df = lookup(copies, dim, "k", limits=SHUFFLED)
-    assert df.count() == 8000 and df.where(F.col("name") == "name 7").count() == 8000
+        for key in NO_BROADCAST:
+            spark.conf.unset(key)
+        for key, value in keep.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_size_is_checked_before_a_broadcast(fact, dim):
-    assert enrich.measure(dim, ["k"]).rows == 40
-    hinted = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in hinted(lookup(fact, dim, "k"))
-    by_bytes = lookup(fact, dim, "k", limits=Limits(bytes=10))
-    assert "_place" in by_bytes._jdf.queryExecution().analyzed().toString()
-
-
-def test_repeated_dimension_keys_are_refused(fact, dim):
-    with pytest.raises(ValueError, match="repeats a key"):
-        lookup(fact, dim.unionByName(dim.limit(1)), "k")
+def test_repeated_dimension_keys_are_refused(fact, dim, way):
+    with pytest.raises(Exception, match="repeats a key"):
+        lookup(fact, dim.unionByName(dim.limit(1)), "k").collect()
+    assert one_per_key(dim, ["k"]).columns == dim.columns
 
 
 def test_columns_on_both_sides_are_refused(fact, dim):
@@ -89,12 +84,11 @@ def test_columns_on_both_sides_are_refused(fact, dim):
         lookup(fact, dim.withColumn("id", F.lit(1)), "k")
 
 
-@pytest.mark.parametrize("limits", [Limits(), SHUFFLED])
-def test_missing_keys_match_only_when_asked(frame, limits):
+def test_missing_keys_match_only_when_asked(frame, way):
     left = frame([("a", 1), (None, 2)], "k string, x int")
     right = frame([("a", "A"), (None, "none"), ("b", "B"), ("c", "C")], "k string, y string")
-    assert values(lookup(left, right, "k", limits=limits), "y", "x") == ["A", None]
-    assert values(lookup(left, right, "k", null_safe=True, limits=limits), "y", "x") == ["A", "none"]
+    assert values(lookup(left, right, "k"), "y", "x") == ["A", None]
+    assert values(lookup(left, right, "k", null_safe=True), "y", "x") == ["A", "none"]
 
 
 def test_full_join_puts_keys_together(frame):
@@ -107,6 +101,14 @@ def test_full_join_puts_keys_together(frame):
         full_join_feeds([a, a], ["k", "d"])
 
 
+def test_feeds_that_repeat_a_key_are_refused(frame):
+    a = frame([("x", "2021-01-01", 1)], "k string, d date, a int")
+    twice = frame([("x", "2021-01-01", 2), ("x", "2021-01-01", 3)], "k string, d date, b int")
+    for joined in (left_join_feeds(a, twice, ["k", "d"]), full_join_feeds([a, twice], ["k", "d"])):
+        with pytest.raises(Exception, match="feed repeats a key"):
+            joined.collect()
+
+
 def test_step_forms_agree(spark, frame):
     steps = [("2021-01-03", 0.0), ("2021-01-05", 0.5), ("2021-01-06", 0.9)]
     days = frame([(str(dt.date(2021, 1, 1) + dt.timedelta(days=i)),) for i in range(9)], "d date")
@@ -116,3 +118,17 @@ def test_step_forms_agree(spark, frame):
     assert values(step_join(days, "d", table), "p", "d") == folded
     with pytest.raises(ValueError):
         step_value("d", [])
+    # an open step, one far beyond the data, one that holds no day, and a table longer than any CASE should be
+    table = frame([("1990-01-01", "2021-01-03", 0.1), ("2021-01-04", None, 0.2), ("2021-01-03", "2021-01-03", 9.0)], "lo date, hi date, p double")
+    assert values(step_join(days, "d", table), "p", "d") == [0.1, 0.1, None, *[0.2] * 6]
+    assert values(step_join(days, "d", table.withColumn("hi", F.coalesce("hi", F.lit("9999-01-01").cast("date")))), "p", "d") == [0.1, 0.1, None, *[0.2] * 6]
+    long = [(str(dt.date(2020, 1, 1) + dt.timedelta(days=i)), float(i)) for i in range(500)]
+    assert values(days.withColumn("p", step_value("d", long)), "p", "d") == [366.0 + i for i in range(9)]
+
+
+def test_long_literal_tables(spark):
+    table = {f"k{i}": i for i in range(200)}
+    rows = spark.createDataFrame([("k0",), ("k199",), ("other",), (None,)], "k string").select(folded("k", table).alias("v"))
+    assert [r["v"] for r in rows.collect()] == [0, 199, None, None]
+    with pytest.raises(ValueError):
+        folded("k", {})

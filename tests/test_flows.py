@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.plans import county, federal, hospital, run, testing, trend
+from tidewatch.sources.extracts import current_version
 from tidewatch.schemas import ADMISSIONS, TEST_HISTORY
 from tidewatch.sources.delimited import read_feed
 from tidewatch.sources.landing import Landing
@@ -267,7 +268,12 @@ def test_nursing(panels):
 
 
 def test_a_second_run_of_the_day_adds_nothing(landing, out, panels):
-    again = run.extracts(landing, out, {"federal"})["federal_state"]
+    first = run.extracts(landing, out, {"federal"})
+    run.keep_snapshots(first["snapshots"], f"{out}/snapshots")
+    made = run.extracts(landing, out, {"federal"})
+    run.keep_snapshots(made["snapshots"], f"{out}/snapshots")
+    assert run.stored_snapshots(landing.spark, f"{out}/snapshots").count() == first["snapshots"].count()
+    again = made["federal_state"]
     assert again.where(F.col("new_reported_tests").isNotNull()).count() == 0
     assert again.count() == len(panels["federal_state"])
 
@@ -285,20 +291,35 @@ def test_reports_and_imported_history(landing, tmp_path, spark):
     assert len(week) == 8 and week[0]["change"] is None
     ny = made["federal_state"].where("state = 'NY' AND new_reported_tests IS NOT NULL").collect()
     assert [(r["date"], r["new_reported_tests"]) for r in ny] == [(DAYS[-2], 39 * 100.0 - 100)]
+    # what was imported once stays: the next runs need not ask for it
+    run.keep_snapshots(made["snapshots"], f"{tmp_path}/snapshots")
+    for _ in range(2):
+        later = run.extracts(landing, str(tmp_path), {"federal"})
+        run.keep_snapshots(later["snapshots"], f"{tmp_path}/snapshots")
+        assert later["federal_state"].where("state = 'NY' AND new_reported_tests IS NOT NULL").count() == 1
+
+
+def test_ages_alone_publish_no_panel(landing, tmp_path):
+    assert set(run.extracts(landing, str(tmp_path), {"ages"})) == {"admissions_ages"}
+    assert not (tmp_path / "snapshots").exists()
 
 
 def test_publishing_writes_a_table_and_an_extract(spark, frame, tmp_path):
     df = frame([("NY", "2021-12-31", 1), ("NY", "2022-01-01", 2)], "state string, date date, x int")
     run.publish(df, str(tmp_path), "p")
-    assert spark.read.parquet(str(tmp_path / "tables" / "p")).where("year_part = 2022").count() == 1
-    back = read_feed(spark, str(tmp_path / "p"), {"state": "string", "date": "date", "x": "int"})
+    assert spark.read.parquet(current_version(spark, str(tmp_path / "tables" / "p"))).where("year_part = 2022").count() == 1
+    back = read_feed(spark, current_version(spark, str(tmp_path / "p")), {"state": "string", "date": "date", "x": "int"})
+    before = current_version(spark, str(tmp_path / "p"))
+    with pytest.raises(Exception):
+        run.publish(df.withColumn("x", F.raise_error(F.lit("half way"))), str(tmp_path), "p")
+    assert current_version(spark, str(tmp_path / "p")) == before
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
 def test_command_line(landing, spark, tmp_path):
     run.main(landing.folder, str(tmp_path), {"trend", "nursing"})
-    assert spark.read.parquet(str(tmp_path / "tables" / "state_trend")).count() == 80
-    assert read_feed(spark, str(tmp_path / "nursing_weekly"), {"n_residents": "double"}).count() == 3
+    assert spark.read.parquet(current_version(spark, str(tmp_path / "tables" / "state_trend"))).count() == 80
+    assert read_feed(spark, current_version(spark, str(tmp_path / "nursing_weekly")), {"n_residents": "double"}).count() == 3
     assert (tmp_path / "nursing_and_all_deaths").is_dir()
 
 

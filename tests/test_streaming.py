@@ -29,16 +29,15 @@ def rows_of(df):
 def test_revisions_stream_equals_batch_and_reruns_change_nothing(spark, tmp_path, revisions):
     for i, part in enumerate(revisions.randomSplit([1.0, 1.0, 1.0], seed=3)):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    log = BatchLog(spark, str(tmp_path / "log"), revisions.schema, day="d")
     source = lambda: landed(spark, str(tmp_path / "in"), revisions.schema, 1)
-    args = (str(tmp_path / "out"), str(tmp_path / "progress"), KEYS, order())
+    args = (str(tmp_path / "out"), str(tmp_path / "progress"), "d", KEYS, order())
     want = rows_of(merge_revisions(revisions, KEYS, order()))
-    assert rows_of(merge_stream(spark, source(), log, *args)) == want
+    assert rows_of(merge_stream(spark, source(), revisions.schema, *args)) == want
     # nothing new has landed
-    assert rows_of(merge_stream(spark, source(), log, *args)) == want
+    assert rows_of(merge_stream(spark, source(), revisions.schema, *args)) == want
     # all progress is lost and everything is run again, in other batches
-    lost = (str(tmp_path / "out"), str(tmp_path / "progress2"), KEYS, order())
-    again = merge_stream(spark, landed(spark, str(tmp_path / "in"), revisions.schema, 2), log, *lost)
+    lost = (str(tmp_path / "out"), str(tmp_path / "progress2"), "d", KEYS, order())
+    again = merge_stream(spark, landed(spark, str(tmp_path / "in"), revisions.schema, 2), revisions.schema, *lost)
     assert rows_of(again) == want
 
 
@@ -46,14 +45,13 @@ def test_a_late_revision_rewrites_only_its_days(spark, tmp_path, frame):
     schema = "k string, d date, source_rank int, version int, x double"
     first = frame([("a", "2021-01-01", 1, 0, 1.0), ("a", "2021-01-02", 1, 0, 2.0)], schema)
     late = frame([("a", "2021-01-02", 0, 0, 9.0)], schema)
-    log = BatchLog(spark, str(tmp_path / "log"), first.schema, day="d")
-    args = (str(tmp_path / "out"), str(tmp_path / "progress"), KEYS, order())
+    args = (str(tmp_path / "out"), str(tmp_path / "progress"), "d", KEYS, order())
     source = lambda: landed(spark, str(tmp_path / "in"), first.schema)
     first.write.parquet(str(tmp_path / "in"))
-    merge_stream(spark, source(), log, *args)
+    merge_stream(spark, source(), first.schema, *args)
     kept = [p for p in (tmp_path / "out" / "d=2021-01-01").glob("*.parquet")]
     late.write.mode("append").parquet(str(tmp_path / "in"))
-    got = merge_stream(spark, source(), log, *args)
+    got = merge_stream(spark, source(), first.schema, *args)
     assert {(str(r["d"]), r["x"]) for r in got.collect()} == {("2021-01-01", 1.0), ("2021-01-02", 9.0)}
     assert [p for p in (tmp_path / "out" / "d=2021-01-01").glob("*.parquet")] == kept
 
@@ -61,7 +59,7 @@ def test_a_late_revision_rewrites_only_its_days(spark, tmp_path, frame):
 def test_snapshots_pile_up_beyond_one_run(spark, tmp_path, frame):
     schema = "k string, d date, total long"
     runs = [frame([("a", f"2021-01-0{i}", 10 * i), ("b", f"2021-01-0{i}", i)], schema) for i in (1, 2, 3)]
-    log = BatchLog(spark, str(tmp_path / "log"), runs[0].schema)
+    log = BatchLog(spark, str(tmp_path / "log"), runs[0].schema, day="d")
     for run in [*runs, runs[2]]:
         run.write.mode("append").parquet(str(tmp_path / "in"))
         history = accumulate_stream(landed(spark, str(tmp_path / "in"), run.schema), log, str(tmp_path / "progress"))
@@ -70,3 +68,15 @@ def test_snapshots_pile_up_beyond_one_run(spark, tmp_path, frame):
     changes = snapshot_changes(history, ("k",), "d", {"total": "new"}).where("k = 'a'").orderBy("d").collect()
     assert [r["new"] for r in changes] == [None, 10, 10]
     assert {(r["k"], r["total"]) for r in last_snapshot(history, ("k",), "d").collect()} == {("a", 30), ("b", 3)}
+
+
+def test_lost_progress_and_new_files_lose_no_history(spark, tmp_path, frame):
+    schema = "k string, d date, total long"
+    first, second = (frame([("a", f"2021-01-0{i}", 10 * i)], schema) for i in (1, 2))
+    log = BatchLog(spark, str(tmp_path / "log"), first.schema, day="d")
+    first.write.parquet(str(tmp_path / "in1"))
+    accumulate_stream(landed(spark, str(tmp_path / "in1"), first.schema), log, str(tmp_path / "progress1"))
+    second.write.parquet(str(tmp_path / "in2"))
+    history = accumulate_stream(landed(spark, str(tmp_path / "in2"), first.schema), log, str(tmp_path / "progress2"))
+    assert rows_of(history) == rows_of(first.union(second))
+    assert log.read().select("run").distinct().count() == 2

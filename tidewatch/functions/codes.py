@@ -53,12 +53,10 @@ def margin_bucket(share: Column | str, low: float, high: float, labels: tuple[st
     )
 
 
-def folded(c: Column | str, table: dict, limit: int = 64) -> Column:
-    """Value for a key out of a small literal table, missing when not listed."""
-    if not 0 < len(table) <= limit:
-        raise ValueError(f"literal table of {len(table)} entries; join a DataFrame instead")
-    c = col(c)
-    chain = None
-    for key, value in table.items():
-        chain = F.when(c == key, F.lit(value)) if chain is None else chain.when(c == key, F.lit(value))
-    return chain
+def folded(c: Column | str, table: dict) -> Column:
+    """Value for a key out of a literal table, missing when not listed. A table of data belongs into a join."""
+    if not table:
+        raise ValueError("empty literal table")
+    keys, values = F.array(*map(F.lit, table)), F.array(*map(F.lit, table.values()))
+    place = F.array_position(keys, col(c))
+    return F.get(values, (place - 1).cast("int"))

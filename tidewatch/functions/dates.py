@@ -26,9 +26,14 @@ SHAPES = {
 }
 
 
+# A time of day after a date, with or without zone.
+TIME = r"(T|\s+)\d{1,2}:\d{2}.*$"
+
+
 def parse_date(c: Column | str, formats: str | Sequence[str] = YEAR_FIRST) -> Column:
-    """Text to date by the first declared format that fits; else missing."""
+    """Text to date by the first declared format that fits, whatever time follows it; else missing."""
     text = F.trim(col(c).cast("string"))
+    text = F.when(text.contains(":"), F.regexp_replace(text, TIME, "")).otherwise(text)
     tries = []
     for f in [formats] if isinstance(formats, str) else formats:
         parsed = F.try_to_date(text, f)

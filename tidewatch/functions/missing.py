@@ -68,8 +68,11 @@ def default_to(c: Column | str, value) -> Column:
 
 
 def number(c: Column | str, kind: str = "double") -> Column:
-    """Text to number; bad text is missing."""
-    return col(c).try_cast(kind)
+    """Text to number; bad text is missing. A whole number may be written with a point: 1001.0 is 1001."""
+    if kind not in ("long", "bigint", "int", "integer"):
+        return col(c).try_cast(kind)
+    exact = col(c).try_cast("decimal(38,6)")
+    return F.coalesce(col(c).try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
 
 
 def split_by_share(c: Column | str, share: Column | str) -> tuple[Column, Column]:

@@ -1,13 +1,14 @@
 """Joins.
 
-`lookup` adds dimension columns to a fact without ever changing its row count.
-Before it broadcasts a dimension it measures it; a larger one is joined by
-shuffle, with the hot keys of the fact taken out of the way first.
+`lookup` adds dimension columns to a fact without ever changing its row count or the
+order of its columns. It runs no job: a dimension that repeats a key fails the job that
+reads the joined rows, and adaptive execution decides from real sizes whether the
+dimension is broadcast and which hot keys of the fact are split.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,57 +16,29 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import folded
 from ..functions.missing import col
-from ..sources.staging import staged
 
 
-@dataclass(frozen=True)
-class Limits:
-    """What may be broadcast, and from which share of the fact a key counts as hot."""
-
-    rows: int = 500_000
-    bytes: int = 64 << 20
-    hot_share: float = 0.001
-    spread: int = 4096
+def one_per_key(df: DataFrame, on: Sequence[str], what: str = "dimension") -> DataFrame:
+    """df, failing when it is read if a key occurs twice. Columns keep their order.
 
+    One aggregate by the key, whose partitioning a join by that key uses again.
+    """
+    rest = [c for c in df.columns if c not in on]
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(True).alias("_"), *rest)).alias("_row"))
+    said = F.concat(F.lit(f"{what} repeats a key of {list(on)} "), F.col("_n").cast("string"), F.lit(" times"))
+    checked = counted.withColumn("_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(said)))
+    return checked.select(*[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
-@dataclass(frozen=True)
-class Size:
-    rows: int
-    bytes: int
-    copies: int
 
+def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str], *, unique: bool = False, null_safe: bool = False) -> DataFrame:
+    """Left join that keeps every fact row exactly once: the fact's columns, then the dimension's.
 
-def measure(dim: DataFrame, on: list[str], unique: bool = False) -> Size:
-    """Rows, text size and the most rows any key has, by one distributed aggregate.
+    Missing keys match nothing unless `null_safe`. A dimension that brings a column name the
+    fact already has is an error here, one that repeats a key is an error when rows are read.
+    `unique` is for a dimension that was grouped or reduced to one row per key just before.
 
-    A dimension known to hold a key once is counted without a shuffle.
-    """
-    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in dim.columns])
-    if unique:
-        row = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-        return Size(row["n"], row["b"] or 0, 1)
-    per_key = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-    row = per_key.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("n").alias("copies")).first()
-    return Size(row["n"] or 0, row["b"] or 0, row["copies"] or 0)
-
-
-def lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    *,
-    unique: bool = False,
-    null_safe: bool = False,
-    hot_from: DataFrame | None = None,
-    limits: Limits = Limits(),
-) -> DataFrame:
-    """Left join that keeps every fact row exactly once.
-
-    Missing keys match nothing unless `null_safe`. A dimension that repeats a
-    key, or brings a column name the fact already has, is an error. `unique`
-    is for a dimension that was grouped or reduced to one row per key just before.
-    `hot_from` is a stored table to find the fact's hot keys in when the fact
-    itself is costly to compute; it decides how rows travel, never the result.
+    A key that owns a large share of the fact is split by adaptive execution (skewed left side),
+    as long as nothing after the join needs the fact's rows together by the same key.
     """
     on = [on] if isinstance(on, str) else list(on)
     payload = [c for c in dim.columns if c not in on]
@@ -73,12 +46,8 @@ def lookup(
     if clash:
         raise ValueError(f"columns on both sides: {clash}; rename them before the join")
     keyed = dim if null_safe else dim.dropna(subset=on)
-    size = measure(keyed, on, unique)
-    if size.copies > 1:
-        raise ValueError(f"dimension repeats a key of {on} up to {size.copies} times")
-    if size.rows <= limits.rows and size.bytes <= limits.bytes:
-        return _left(fact, F.broadcast(keyed), on, null_safe)
-    return _left_hot_safe(fact, keyed, on, payload, null_safe, fact if hot_from is None else hot_from, limits)
+    joined = _left(fact, keyed if unique else one_per_key(keyed, on), on, null_safe)
+    return joined.select(*fact.columns, *payload)
 
 
 def _left(fact: DataFrame, dim: DataFrame, on: list[str], null_safe: bool) -> DataFrame:
@@ -90,56 +59,16 @@ def _left(fact: DataFrame, dim: DataFrame, on: list[str], null_safe: bool) -> Da
     return fact.join(right, same, "left").drop(*held.values())
 
 
-def _left_hot_safe(
-    fact: DataFrame, dim: DataFrame, on: list[str], payload: list[str], null_safe: bool, counted: DataFrame, limits: Limits
-) -> DataFrame:
-    """Shuffle join that no single key can overload.
-
-    Keys above the hot share number at most 1 / hot_share, so their dimension
-    rows are safe to broadcast. They are found by one pass over the key columns
-    and written down, as two later steps need them. Rows already served that way, and rows whose
-    key is missing, are then spread over the shuffle instead of following
-    their key into one task. The spread depends on the row and its task only,
-    so a re-run task sends every row to the same place.
-    """
-    total = counted.agg(F.count(F.lit(1))).scalar()
-    per_key = counted.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot_keys = staged(per_key.where(F.col("_n") > total * limits.hot_share).select(*on), "hot_keys")
-    hot_rows = _semi(dim, F.broadcast(hot_keys), on, null_safe).select(*on, F.struct(*payload).alias("_hot"))
-    hot = _left(hot_keys.withColumn("_is_hot", F.lit(True)), F.broadcast(hot_rows), on, null_safe)
-    marked = _left(fact, F.broadcast(hot), on, null_safe)
-
-    apart = F.col("_is_hot").isNotNull()
-    if not null_safe:
-        apart = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on], apart)
-    place = F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), F.lit(limits.spread)) + 1
-    spread = marked.withColumn("_place", F.when(apart, place).otherwise(F.lit(0).cast("long")))
-    # always 0, but computed: Catalyst would take a literal out of the join key and undo the spread
-    zero = F.pmod(F.xxhash64(*on), F.lit(1))
-    cold = dim.select(*on, zero.alias("_place"), F.struct(*payload).alias("_cold"))
-    joined = _left(spread, cold, [*on, "_place"], null_safe)
-    return joined.select(*fact.columns, *[F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in payload])
-
-
-def _semi(left: DataFrame, right: DataFrame, on: list[str], null_safe: bool) -> DataFrame:
-    if not null_safe:
-        return left.join(right, on, "left_semi")
-    held = {c: f"_key_{c}" for c in on}
-    keys = right.withColumnsRenamed(held)
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(keys[held[c]]) for c in on])
-    return left.join(keys, same, "left_semi")
-
-
 def left_join_feeds(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Fact to fact on (entity, day). Both sides hold a key once, so none is hot."""
+    """Fact to fact on (entity, day). A repeated key on the right would multiply rows and is an error."""
     _no_clash([left, right], on)
-    return left.join(right, on, "left")
+    return left.join(one_per_key(right, on, "feed"), on, "left")
 
 
 def full_join_feeds(feeds: list[DataFrame], on: list[str]) -> DataFrame:
-    """Full outer join of panels on (entity, day); the shuffle by `on` is done once per feed."""
+    """Full outer join of panels on (entity, day), each of which must hold a key once; the shuffle by `on` is done once per feed."""
     _no_clash(feeds, on)
-    return reduce(lambda a, b: a.join(b, on, "full"), feeds)
+    return reduce(lambda a, b: a.join(b, on, "full"), [one_per_key(f, on, "feed") for f in feeds])
 
 
 def _no_clash(feeds: list[DataFrame], on: list[str]) -> None:
@@ -162,27 +91,25 @@ def overridden(target: Column | str, by: Column | str, table: dict) -> Column:
 
 
 def step_value(day: Column | str, steps: list[tuple[str, float]]) -> Column:
-    """Value in force on a day, from a short list of (first day, value) going up.
-
-    Missing before the first step. Folded into one CASE: no join.
-    """
-    if not 0 < len(steps) <= 64:
-        raise ValueError("use step_join for a long step table")
-    chain = None
-    for first, value in reversed(steps):
-        test = col(day) >= F.lit(first).cast("date")
-        chain = F.when(test, F.lit(value)) if chain is None else chain.when(test, F.lit(value))
-    return chain
+    """Value in force on a day, from a list of (first day, value) going up; missing before the first step. No join."""
+    if not steps:
+        raise ValueError("no steps")
+    table = F.array(*[F.struct(F.lit(first).cast("date").alias("lo"), F.lit(value).alias("value")) for first, value in steps])
+    begun = F.filter(table, lambda s: s["lo"] <= col(day))
+    return F.get(begun, F.size(begun) - 1)["value"]
 
 
-def step_join(df: DataFrame, day: str, steps: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Value in force on a day, from a table (lo, hi, ...) of half-open ranges.
+def step_join(df: DataFrame, day: str, steps: DataFrame) -> DataFrame:
+    """Value in force on a day, from a table (lo, hi, ...) of half-open ranges; a missing hi is open.
 
-    The ranges are laid out as days, so the lookup is an equi-join on the day
-    and not a range join; the table grows to one row per day it covers.
+    The ranges are laid out as days, so the lookup is an equi-join on the day and not a
+    range join. Only days between the first and the last of `df` are laid out, whatever the ranges say.
     """
-    days = steps.where(F.col("lo") < F.col("hi")).withColumn(day, F.explode(F.sequence(F.col("lo"), F.date_sub("hi", 1)))).drop("lo", "hi")
-    return lookup(df, days, day, limits=limits)
+    ends = df.agg(F.min(day).alias("first"), F.max(day).alias("last"), F.count(day).alias("n"))
+    first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    lo, hi = F.greatest("lo", first), F.least(F.coalesce(F.date_sub("hi", 1), last), last)
+    laid = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<date>"))
+    return lookup(df, steps.withColumn(day, F.explode(laid)).drop("lo", "hi"), day)
 
 
 def between_days(day: Column | str, after: str, before: str) -> Column:

@@ -11,7 +11,6 @@ NYC_REGION = "Northeast"
 # Windows and thresholds --------------------------------------
 MIN_COUNTY_ROWS = 8
 MIN_REPORTING = 5
-NEWEST_ARCHIVES = 14
 REPORTING_OFFSET_DAYS = 4
 ICU_CHANGE_LIMIT = 500
 

@@ -94,9 +94,9 @@ def named(fact: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def described(fact: DataFrame, metros: DataFrame, densities: DataFrame, rows: DataFrame) -> DataFrame:
+def described(fact: DataFrame, metros: DataFrame, densities: DataFrame) -> DataFrame:
     """Metro area, density, population override, then rates per 1,000 people."""
-    wide = lookup(lookup(fact, metros, "fips", hot_from=rows), densities, "fips", hot_from=rows)
+    wide = lookup(lookup(fact, metros, "fips"), densities, "fips")
     return (
         wide.withColumn("msaname", overridden("msaname", "ctyname", {k.NEW_YORK_CITY: k.NYC_METRO}))
         .withColumn("pop", overridden("pop", "ctyname", {k.NEW_YORK_CITY: float(k.NYC_POPULATION)}))
@@ -149,13 +149,13 @@ def county_panel(feeds: dict[str, DataFrame]) -> DataFrame:
     fact = named(rows.distinct(), population(feeds["county_population"]))
     panel = growth(changes(min_history(fact, PANEL, k.MIN_COUNTY_ROWS)))
     panel = with_latest(panel, PANEL, recent_cases="pos_7d_avg", recent_cases_1wk="lstwk_pos_7d_avg")
-    panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]), rows)
-    panel = lookup(panel, staged(result_2020(feeds["election_2020"]), "result_2020"), "fips", unique=True, hot_from=rows)
-    panel = lookup(panel, result_2016(feeds["election_2016"]), "fips", hot_from=rows)
+    panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
+    panel = lookup(panel, staged(result_2020(feeds["election_2020"]), "result_2020"), "fips", unique=True)
+    panel = lookup(panel, result_2016(feeds["election_2016"]), "fips")
     panel = panel.withColumn("result2016", overridden("result2016", "ctyname", {k.NEW_YORK_CITY: k.NYC_RESULT_2016}))
     panel = panel.withColumn("max_date", latest_day(fact)).withColumns(as_of_columns("date"))
     panel = lookup(panel, regions(feeds["census_regions"]), "stname")
-    return lookup(panel, vaccination(feeds["county_vaccination"]), "fips", unique=True, hot_from=rows)
+    return lookup(panel, vaccination(feeds["county_vaccination"]), "fips", unique=True)
 
 
 def latest_by_code(rows: DataFrame) -> DataFrame:
@@ -180,9 +180,9 @@ def county_panel_strict(feeds: dict[str, DataFrame]) -> DataFrame:
             "death_7d_avg": PANEL.rolling_mean("new_deaths", mode="strict"),
         }
     )
-    panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]), rows)
+    panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
     votes = result_2016(feeds["election_2016"], missing_is_lower=True).select("fips", "result2016")
-    panel = lookup(panel, votes, "fips", hot_from=rows)
+    panel = lookup(panel, votes, "fips")
     panel = panel.withColumn("result2016", overridden("result2016", "ctyname", {k.NEW_YORK_CITY: k.NYC_RESULT_2016}))
-    panel = lookup(panel, latest_by_code(rows), "fips", unique=True, hot_from=rows).withColumns(as_of_columns("date"))
+    panel = lookup(panel, latest_by_code(rows), "fips", unique=True).withColumns(as_of_columns("date"))
     return panel.withColumn("fips", pad_code("fips"))

@@ -54,20 +54,22 @@ def regions(raw: DataFrame) -> DataFrame:
 def merged(cases: DataFrame, tests: DataFrame, hospital: DataFrame, history: DataFrame, vax: DataFrame) -> DataFrame:
     """Three feeds in full, two more where they fit. All shuffle by (state, date) only.
 
-    Of several snapshots with the same latest day the fullest is joined, so no row fans out.
+    Of several snapshots with the same latest day the fullest is joined, and of several
+    vaccination rows of a state and day the highest, so no row fans out.
     """
     tests = tests.withColumnRenamed("n_states", "n_states_tests")
     cases = cases.withColumnRenamed("n_states", "n_states_cases")
     full = full_join_feeds([cases, tests, hospital], KEY)
     history = first_per_key(history, KEY, [F.col("total_tests").desc_nulls_last(), F.col("total_pos_tests").desc_nulls_last()])
-    return left_join_feeds(left_join_feeds(full, history, KEY), vax, KEY)
+    shares = [F.col(c).desc_nulls_last() for c in sorted(set(vax.columns) - set(KEY))]
+    return left_join_feeds(left_join_feeds(full, history, KEY), first_per_key(vax, KEY, shares), KEY)
 
 
-def places(df: DataFrame, census: DataFrame, population: DataFrame, hexes: DataFrame, rows: DataFrame) -> DataFrame:
-    df = lookup(df, regions(census), "state", hot_from=rows)
+def places(df: DataFrame, census: DataFrame, population: DataFrame, hexes: DataFrame) -> DataFrame:
+    df = lookup(df, regions(census), "state")
     df = df.withColumn("region", overridden("region", "state", {k.NYC_STATE_CODE: k.NYC_REGION}))
-    df = lookup(df, population.select("state", "population"), "state", hot_from=rows)
-    return lookup(df.withColumn("population", default_to("population", 0)), hexes, "state", hot_from=rows)
+    df = lookup(df, population.select("state", "population"), "state")
+    return lookup(df.withColumn("population", default_to("population", 0)), hexes, "state")
 
 
 def imputed(df: DataFrame) -> DataFrame:
@@ -129,5 +131,5 @@ def federal_panel(
 ) -> DataFrame:
     """The merged panel is written once; its latest days and windows are then read from that table."""
     base = staged(merged(cases, tests, hospital, history, vax), "federal")
-    full = places(imputed(base), census, population, hexes, base)
+    full = places(imputed(base), census, population, hexes)
     return with_variant(flagged(full, latest_of(base, "date")), steps)

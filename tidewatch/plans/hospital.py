@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import is_latest, parse_date
 from ..functions.missing import add_all, clip
-from ..functions.names import drop_ending, remove_first, replace_first, starting
+from ..functions.names import drop_ending, starting
 from ..operators.dedupe import first_per_key, union_by_name
-from ..operators.enrich import between_days
+from ..operators.enrich import lookup
 from ..operators.filters import drop_latest, latest_of
 from ..operators.panel import Panel, carry_previous
 from ..operators.reshape import lengthen
@@ -17,6 +17,7 @@ from ..schemas import ADMISSIONS
 from . import constants as k
 
 PANEL = Panel(("state",), "date")
+KEY = ["state", "date"]
 ADULT, CHILD = "previous_day_admission_adult", "previous_day_admission_pediatric"
 PARTS = [f"previous_day_admission_{a}" for a in ADMISSIONS]
 ICU = "staffed_icu_adult_patients_confirmed_and_suspected_covid"
@@ -62,16 +63,32 @@ def merged_series(series: DataFrame, archives: DataFrame, daily: DataFrame) -> D
     return first_per_key(rows, ["state", "date"], [F.col("source_rank").asc(), *ties]).drop("source_rank")
 
 
-def corrected(df: DataFrame, carry_days=tuple(k.CARRY_DAYS), icu_range=k.ICU_RANGE) -> DataFrame:
-    """Listed days take the previous row's count; one state's range takes a constant."""
-    listed = F.lit(False)
-    for state, day in carry_days:
-        listed = listed | ((F.col("state") == state) & (F.col("date") == F.lit(day).cast("date")))
-    state, after, before, value = icu_range
-    in_range = F.coalesce((F.col("state") == state) & between_days("date", after, before), F.lit(False))
-    return df.withColumn("currently_hospitalized", carry_previous(PANEL, "currently_hospitalized", listed)).withColumn(
-        ICU, F.when(in_range, F.lit(float(value))).otherwise(F.col(ICU))
-    )
+def carry_table(spark: SparkSession, days=tuple(k.CARRY_DAYS)) -> DataFrame:
+    """(state, date): days that take the previous row's count."""
+    return spark.createDataFrame([(s, str(d)) for s, d in days], "state string, date string").select("state", F.to_date("date").alias("date"))
+
+
+def range_table(spark: SparkSession, ranges=(k.ICU_RANGE,)) -> DataFrame:
+    """(state, lo, hi, value): days from lo to before hi that take a constant; given as the days before and after."""
+    rows = [(s, str(after), str(before), float(v)) for s, after, before, v in ranges]
+    table = spark.createDataFrame(rows, "state string, lo string, hi string, value double")
+    return table.select("state", F.date_add(F.to_date("lo"), 1).alias("lo"), F.to_date("hi").alias("hi"), "value")
+
+
+def corrected(df: DataFrame, carry: DataFrame | None = None, ranges: DataFrame | None = None) -> DataFrame:
+    """Listed days take the previous row's count; ranges of days of a state take a constant.
+
+    Both are tables and are joined by (state, date): any number of corrections costs one join each.
+    Ranges are laid out as days, inside the days of the data; where they overlap the highest value counts.
+    """
+    spark = df.sparkSession
+    carry = (carry_table(spark) if carry is None else carry).select(*KEY).distinct().withColumn("_listed", F.lit(True))
+    ranges = range_table(spark) if ranges is None else ranges
+    day = F.explode(F.when(F.col("lo") < F.col("hi"), F.sequence("lo", F.date_sub("hi", 1))))
+    fixed = ranges.withColumn("date", day).groupBy(*KEY).agg(F.max("value").alias("_fixed"))
+    both = lookup(lookup(df, carry, KEY, unique=True), fixed, KEY, unique=True)
+    both = both.withColumn("currently_hospitalized", carry_previous(PANEL, "currently_hospitalized", F.col("_listed").isNotNull()))
+    return both.withColumn(ICU, F.coalesce("_fixed", ICU)).drop("_listed", "_fixed")
 
 
 def hospital_changes(df: DataFrame) -> DataFrame:
@@ -94,11 +111,14 @@ def hospital_panel(series: DataFrame, archives: DataFrame, daily: DataFrame, **c
 
 # age bands -----------------------------------------------------------------------
 def band_label(name: Column) -> Column:
-    """Column name to age band: 60_69 is shown as "60 to 69", all pediatric columns as one band."""
-    label = remove_first(name, f"{ADULT}_covid_")
-    label = replace_first(replace_first(label, "0_", "0 to "), "8_", "8 to ")
-    label = remove_first(remove_first(label, "confirmed_"), "suspected_")
-    return F.when(label.contains("pediatric"), F.lit("pediatric")).otherwise(label)
+    """Age band of an admission column, from what stands after its kind.
+
+    Two numbers joined by an underscore are a range and shown as "60 to 69", a number alone
+    or anything else stands as it is, and all pediatric columns are one band.
+    """
+    band = F.regexp_replace(name, f"^{ADULT}_covid_(confirmed|suspected)_?", "")
+    shown = F.regexp_replace(band, r"^(\d+)_(\d+)$", "$1 to $2")
+    return F.when(name.startswith(CHILD), F.lit("pediatric")).otherwise(shown)
 
 
 def band_status(name: Column) -> Column:
@@ -116,11 +136,13 @@ def band_columns(df: DataFrame) -> list[str]:
 def admissions_by_age(hospital: DataFrame, reported: str = f"{ADULT}_covid_confirmed_60_69") -> DataFrame:
     """Admissions per state, band, status and day with a ramp mean.
 
-    Columns that fall into one band are added up before the window.
+    Columns that fall into one band are added up before the window; all of them must be known.
     """
     cols = band_columns(hospital)
     long = lengthen(hospital.where(F.col(reported).isNotNull()), ["state", "date"], cols, "name", "value")
     banded = long.withColumns({"age_group": band_label(F.col("name")), "status": band_status(F.col("name"))})
-    summed = banded.groupBy("state", "age_group", "status", "date").agg(F.sum("value").alias("prev_day_admissions"))
+    # as with any total, a missing part makes the sum missing
+    total = F.when(F.count("value") == F.count(F.lit(1)), F.sum("value"))
+    summed = banded.groupBy("state", "age_group", "status", "date").agg(total.alias("prev_day_admissions"))
     panel = Panel(("state", "age_group", "status"), "date")
     return summed.withColumn("adm_7d_avg", panel.rolling_mean("prev_day_admissions"))

@@ -10,13 +10,16 @@ from __future__ import annotations
 import os
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import parse_date
 from ..operators.quality import frequency
 from ..schemas import TEST_HISTORY
 from ..sources.delimited import typed
-from ..sources.extracts import write_extract, write_table
+from ..sources.extracts import publish_version, write_extract, write_table
 from ..sources.landing import Landing
 from ..sources.staging import staged
 from . import county, federal, hospital, nursing, reports, testing, trend
@@ -28,13 +31,23 @@ COUNTY_FEEDS = (
 
 
 SNAPSHOT = ("state", "total_tests", "total_pos_tests", "date")
+SNAPSHOT_SCHEMA = "state string, total_tests double, total_pos_tests double, date date"
 
 
-def snapshot_history(spark: SparkSession, folder: str, today: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
-    """All snapshots so far. Today's is appended, nothing is rewritten, and a repeated run counts once."""
-    today.write.mode("append").parquet(folder)
-    kept = spark.read.schema("state string, total_tests double, total_pos_tests double, date date").parquet(folder).select(*SNAPSHOT)
-    return testing.history_changes(testing.accumulate(earlier, kept))
+def stored_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshots kept so far; none before the first run."""
+    try:
+        return spark.read.schema(SNAPSHOT_SCHEMA).parquet(folder).select(*SNAPSHOT)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SNAPSHOT_SCHEMA)
+
+
+def keep_snapshots(new: DataFrame, folder: str) -> None:
+    """Append the snapshots that are not stored yet; nothing is rewritten, and a repeated run adds nothing."""
+    typed_ = new.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(SNAPSHOT_SCHEMA)])
+    staged(typed_.subtract(stored_snapshots(new.sparkSession, folder)), "snapshots").write.mode("append").parquet(folder)
 
 
 def imported_history(raw: DataFrame) -> DataFrame:
@@ -43,17 +56,23 @@ def imported_history(raw: DataFrame) -> DataFrame:
 
 
 def federal_extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, DataFrame]:
+    """Reads the stored snapshots but adds none: `snapshots`, today's and the imported ones, are kept by main."""
     spark = feeds.spark
-    earlier = imported_history(feeds["test_history"]) if "history" in wanted else None
-    tests = staged(testing.tests_by_state(testing.tests_wide(feeds["test_results"])), "tests")
-    history = snapshot_history(spark, f"{out}/snapshots", testing.snapshot_totals(tests).select(*SNAPSHOT), earlier)
     beds = staged(hospital.hospital_panel(feeds["hospital_series"], feeds["hospital_archives"], feeds["hospital_daily"]), "hospital")
-    cases = federal.cases_and_deaths(feeds["cases_deaths"])
+    made = {"admissions_ages": hospital.admissions_by_age(beds)} if "ages" in wanted else {}
+    if "federal" not in wanted:
+        return made
+    tests = staged(testing.tests_by_state(testing.tests_wide(feeds["test_results"])), "tests")
+    new = testing.snapshot_totals(tests).select(*SNAPSHOT)
+    if "history" in wanted:
+        new = imported_history(feeds["test_history"]).unionByName(new)
+    new = staged(new, "new_snapshots")
+    history = testing.history_changes(testing.accumulate(stored_snapshots(spark, f"{out}/snapshots"), new))
     panel = federal.federal_panel(
-        cases, tests, beds, history, federal.vaccination(feeds["state_vaccination"]),
+        federal.cases_and_deaths(feeds["cases_deaths"]), tests, beds, history, federal.vaccination(feeds["state_vaccination"]),
         feeds["census_regions"], feeds["state_population"], feeds["hex_grid"],
     )
-    made = {"federal_state": panel, "admissions_ages": hospital.admissions_by_age(beds)}
+    made |= {"snapshots": new, "federal_state": panel}
     if "reports" in wanted:
         made["freshness"] = reports.federal_freshness(panel, beds)
         made["hospital_last_week"] = reports.last_week(beds, "date", "currently_hospitalized").withColumnRenamed("date", "day")
@@ -94,19 +113,25 @@ def extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, DataFrame]
 
 
 def publish(df: DataFrame, out: str, name: str) -> None:
-    """A daily panel becomes a table by year first; its flat extract is then read from there."""
+    """A daily panel becomes a table by year first; its flat extract is then read from there.
+
+    Each is written as a new version and named current when it is complete.
+    """
     if "date" in df.columns:
-        table = os.path.join(out, "tables", name)
-        write_table(df, table, "date")
+        table = publish_version(df, os.path.join(out, "tables", name), lambda rows, folder: write_table(rows, folder, "date"))
         df = df.sparkSession.read.schema(df.schema).parquet(table)
-    write_extract(df, os.path.join(out, name))
+    publish_version(df, os.path.join(out, name), write_extract)
 
 
 def main(landing: str, out: str, wanted: set[str] | None = None) -> None:
     spark = SparkSession.builder.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     wanted = wanted or {"county", "strict", "trend", "federal", "ages", "nursing", "reports"}
-    for name, df in extracts(Landing(spark, landing), out, wanted).items():
+    made = extracts(Landing(spark, landing), out, wanted)
+    new = made.pop("snapshots", None)
+    for name, df in made.items():
         publish(df, out, name)
+    if new is not None:  # last: a run that fails before it can be run again
+        keep_snapshots(new, f"{out}/snapshots")
 
 
 if __name__ == "__main__":

@@ -11,7 +11,7 @@ from ..functions.dates import ANY_FORMATS, parse_date
 from ..functions.missing import add_all, ratio, sum_or_zero
 from ..operators.filters import covered_days, latest_of, min_coverage
 from ..operators.panel import Panel
-from ..operators.reshape import widen
+from ..operators.reshape import names_of, widen
 from . import constants as k
 
 PANEL = Panel(("state",), "date")
@@ -29,8 +29,11 @@ def outcome_feed(raw: DataFrame, formats: Sequence[str] = ANY_FORMATS) -> DataFr
     )
 
 
-def tests_wide(raw: DataFrame, outcomes: Sequence[str] = OUTCOMES) -> DataFrame:
-    return widen(outcome_feed(raw), ["state", "date"], "type", ["new_tests", "total_tests"], outcomes)
+def tests_wide(raw: DataFrame, outcomes: Sequence[str] | None = None) -> DataFrame:
+    """A column per outcome: the known ones always, and any other that the feed holds."""
+    feed = outcome_feed(raw)
+    names = [*OUTCOMES, *(n for n in names_of(feed, "type") if n not in OUTCOMES)] if outcomes is None else outcomes
+    return widen(feed, ["state", "date"], "type", ["new_tests", "total_tests"], names)
 
 
 def tests_by_state(wide: DataFrame, min_states: int = k.MIN_REPORTING) -> DataFrame:

@@ -151,7 +151,9 @@ HOSP_CTE = f"""{HOSPITAL_CTE},
 
 
 def beds(cells: DataFrame) -> DataFrame:
-    return hospital.hospital_panel(*feeds.hospital_feeds(cells), carry_days=feeds.CARRY, icu_range=feeds.ICU_FIX)
+    spark = cells.sparkSession
+    carry, ranges = hospital.carry_table(spark, feeds.CARRY), hospital.range_table(spark, (feeds.ICU_FIX,))
+    return hospital.hospital_panel(*feeds.hospital_feeds(cells), carry=carry, ranges=ranges)
 
 
 @query("flow_corrected_series", f"WITH {HOSP_CTE} SELECT * REPLACE ({r6('new_admit_7d_avg', 'new_admit_avg_1wk')}) FROM hosp")

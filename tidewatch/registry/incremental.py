@@ -55,7 +55,7 @@ def snapshot_accumulate_stream(spark: SparkSession, sf: str) -> DataFrame:
     runs = snapshots(spark, sf)
     runs.write.parquet(f"{folder}/landing")
     repeated(runs).write.mode("append").parquet(f"{folder}/landing")
-    log = BatchLog(spark, f"{folder}/log", runs.schema)
+    log = BatchLog(spark, f"{folder}/log", runs.schema, day="d")
     history = accumulate_stream(landed(spark, f"{folder}/landing", runs.schema, 1), log, f"{folder}/progress")
     return snapshot_changes(history, (E,), "d", TOTALS)
 
@@ -97,6 +97,5 @@ def late_revision_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
     files = revision_files(spark, sf)
     for part in files:
         part.write.mode("append").parquet(f"{folder}/landing")
-    log = BatchLog(spark, f"{folder}/log", files[0].schema, day="d")
     source = landed(spark, f"{folder}/landing", files[0].schema, 1)
-    return merge_stream(spark, source, log, f"{folder}/published", f"{folder}/progress", [E, "d"], revision_order())
+    return merge_stream(spark, source, files[0].schema, f"{folder}/published", f"{folder}/progress", "d", [E, "d"], revision_order())

@@ -153,11 +153,10 @@ def clip_change(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "rate_per_1000",
     f"""
-WITH c AS (SELECT n_name, count(*) AS people FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal >= 0 GROUP BY 1)
+WITH c AS (SELECT n_name, count(*) AS people FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1)
 SELECT n_name, d, n, people, round(n / nullif(people, 0) * 1000, 6) AS per1k FROM ({NATIONS_SQL}) LEFT JOIN c USING (n_name)""",
 )
 def rate_per_1000(spark: SparkSession, sf: str) -> DataFrame:
-    solvent = load(spark, sf, "customer").where(F.col("c_acctbal") >= 0)
-    people = lookup(frequency(solvent, "c_nationkey").withColumnRenamed("n", "people"), nations(spark, sf, "c_nationkey"), "c_nationkey")
+    people = lookup(frequency(load(spark, sf, "customer"), "c_nationkey").withColumnRenamed("n", "people"), nations(spark, sf, "c_nationkey"), "c_nationkey")
     panel = lookup(nations_panel(spark, sf).select(N, "d", "n"), people.drop("c_nationkey"), N)
     return rounded(panel.withColumn("per1k", rate_per("n", "people")))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.missing import number
 from ..functions.names import starting, with_clean_names
+from ..operators.dedupe import union_by_name
 from ..schemas import ddl
 
 QUOTED = {"quote": '"', "escape": '"', "multiLine": False}
@@ -17,8 +20,41 @@ def read_positional(spark: SparkSession, path: str | list[str], columns: dict[st
 
 
 def read_text(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
-    """Every column as text, named by the cleaned header (only the header line is read to plan this)."""
-    return with_clean_names(spark.read.options(header=True, inferSchema=False, encoding=encoding, **QUOTED).csv(path))
+    """Every column as text, named by the cleaned header (one header line is read to plan this).
+
+    All files must have the same header: one that differs is an error when it is read. For
+    files whose headers differ see read_mixed.
+    """
+    options = {"header": True, "encoding": encoding, **QUOTED}
+    names = spark.read.options(inferSchema=False, **options).csv(path).columns
+    held = StructType([StructField(n, StringType()) for n in names])
+    return with_clean_names(spark.read.options(enforceSchema=False, **options).schema(held).csv(path))
+
+
+def headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """Files by header line, found in one job: the line with the smallest place in each file, whose places go up along the file."""
+    lines = spark.read.options(encoding=encoding).text(paths) if encoding == "UTF-8" else spark.read.options(header=False, encoding=encoding, sep="\x01", quote="").schema("value string").csv(paths)
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    first = placed.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():  # one row per file
+        found.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(r["file"])
+    return found
+
+
+def read_mixed(spark: SparkSession, paths: list[str], columns: dict[str, str], prefixes: tuple[str, ...] = (), encoding: str = "UTF-8", file: str | None = None) -> DataFrame:
+    """Files whose headers differ in order or columns, as one table: one scan per header, put together by name.
+
+    `file` names a column for the path of each row's file.
+    """
+    parts = []
+    for files in headers(spark, paths, encoding).values():
+        raw = read_text(spark, files, encoding)
+        part = typed(raw, columns, prefixes)
+        parts.append(part.withColumn(file, F.col("_metadata.file_path")) if file else part)
+    if not parts:
+        raise ValueError(f"no file holds a header: {paths}")
+    return union_by_name(parts)
 
 
 def typed(df: DataFrame, columns: dict[str, str], prefixes: tuple[str, ...] = (), prefix_type: str = "double") -> DataFrame:
@@ -28,7 +64,7 @@ def typed(df: DataFrame, columns: dict[str, str], prefixes: tuple[str, ...] = ()
     """
     present = set(df.columns)
     out: list[Column] = [
-        (F.col(c).try_cast(t) if c in present else F.lit(None).cast(t)).alias(c) for c, t in columns.items()
+        (number(c, t) if c in present else F.lit(None).cast(t)).alias(c) for c, t in columns.items()
     ]
     extra = [c for c in starting(df, *prefixes) if c not in columns] if prefixes else []
     return df.select(*out, *[F.col(c).try_cast(prefix_type).alias(c) for c in extra])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_extract(df: DataFrame, path: str, null_text: str = "") -> None:
-    """Flat CSV extract with a header in every part file."""
-    df.write.mode("overwrite").options(header=True, nullValue=null_text, emptyValue="", dateFormat="yyyy-MM-dd").csv(path)
+    """Flat CSV extract with a header in every part file. Missing text is `null_text`, empty text is quoted."""
+    df.write.mode("overwrite").options(header=True, nullValue=null_text, emptyValue='""', dateFormat="yyyy-MM-dd").csv(path)
 
 
 def write_table(df: DataFrame, path: str, day: str) -> None:
@@ -19,3 +21,25 @@ def write_table(df: DataFrame, path: str, day: str) -> None:
     """
     years = df.withColumn("year_part", F.year(day))
     years.hint("rebalance", "year_part").write.mode("overwrite").partitionBy("year_part").parquet(path)
+
+
+def publish_version(df: DataFrame, root: str, write) -> str:
+    """Write a new version beside the old ones and only then name it the current one.
+
+    `write(df, folder)` writes the rows. A run that fails half way leaves the version
+    before it in place. Returns the new folder; `current_version` finds it.
+    """
+    version = uuid.uuid4().hex
+    folder = f"{root}/versions/{version}"
+    write(df, folder)
+    spark = df.sparkSession
+    named = spark.createDataFrame([(version,)], "version string").select("version", F.current_timestamp().alias("at"))
+    named.coalesce(1).write.mode("append").json(f"{root}/current")
+    return folder
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """Folder of the version that was completed last."""
+    rows = spark.read.schema("version string, at timestamp").json(f"{root}/current")
+    newest = rows.orderBy(F.col("at").desc(), "version").first()
+    return f"{root}/versions/{newest['version']}"

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import US, date_head
-from ..operators.dedupe import ranked_union
-from .delimited import read_feed
+from .delimited import read_mixed
+
+NEWEST_ARCHIVES = 14
 
 
 def newest(df: DataFrame, n: int, *order) -> DataFrame:
@@ -17,23 +18,35 @@ def newest(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def newest_links(manifest: DataFrame, n: int = 14) -> list[str]:
+def newest_links(manifest: DataFrame, n: int = NEWEST_ARCHIVES) -> list[str]:
     """Links of the n newest entries; n bounds what reaches the driver."""
     dated = manifest.withColumn("date", date_head("update_date", US))
     rows = newest(dated, n, F.col("date").desc_nulls_last(), F.col("archive_link").desc()).select("archive_link").collect()
     return [r["archive_link"] for r in rows]
 
 
+def placed(link: str, base: str | None) -> str:
+    """A link as it is when it names its own place, else below `base`."""
+    return link if base is None or re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://|/", link) else f"{base.rstrip('/')}/{link}"
+
+
 def read_manifest(
-    spark: SparkSession, manifest: DataFrame, columns: dict[str, str], prefixes: tuple[str, ...] = (), base: str | None = None, n: int = 14
+    spark: SparkSession, manifest: DataFrame, columns: dict[str, str], prefixes: tuple[str, ...] = (), base: str | None = None, n: int = NEWEST_ARCHIVES
 ) -> DataFrame:
-    """The n newest archives as one table.
+    """The n newest archives, files or folders of files, as one table.
 
-    `source_rank` is 0 for the newest. A column that only some archives have is
-    missing in the others.
+    Archives with the same header share one scan. `source_rank`, by the file's path, is 0 for the newest. A
+    column that only some archives have is missing in the others.
     """
     links = newest_links(manifest, n)
     if not links:
         raise ValueError("the manifest lists no archive")
-    paths = [os.path.join(base, link) if base else link for link in links]
-    return ranked_union([read_feed(spark, p, columns, prefixes) for p in paths])
+    paths = [placed(link, base) for link in links]
+    rows = read_mixed(spark, paths, columns, prefixes, file="_file")
+    # a path in the files' own spelling ends with the archive's; the longest such archive is meant
+    rank = F.lit(None).cast("int")
+    for k, path in sorted(enumerate(paths), key=lambda x: len(x[1])):
+        own = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/", path).rstrip("/")
+        inside = F.concat(F.regexp_replace(F.url_decode("_file"), "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/"), F.lit("/")).contains(own + "/")
+        rank = F.when(inside, F.lit(k)).otherwise(rank)
+    return rows.withColumn("source_rank", rank).drop("_file")

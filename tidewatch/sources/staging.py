@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -18,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):  # an unknown master counts as a cluster
         raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
     return _local_scratch()
 

@@ -1,16 +1,19 @@
-"""An append-only table with one folder per micro-batch.
+"""An append-only table of micro-batches, by day, then by run and batch.
 
-A micro-batch that is run again after a failure overwrites its own folder with
-the same rows, so every batch counts once whatever was lost in between.
+A run is one checkpoint: Spark keeps its id there. A micro-batch that is run again after a
+failure overwrites its own folders with the same rows; a run whose progress was lost
+starts as another run, beside the old one, so nothing that was logged is ever overwritten.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -18,16 +21,22 @@ class BatchLog:
     spark: SparkSession
     folder: str
     schema: StructType
-    day: str | None = None
+    day: str
 
-    def append(self, rows: DataFrame, batch: int) -> None:
-        writer = rows.write.mode("overwrite")
-        if self.day:
-            writer = rows.hint("rebalance", self.day).write.mode("overwrite").partitionBy(self.day)
-        writer.parquet(f"{self.folder}/batch={batch}")
+    def append(self, rows: DataFrame, run: str, batch: int) -> None:
+        marked = rows.withColumns({"run": F.lit(run), "batch": F.lit(batch).cast("long")})
+        writer = marked.hint("rebalance", self.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.day, "run", "batch").parquet(self.folder)
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(StructType([*self.schema.fields, StructField("batch", LongType())])).parquet(self.folder)
+        marks = [StructField("run", StringType()), StructField("batch", LongType())]
+        stored = self.spark.read.schema(StructType([*self.schema.fields, *marks])).parquet(self.folder)
+        return stored.select(*self.schema.names, "run", "batch")
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave to the query that owns a checkpoint; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def run_available(source: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:

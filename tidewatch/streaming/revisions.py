@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.dedupe import first_per_key
-from .log import BatchLog, run_available
+from ..sources.staging import staged
+from .log import run_available
 
 
 def merge_revisions(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -16,27 +18,31 @@ def merge_revisions(rows: DataFrame, keys: Sequence[str], order: Sequence[Column
     return first_per_key(rows, keys, order)
 
 
-def publish_touched(log: BatchLog, touched: DataFrame, published: str, keys: Sequence[str], order: Sequence[Column]) -> None:
-    """Rewrite the days that a batch touched, from the log.
+def publish_touched(rows: DataFrame, published: DataFrame, folder: str, day: str, keys: Sequence[str], order: Sequence[Column]) -> None:
+    """Merge rows with the published rows of their days, and rewrite these days.
 
-    The days are a handful of calendar days, so they are broadcast and prune the
-    log's day folders; other days are neither read nor rewritten.
+    `order` must be a total order of the versions of a key: the best of the best so far and the
+    new rows is then the best of all. Other days are neither read nor rewritten. The
+    merged days are written aside first, so they are read in full before any is replaced.
     """
-    rows = log.read().join(F.broadcast(touched), log.day, "left_semi")
-    best = merge_revisions(rows, keys, order).drop("batch")
-    best.hint("rebalance", log.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(log.day).parquet(published)
+    touched = rows.select(day).distinct()
+    before = published.join(F.broadcast(touched), day, "left_semi")  # bounded by calendar days
+    best = staged(merge_revisions(rows.unionByName(before), keys, order), "revisions")
+    best.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(folder)
 
 
 def merge_stream(
-    spark: SparkSession, source: DataFrame, log: BatchLog, published: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column]
+    spark: SparkSession, source: DataFrame, schema: StructType, published: str, checkpoint: str, day: str, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
-    """Stream form. The log is written first and alone decides what is published,
-    so a batch that is run again ends in the same table."""
+    """Stream form. A batch that is run again, or all of them after lost progress, merges into the same table."""
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(day).parquet(published)
+
+    def now() -> DataFrame:
+        return spark.read.schema(schema).parquet(published).select(*schema.names)
 
     def each(rows: DataFrame, batch: int) -> None:
-        log.append(rows, batch)
-        touched = rows.select(log.day).distinct()
-        publish_touched(log, touched, published, keys, order)
+        # the batch is read twice: for its days and for its rows
+        publish_touched(staged(rows, "batch"), now(), published, day, keys, order)
 
     run_available(source, each, checkpoint)
-    return spark.read.schema(log.schema).parquet(published)
+    return now()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.panel import Panel
-from .log import BatchLog, run_available
+from .log import BatchLog, run_available, run_id
 
 
 def accumulate(history: DataFrame, today: DataFrame) -> DataFrame:
@@ -22,8 +22,8 @@ def snapshot_changes(history: DataFrame, keys: tuple[str, ...], day: str, totals
 
 def accumulate_stream(source: DataFrame, log: BatchLog, checkpoint: str) -> DataFrame:
     """Stream form: each micro-batch adds its snapshots to the log. Returns the history."""
-    run_available(source, lambda rows, batch: log.append(rows.distinct(), batch), checkpoint)
-    return log.read().drop("batch").distinct()
+    run_available(source, lambda rows, batch: log.append(rows.distinct(), run_id(log.spark, checkpoint), batch), checkpoint)
+    return log.read().drop("run", "batch").distinct()
 
 
 def last_snapshot(history: DataFrame, keys: tuple[str, ...], day: str) -> DataFrame:
