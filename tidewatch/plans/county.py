@@ -138,15 +138,21 @@ def latest_day(rows: DataFrame) -> Column:
     return per_county.where(F.col("n") >= k.MIN_COUNTY_ROWS).agg(F.max("last")).scalar()
 
 
+def one_per_day(fact: DataFrame) -> DataFrame:
+    """The row with the smallest code and the highest counters of each county and day; copies collapse before the shuffle."""
+    order = [F.col("fips").asc_nulls_last(), F.col("cases").desc_nulls_last(), F.col("deaths").desc_nulls_last(), F.col("pop").desc_nulls_last()]
+    return first_per_key(fact, [*COUNTY, "date"], order)
+
+
 def county_panel(feeds: dict[str, DataFrame]) -> DataFrame:
     """One row per county and day with ramp means, elections and vaccination.
 
-    Exact repeats of a counter row go first, on six narrow columns and with
-    copies collapsing before the shuffle. The windows come before the other
-    dimensions, so what is shuffled and sorted by county stays narrow.
+    A county and day that repeats, exactly or not, keeps one row before the windows, so a window
+    holds at most as many rows as the calendar has days. The narrow result is written once: the
+    windows and the latest day both read it. The other dimensions come after the windows, so what is
+    shuffled and sorted by county stays narrow.
     """
-    rows = counters(feeds["county_counters"])
-    fact = named(rows.distinct(), population(feeds["county_population"]))
+    fact = staged(one_per_day(named(counters(feeds["county_counters"]), population(feeds["county_population"]))), "county_days")
     panel = growth(changes(min_history(fact, PANEL, k.MIN_COUNTY_ROWS)))
     panel = with_latest(panel, PANEL, recent_cases="pos_7d_avg", recent_cases_1wk="lstwk_pos_7d_avg")
     panel = described(panel, metro(feeds["metro_crosswalk"]), density(feeds["density"]))
@@ -171,10 +177,7 @@ def county_panel_strict(feeds: dict[str, DataFrame]) -> DataFrame:
     """
     rows = counters(feeds["county_counters"])
     fact = named(rows, population(feeds["county_population"]))
-    one = first_per_key(
-        fact, [*COUNTY, "date"], [F.col("fips").asc_nulls_last(), F.col("cases").desc_nulls_last(), F.col("deaths").desc_nulls_last()]
-    )
-    panel = changes(one).withColumns(
+    panel = changes(one_per_day(fact)).withColumns(
         {
             "pos_7d_avg": PANEL.rolling_mean("new_cases", mode="strict"),
             "death_7d_avg": PANEL.rolling_mean("new_deaths", mode="strict"),
