@@ -56,8 +56,3 @@ def test_round_trip(docs, bpe):
 
 def test_empty_table(docs):
     assert decode(encode(docs([]), RANKS, PATTERN), RANKS, PATTERN).count() == 0
-
-
-def test_a_clashing_name_is_an_error(docs):
-    with pytest.raises(ValueError):
-        encode(docs(["a"]).withColumnRenamed("lang", "IDS"), RANKS, PATTERN)

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 SLICE = 1 << 19  # what a slice's working arrays need is about 40 times as much
 ODD = np.uint64(0x9E3779B97F4A7C15 ^ 0b1000)  # 5 mod 8: a full period of its powers
@@ -124,19 +125,24 @@ def in_workers(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def without(df: DataFrame, names: Iterable[str], *needed: str) -> DataFrame:
+    """df without the columns that a result of the same name, in any case, will replace."""
+    taken = {n.lower() for n in names}
+    return df.drop(*[c for c in df.columns if c.lower() in taken and c not in needed])
+
+
 def add_columns(df: DataFrame, text: str, schema: str, work: Callable, limit: int = SLICE) -> DataFrame:
-    """df with the columns of `schema` (DDL), computed slice by slice.
+    """df with the columns of `schema` (DDL), computed slice by slice; they replace columns of the same name.
 
     work(rows, bytes, offsets) returns the new columns' Arrow arrays in order; one
     call of `work` sees whole rows only, and no row waits for another slice.
     """
+    df = without(df, StructType.fromDDL(schema).names, text)
     return map_slices(df, text, f"{_ddl(df)}, {schema}" if df.columns else schema, lambda rows, buf, at: [*rows.columns, *work(rows, buf, at)], limit)
 
 
 def map_slices(df: DataFrame, text: str, schema: str, work: Callable, limit: int = SLICE) -> DataFrame:
     """mapInArrow where work(rows, bytes, offsets) returns the arrays of one output batch, or None."""
-    from pyspark.sql.types import StructType
-
     parsed = StructType.fromDDL(schema)
     names = parsed.names
     if len({n.lower() for n in names}) < len(names):

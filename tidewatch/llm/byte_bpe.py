@@ -5,7 +5,7 @@ the pieces are the ids of the text: between a non-space and a space, and between
 ASCII letter and a digit, as no match of the pattern holds either. Decoding joins
 the raw bytes of the tokens; a token may hold part of a character.
 
-Empty and null texts have no ids. Repeated rows are encoded one by one. Rows of an
+Empty and null texts have no ids. Repeated rows are encoded one by one. Result columns replace columns of the same name. Rows of an
 empty table give an empty table with the same columns.
 """
 
@@ -20,8 +20,9 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, StructType
 
-from .arrays import add_columns, binaries, in_workers
+from .arrays import add_columns, binaries, in_workers, without
 
 PIECE = 1 << 16
 LONG_SPACE = 1 << 12
@@ -96,9 +97,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") ->
 
 
 def decode(encoded: DataFrame, rank_file: str, pattern: str, ids: str = "ids") -> DataFrame:
-    """Adds decoded (binary): the joined raw bytes of the tokens; null ids decode to nothing."""
-    from pyspark.sql.types import BinaryType, StructType
-
+    """Adds decoded (binary): the joined raw bytes of the tokens; null ids decode to nothing. A column of that name is replaced."""
+    encoded = without(encoded, ["decoded"], ids)
     schema = StructType([*encoded.schema.fields]).add("decoded", BinaryType())
 
     def run(batches):

@@ -11,7 +11,8 @@ a huge group of copies changes nothing. The benchmark is broadcast, in blocks of
 most BLOCK bytes of text, each block searched over the whole corpus.
 
 A null or empty text has no words and no hits; items without words or id have no
-windows. Repeated items share their windows; repeated rows are each reported.
+windows. Repeated items share their windows; repeated rows are each reported. Result columns
+replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.staging import staged
-from .arrays import FOLD, WORD_OF_LETTERS, add_columns, binaries, hashed, in_workers, keep_rows, lists, ranges, words
+from .arrays import FOLD, WORD_OF_LETTERS, add_columns, binaries, hashed, in_workers, keep_rows, lists, ranges, without, words
 
 WINDOW = 10
 BLOCK = 32 << 20
@@ -268,6 +270,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     the item, word in the text, words. With more than one block the corpus is searched
     once per block, and the findings so far are written between two searches.
     """
+    docs = without(docs, [*StructType.fromDDL(FOUND).names, "contaminated"], text)
     found = None
     for rows in blocks(benchmark, item, item_text, block):
         p = probe(rows, window)
@@ -281,8 +284,6 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
 
 
 def _merged(df: DataFrame, columns: list[str]) -> DataFrame:
-    from pyspark.sql.types import StructType
-
     schema = StructType.fromDDL(FOUND)
     out = df.select(*columns, "n_words").schema
     both = df.select(

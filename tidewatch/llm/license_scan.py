@@ -12,7 +12,7 @@ ancestors that hold one, by equality of paths; files then join their directory.
 
 A file with null or empty text has no licence of its own. A null path has no directory and inherits
 nothing. Several licence files in a directory: the best score counts, then the smaller path.
-Equal cosines: the earlier template. Repeated rows are each reported. An empty table gives an empty one.
+Equal cosines: the earlier template. Repeated rows are each reported. Result columns replace columns of the same name. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .arrays import FOLD, WORD_OF_LETTERS, add_columns, hashed, map_slices, mixed, words
+from .arrays import FOLD, WORD_OF_LETTERS, add_columns, hashed, map_slices, mixed, without, words
 from .license_templates import TEMPLATES
 
 LEAST = 0.7
@@ -149,6 +149,7 @@ def directory(path: str) -> Column:
 
 def inherited(owned: DataFrame, *, path: str = "path", is_licence_file: Column | None = None) -> DataFrame:
     """Adds licence, origin (own, inherited, none) and origin_directory. `owned` is a stored table with own and score."""
+    owned = without(owned, ["licence", "origin", "origin_directory", "_directory", "_from"], path)
     name = F.regexp_replace(path, "^.*/", "")
     is_licence_file = name.rlike(LICENCE_FILE) if is_licence_file is None else is_licence_file
     placed = owned.withColumn("_directory", directory(path))

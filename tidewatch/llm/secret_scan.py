@@ -12,7 +12,7 @@ the shorter runs of all documents (one distributed count). Within each length cl
 rule at level FDR chooses the candidates to report, so that short strings, which any text
 can produce, need stronger evidence.
 
-Null and empty texts have no spans. Repeated rows are each scanned and each count once in
+Null and empty texts have no spans. Result columns replace columns of the same name. Repeated rows are each scanned and each count once in
 the false-discovery rule. With an empty table the pair counts are empty and nothing is reported.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .arrays import FOLD, add_columns, in_workers, map_slices, ranges, slices, words
+from .arrays import FOLD, add_columns, in_workers, map_slices, ranges, slices, without, words
 
 SHORTEST = 16
 FDR = 0.05
@@ -282,7 +282,7 @@ def scan(docs: DataFrame, *, text: str = "text", fdr: float = FDR, draws: int =
 
     The scanned rows are written once, without the texts, since the rule needs all p-values first.
     """
-    found = staged(candidates(docs, text, draws).drop(text), "secrets")
+    found = staged(candidates(without(docs, ["spans"], text), text, draws).drop(text), "secrets")
     return reported(found, cutoffs(found, fdr))
 
 
