@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from tidewatch.sources.delimited import read_banner, read_feed, read_positional, read_text
+from tidewatch.sources.delimited import read_banner, read_feed, read_mixed, read_positional, read_text
 from tidewatch.sources.documents import read_nested_records, read_records
 from tidewatch.sources.extracts import write_extract, write_table
-from tidewatch.sources.manifest import newest_links, read_manifest
+from tidewatch.sources.manifest import newest_links, placed, read_manifest
 from tidewatch.sources.staging import shared_folder, staged
 
 
@@ -94,5 +94,30 @@ def test_the_cluster_names_the_folder(named):
 def test_a_cluster_without_a_folder_is_refused_and_a_local_run_gets_one():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(SimpleNamespace(conf={"spark.master": "yarn"}))
+    for unknown in ({}, {"spark.master": "local-cluster[2,1,1024]"}):
+        with pytest.raises(RuntimeError):
+            shared_folder(SimpleNamespace(conf=unknown))
     local = SimpleNamespace(conf={"spark.master": "local[2]"})
     assert shared_folder(local) == shared_folder(local)
+
+
+def test_missing_and_empty_text_differ_in_an_extract(spark, tmp_path, frame):
+    df = frame([("a", ""), ("b", None), ("c", "x")], "k string, v string")
+    write_extract(df, str(tmp_path / "csv"))
+    lines = {r[0] for r in spark.read.text(str(tmp_path / "csv")).collect()}
+    assert lines == {"k,v", 'a,""', "b,", "c,x"}
+
+
+def test_headers_that_differ(spark, tmp_path):
+    put(tmp_path, "a.csv", "state,cases\nTexas,7\n")
+    put(tmp_path, "b.csv", "cases,state,more\n8,Ohio,x\n")
+    columns = {"state": "string", "cases": "long", "more": "string"}
+    with pytest.raises(Exception, match="header"):
+        read_feed(spark, str(tmp_path), columns).collect()
+    got = read_mixed(spark, [str(tmp_path)], columns, file="file")
+    assert {(r["state"], r["cases"], r["more"], r["file"].rsplit("/", 1)[1]) for r in got.collect()} == {("Texas", 7, None, "a.csv"), ("Ohio", 8, "x", "b.csv")}
+
+
+def test_links_that_name_their_own_place():
+    assert placed("a/b.csv", "/in/") == "/in/a/b.csv"
+    assert placed("https://host/a.csv", "/in") == "https://host/a.csv" and placed("/x/a.csv", "/in") == "/x/a.csv" and placed("a.csv", None) == "a.csv"

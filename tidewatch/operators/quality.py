@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.missing import ratio
@@ -40,3 +40,17 @@ def freshness(feeds: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
         for name, (df, day, measure) in feeds.items()
     ]
     return union_by_name(rows)
+
+
+def unparsed(df: DataFrame, parsed: dict[str, Column]) -> DataFrame:
+    """(column, n_rows, n_text, n_unparsed) of text columns: how many hold text, and how many of these `parsed` makes missing.
+
+    One aggregate over the table, however many columns are looked at.
+    """
+    sums = []
+    for c, value in parsed.items():
+        text = F.length(F.trim(c)) > 0
+        sums += [F.count(F.when(text, 1)), F.count(F.when(text & value.isNull(), 1))]
+    counts = df.agg(F.array(*sums).alias("n"), F.count(F.lit(1)).alias("n_rows"))
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.get("n", F.lit(2 * k)).alias("n_text"), F.get("n", F.lit(2 * k + 1)).alias("n_unparsed")) for k, c in enumerate(parsed)])
+    return counts.select(F.explode(each).alias("e"), "n_rows").select("e.column", "n_rows", "e.n_text", "e.n_unparsed")

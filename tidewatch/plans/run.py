@@ -72,6 +72,8 @@ def federal_extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, Da
         federal.cases_and_deaths(feeds["cases_deaths"]), tests, beds, history, federal.vaccination(feeds["state_vaccination"]),
         feeds["census_regions"], feeds["state_population"], feeds["hex_grid"],
     )
+    if "reports" in wanted:
+        panel = staged(panel, "federal_state")  # the reports read what is published
     made |= {"snapshots": new, "federal_state": panel}
     if "reports" in wanted:
         made["freshness"] = reports.federal_freshness(panel, beds)
@@ -97,6 +99,7 @@ def extracts(feeds: Landing, out: str, wanted: set[str]) -> dict[str, DataFrame]
     if "county" in wanted:
         made["county_panel"] = county.county_panel(feeds.load(*COUNTY_FEEDS))
         if "reports" in wanted:
+            made["county_panel"] = staged(made["county_panel"], "county_panel")  # the reports read what is published
             made["uniqueness"] = county_checks(feeds)
             made["rows_by_state"] = frequency(made["county_panel"], "stname")
     if "strict" in wanted:

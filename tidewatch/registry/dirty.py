@@ -13,6 +13,7 @@ from ..functions.missing import number
 from ..operators.enrich import left_join_feeds, lookup, step_join
 from ..operators.dedupe import first_per_key
 from ..operators.panel import densify
+from ..operators.quality import unparsed
 from ..operators.reshape import widen
 from ..plans import run, testing, trend
 from ..sources.delimited import read_mixed
@@ -139,6 +140,23 @@ def whole_numbers_with_point(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "orders").select("o_orderkey", number(written, "long").alias("cust"))
 
 
+@query(
+    "unparsed_values",
+    """
+SELECT 'code' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus <> 'P') AS n_text,
+  count(*) FILTER (WHERE o_orderstatus = 'O') AS n_unparsed FROM orders
+UNION ALL SELECT 'day', count(*), count(*), count(*) FILTER (WHERE o_orderpriority = '5-LOW') FROM orders""",
+)
+def unparsed_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that are no number or no date are counted, so that a feed in a new form does not vanish in silence."""
+    status, low = F.col("o_orderstatus"), F.col("o_orderpriority") == "5-LOW"
+    raw = load(spark, sf, "orders").select(
+        F.when(status == "O", F.concat(F.lit("no. "), "o_custkey")).when(status == "P", F.lit(" ")).otherwise(F.col("o_custkey").cast("string")).alias("code"),
+        F.when(low, F.date_format("o_orderdate", "EEEE")).otherwise(F.date_format("o_orderdate", "MM/dd/yyyy")).alias("day"),
+    )
+    return unparsed(raw, {"code": number("code", "long"), "day": parse_date("day", ANY_FORMATS)})
+
+
 @query(
     "pivot_all_names",
     """
