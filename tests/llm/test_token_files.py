@@ -10,6 +10,7 @@ import pytest
 import regex
 from tokenizers import Tokenizer
 
+from tidewatch.llm import token_files
 from tidewatch.llm.token_files import BLOCK, Code, code_lengths, encode, pack, piece_starts, read, store, unpack
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +40,17 @@ def test_splits_like_the_pattern():
         assert (starts[(starts >= lo) & (starts < hi)] - lo).tolist() == want, t
 
 
+def test_a_full_table_of_pieces_starts_again(library, monkeypatch):
+    monkeypatch.setattr(token_files, "SLOTS", 64)
+    encoder = token_files.Encoder(FILE)
+    rng = random.Random(6)
+    for size in (10, 40, 400, 5, 3000):
+        texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(size)), "w1 w2", ""]
+        raw = [t.encode() for t in texts]
+        got = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def huffman_cost(counts):
     heap = list(counts)
     heapq.heapify(heap)

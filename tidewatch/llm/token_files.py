@@ -42,7 +42,7 @@ LONGEST = 20
 BLOCK = 1 << 16
 CHECK = 256
 PER_FILE = 16 << 20
-CACHE = 1 << 19
+SLOTS = 1 << 21  # of the table of known pieces, half of which are used: 32 MB and the ids
 LINES = 2000
 
 #: Texts of characters below this code point, without the separators named in _plain_rows, are split
@@ -114,11 +114,11 @@ class Known:
     """Ids of pieces by the 64-bit hash of their bytes: an open table that lookups probe side by side."""
 
     def __init__(self, slots: int):
-        self.mask = np.uint64(slots - 1)
-        self.slots = slots
-        self.reset()
+        self.reset(slots)
 
-    def reset(self) -> None:
+    def reset(self, slots: int) -> None:
+        """Forget all; slots is a power of two."""
+        self.slots, self.mask = slots, np.uint64(slots - 1)
         self.keys = np.zeros(self.slots, np.uint64)
         self.place = np.zeros(self.slots, np.int64)
         self.held = 0
@@ -169,7 +169,7 @@ class Encoder:
         self.library.encode_special_tokens = True
         alone = self.library.encode("\n", add_special_tokens=False).ids
         self.break_id = alone[0] if len(alone) == 1 else None
-        self.known = Known(4 * CACHE)
+        self.known = Known(SLOTS)
 
     def _learn(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Pieces are encoded in lines together: a line break ends any match but white space."""
@@ -205,12 +205,15 @@ class Encoder:
         starts = piece_starts(own, begin) if len(own) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(own)) if len(starts) else starts
         h = hashed(own, starts, ends) | np.uint64(1)
-        if self.known.held > CACHE:
-            self.known.reset()
         which = self.known.find(h)
         new = np.flatnonzero(which < 0)
         if len(new):
             fresh, at_ = np.unique(h[new], return_index=True)
+            if self.known.held + len(fresh) > self.known.slots // 2:
+                # full: start again with this slice's pieces, in more room where one long text needs it
+                fresh, at_ = np.unique(h, return_index=True)
+                new = np.arange(len(h))
+                self.known.reset(max(SLOTS, 1 << (4 * len(fresh)).bit_length()))
             self._learn(fresh, own, starts[new[at_]], ends[new[at_]])
             which[new] = self.known.find(h[new])
         lo, counts = self.known.begin[which], np.diff(self.known.begin)[which]
