@@ -42,7 +42,7 @@ LONGEST = 20
 BLOCK = 1 << 16
 CHECK = 256
 PER_FILE = 16 << 20
-SLOTS = 1 << 21  # of the table of known pieces, half of which are used: 32 MB and the ids
+SLOTS = 1 << 22  # of the table of known pieces, half of which are used: 48 MB and the ids
 LINES = 2000
 
 #: Texts of characters below this code point, without the separators named in _plain_rows, are split
@@ -120,7 +120,7 @@ class Known:
         """Forget all; slots is a power of two."""
         self.slots, self.mask = slots, np.uint64(slots - 1)
         self.keys = np.zeros(self.slots, np.uint64)
-        self.place = np.zeros(self.slots, np.int64)
+        self.place = np.zeros(self.slots, np.int32)
         self.held = 0
         self.ids = np.zeros(0, np.uint32)
         self.begin = np.zeros(1, np.int64)
