@@ -156,3 +156,12 @@ def test_no_python_runs_in_the_decision_list(labelled):
     for frame in (df, decision_list.text_stats(source)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_the_sample_is_the_first_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5000).select(F.col("id").alias("i"))
+    want = [r["i"] for r in rows.orderBy(F.xxhash64("i")).limit(300).collect()]
+    assert [r["i"] for r in quality._first_by_hash(rows, "i", 300).collect()] == want
+    assert quality._first_by_hash(rows.limit(10), "i", 300).count() == 10
