@@ -34,6 +34,27 @@ def test_pages(body, want):
     assert main_text(page(body)) == want
 
 
+PROSE = [f"Sentence {k} is plain prose of the report, " * 5 for k in range(5)]
+PARAGRAPHS = "".join(f"<p>{t}</p>" for t in PROSE)
+WANT = "\n".join(t.strip() for t in PROSE)
+LINKS = "".join(f'<a href="/{k}">Link {k}</a> ' for k in range(9))
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        (f"<div id='links'>{LINKS}</div><div id='c'>{PARAGRAPHS}<p>Short.</p></div><div id='bottom'><ul><li>{LINKS}</ul></div>", WANT + "\nShort."),
+        (f"<div><div id='links'>{LINKS}</div>{PARAGRAPHS}</div>", WANT),
+        (f"<div id='links'>{LINKS}</div><div>{PROSE[0]}<br>{PROSE[1]}</div>", " ".join(PROSE[:2]).replace("  ", " ").strip()),
+        (f"<div>{PARAGRAPHS}</div><div><div>{LINKS}</div><div>{PARAGRAPHS}</div></div>", WANT + "\n" + WANT),
+        (f"<article><h1>Head</h1><div>{PARAGRAPHS}</div><div id='more'>{LINKS}</div><p>By me</p></article><div>{LINKS}</div>", "Head\n" + WANT + "\nBy me"),
+        (f"<div id='links'>{LINKS}</div><main><p>{PROSE[0]}</p></main>", PROSE[0].strip()),
+    ],
+)
+def test_menus_without_a_name_are_left_out(body, want):
+    assert main_text(f"<html><body>{body}</body></html>") == want
+
+
 def test_no_text():
     assert [main_text(x) for x in (None, "", "<html><body></body></html>", "<nav>menu</nav>", "<script>", "<!-- x")] == [""] * 6
     assert main_text("no tags at all") == "no tags at all"

@@ -8,10 +8,17 @@ scripts, styles, reader comments) are left out as they are met. Every remaining
 
 with C characters, T tags, LC and LT those inside links, b the body, and a zero divisor
 counting as 1: link-adjusted characters per tag. The node whose children's densities sum
-highest is the core of the article. From it the selection climbs towards the body: to an
-enclosing article (else main) element, else as long as the parent's density reaches the
-threshold, the lowest density on the path from the core to the body. All text of the selected
-subtree is returned, block by block.
+highest is the core of the article, and the threshold is the lowest density on the path from
+the core to the body. From the body down, wherever an element's
+density reaches the threshold, the element of the highest sum inside it is kept with all its
+text, short paragraphs included; text between elements is measured as an element of its own.
+Whatever is not kept so is left out: menus, link blocks, short lines.
+
+An article (else main) element breaks ties in two ways. Where the core only encloses one that
+holds most of its unlinked text, that one is the core, as the sum counts its text again. Where
+the core lies in one, other parts of it are left out only if they are below the threshold and
+mostly links. Without one, parts of the core that are below the threshold, mostly links and
+hold more than one link are left out.
 
 A null or empty page, or one without text, has the text ''. A tie of sums goes to the node
 that comes first. Unclosed and misnested tags are closed as browsers do for the common
@@ -227,25 +234,101 @@ def _density(node: Node, share: float) -> float:
     return c / t * math.log(max(value, 1.0)) / math.log(base) if base > 1 else c / t * math.log(max(value, 1.0))
 
 
-def select(root: Node) -> Node:
-    nodes = measure(root)
-    order = {id(n): k for k, n in enumerate(nodes)}
-    core = max(nodes, key=lambda n: (n.total, n.density if not n.children else 0.0, -order[id(n)]))
-    if not core.total:
-        core = root
-    path = [core]
+def core_of(nodes: list[Node]) -> Node:
+    """The node whose children's densities sum highest; the first of equals. `nodes` in post order."""
+    core = max(enumerate(nodes), key=lambda x: _worth(x[1], x[0]))[1]
+    return core if core.total else nodes[-1]
+
+
+def _worth(node: Node, order: int) -> tuple[float, float, int]:
+    return node.total, node.density if not node.children else 0.0, -order
+
+
+def _path(node: Node) -> list[Node]:
+    path = [node]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
+    return path
+
+
+def _named(nodes: list[Node]) -> Node | None:
+    """The outermost article of a path or tree, else its outermost main; `nodes` from the inside out."""
+    named = [n for n in nodes if n.article]
+    return max(enumerate(named), key=lambda x: (x[1].name == "article", x[0]))[1] if named else None
+
+
+def _linked(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
+
+
+def _runs(node: Node) -> list[tuple[list[int], Node]]:
+    """Texts between the blocks of a node, inline elements among them: positions in parts, and their counts as one node."""
+    found: list[tuple[list[int], Node]] = []
+    at: list[int] = []
+    for k, part in enumerate([*node.parts, None]):
+        if part is not None and (isinstance(part, str) or part.name not in BLOCK):
+            at.append(k)
+            continue
+        if any(isinstance(node.parts[i], str) and node.parts[i].strip() for i in at):
+            run = Node("run", None)
+            inside = [node.parts[i] for i in at if isinstance(node.parts[i], Node)]
+            run.chars = sum(len("".join(node.parts[i].split())) for i in at if isinstance(node.parts[i], str)) + sum(n.chars for n in inside)
+            run.tags = sum(n.tags + 1 for n in inside)
+            run.link_chars, run.link_tags = sum(n.link_chars for n in inside), sum(n.link_tags for n in inside)
+            found.append((at, run))
+        at = []
+    return found
+
+
+def select(root: Node) -> Node:
+    """The tree without the parts that are no main text."""
+    nodes = measure(root)
+    share = root.link_chars / root.chars if root.chars else 0.0
+    core = core_of(nodes)
+    inside = _named([n for n in _post_order(core) if n is not core])
+    if inside is not None and _named(_path(core)) is None and 2 * (inside.chars - inside.link_chars) > core.chars - core.link_chars:
+        core = inside
+    path = _path(core)
     threshold = min(n.density for n in path)
-    named = [n for n in path if n.article]
-    if named:
-        return max(named, key=lambda n: (n.name == "article", path.index(n)))
-    chosen = core
-    for node in path[1:]:
-        if node.density < threshold:
-            break
-        chosen = node
-    return chosen
+    article = _named(path)
+
+    best: dict[int, tuple[tuple[float, float, int], Node]] = {}  # of every subtree
+    for k, node in enumerate(nodes):
+        best[id(node)] = max([(_worth(node, k), node), *(best[id(c)] for c in node.children)], key=lambda x: x[0])
+    on_path = {id(n) for n in path}
+    kept = {id(core)}  # whole subtrees
+    stack = [(root, False)]
+    while stack:
+        node, within = stack.pop()
+        within |= node is article
+        if id(node) in kept:
+            continue
+        if node.density >= threshold and id(node) not in on_path:
+            kept.add(id(best[id(node)][1]))
+            if id(node) in kept:
+                continue
+        whole = {k for at, run in _runs(node) if _density(run, share) >= threshold or (within and not _linked(run)) for k in at}
+        parts: list[Node | str] = []
+        for k, part in enumerate(node.parts):
+            if k in whole or (isinstance(part, Node) and part.name == "hr"):
+                parts.append(part)
+            elif isinstance(part, str):
+                parts.append(" ")
+            elif within and part.density < threshold and not _linked(part) and id(part) not in on_path:
+                parts.append(part)
+            elif part.children or part.density >= threshold:
+                parts.append(part)
+                stack.append((part, within))
+            else:
+                parts.append(Node("hr", node) if part.name in BLOCK else " ")
+        node.parts = parts
+    if article is None:
+        core.parts = [Node("hr", core) if _link_list(p, threshold) else p for p in core.parts]
+    return root
+
+
+def _link_list(part: Node | str, threshold: float) -> bool:
+    return isinstance(part, Node) and part.name in BLOCK and part.name != "hr" and part.density < threshold and _linked(part) and part.link_tags > 1
 
 
 def blocks(node: Node) -> list[str]:
