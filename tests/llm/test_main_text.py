@@ -55,6 +55,23 @@ def test_menus_without_a_name_are_left_out(body, want):
     assert main_text(f"<html><body>{body}</body></html>") == want
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f"<div class='layout has-sidebar'><div class='sidebar'>Side words</div><div>{PARAGRAPHS}</div></div>", WANT),
+        (f"<div id='page' class='header-fixed'><div class='page-footer'>Small print</div><div>{PARAGRAPHS}</div></div>", WANT),
+        (f"<div class='content-widget'>{PARAGRAPHS}</div>", WANT),
+        (f"<article class='post comments-open'>{PARAGRAPHS}<div class='comment'>Nice!</div></article>", WANT),
+        (f"<form id='aspnetForm'><div class='search'>Find</div><div>{PARAGRAPHS}</div></form>", WANT),
+        (f"<div class='widget'><div class='share-bar'>Tell others</div>{PARAGRAPHS}</div>", WANT),
+        (f"<div>{PARAGRAPHS}</div><div id='comments'><p>{PROSE[0]}</p><p>{PROSE[1]}</p></div>", WANT),
+        (f"<div>{PARAGRAPHS}</div><article class='comment'><p>{PROSE[0]}</p></article>", WANT),
+    ],
+)
+def test_names_do_not_take_the_article_out(page, want):
+    assert main_text(f"<html><body>{page}</body></html>") == want
+
+
 def test_no_text():
     assert [main_text(x) for x in (None, "", "<html><body></body></html>", "<nav>menu</nav>", "<script>", "<!-- x")] == [""] * 6
     assert main_text("no tags at all") == "no tags at all"

@@ -1,8 +1,12 @@
 """Main text of a web page by composite text density.
 
 A page is read into a tree of elements. Elements that are never part of an article by
-their name, role or class (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments) are left out as they are met. Every remaining node gets
+their name or role (menus, headers, footers, asides, scripts, styles) and hidden ones are left
+out as they are met. Forms, and elements whose class or id names a sidebar, notice, advert or
+reader comments, are left out only while they hold little of the page: a whole word of the
+class ('sidebar', or 'cookie-notice', all of whose parts say so) or a form up to HINT_SHARE of
+the page's unlinked text, or HINT_CHARS if there is any other text; a part of a longer word
+('has-sidebar') up to PART_SHARE and never around the core. Every remaining node gets
 
     density = C/T * log(C/LC * T/LT, base ln(C/(C-LC) * LC + LCb/Cb * C + e))
 
@@ -50,8 +54,8 @@ FENCE = {"ul", "ol", "dl", "table", "select", "menu"}
 FORMATTING = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 
 # what is no article
-OUTSIDE = set("nav header footer aside form button select dialog menu".split())
-OUTSIDE_ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
+OUTSIDE = set("nav header footer aside button select dialog menu".split())
+OUTSIDE_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
 OUTSIDE_WORDS = set(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion"
     " comment comments disqus respond replies cookie cookies consent gdpr notice notices alert popup modal overlay"
@@ -59,6 +63,10 @@ OUTSIDE_WORDS = set(
     " header masthead footer copyright share sharing social newsletter subscribe subscription signup login search toolbar skip".split()
 )
 ARTICLE_WORDS = {"article", "content", "post", "entry", "story", "main", "body"}
+#: Largest share of a page's unlinked text in an element that is left out for a word, and for a part of a word.
+HINT_SHARE, PART_SHARE = 0.75, 0.25
+HINT_CHARS = 140
+WORD, PART = 2, 1
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?(?=[\s/"']|$)""", re.IGNORECASE)
@@ -67,35 +75,39 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "parts", "order", "chars", "tags", "link_chars", "link_tags", "density", "total", "article")
+    __slots__ = ("name", "parent", "children", "parts", "order", "chars", "tags", "link_chars", "link_tags", "density", "total", "article", "hint")
 
     def __init__(self, name: str, parent: Node | None):
         self.name, self.parent = name, parent
         self.children: list[Node] = []
         self.parts: list[Node | str] = []  # children and texts in page order
         self.article = False
+        self.hint = 0
 
 
-def _outside(name: str, attributes: str) -> tuple[bool, bool]:
-    """(never part of an article, named an article)."""
+def _outside(name: str, attributes: str) -> tuple[bool, bool, int]:
+    """(never part of an article, named an article, hint that it is none: WORD, PART or 0)."""
     if name in OUTSIDE:
-        return True, False
+        return True, False, 0
     article = name in ("article", "main")
+    hint = WORD if name == "form" else 0
     if not attributes:
-        return False, article
+        return False, article, hint
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True, False
+            return True, False, 0
         if key == "role":
             if value in OUTSIDE_ROLES:
-                return True, False
+                return True, False, 0
+            if value == "form":
+                hint = WORD
             article |= value in ("main", "article")
         if key in ("class", "id"):
-            names = set(_NAME.findall(value))
-            if names & OUTSIDE_WORDS and name not in ("body", "html", "main") and not (name == "article" and names & ARTICLE_WORDS and not names & {"comment", "comments"}):
-                return True, False
-    return False, article
+            names, whole = set(_NAME.findall(value)), set(value.split())
+            if names & OUTSIDE_WORDS and name not in ("body", "html", "main") and not (name == "article" and names & ARTICLE_WORDS and not whole & {"comment", "comments"}):
+                hint = max(hint, WORD if any(OUTSIDE_WORDS.issuperset(_NAME.findall(w)) for w in whole if _NAME.search(w)) else PART)
+    return False, article, hint
 
 
 def parse(page: str) -> Node:
@@ -156,14 +168,14 @@ def parse(page: str) -> Node:
             _close_paragraph(open_)
         if name in SIBLINGS:
             _close_sibling(open_, SIBLINGS[name])
-        left_out, article = _outside(name, attributes)
+        left_out, article, hint = _outside(name, attributes)
         if left_out:
             if name in BLOCK:
                 open_[-1].parts.append(Node("hr", open_[-1]))  # a block that is gone still ends a line
             outside.append(name)
             continue
         node = Node(name, open_[-1])
-        node.article = article
+        node.article, node.hint = article, hint
         open_[-1].children.append(node)
         open_[-1].parts.append(node)
         open_.append(node)
@@ -280,6 +292,37 @@ def _runs(node: Node) -> list[tuple[list[int], Node]]:
     return found
 
 
+def _drop(root: Node, leaves) -> bool:
+    """Takes the topmost elements for which leaves() holds out of the tree; whether there were any."""
+    any_left, stack = False, [root]
+    while stack:
+        node = stack.pop()
+        gone = {id(c) for c in node.children if c.hint and leaves(c)}
+        if gone:
+            any_left = True
+            node.children = [c for c in node.children if id(c) not in gone]
+            node.parts = [part if id(part) not in gone else Node("hr", node) if part.name in BLOCK else "" for part in node.parts]
+        stack.extend(node.children)
+    return any_left
+
+
+def without_hinted(root: Node) -> Node:
+    """The tree without elements that are no main text by their class, id or being a form, unless they hold too much of it."""
+    nodes = measure(root)
+    if not any(n.hint for n in nodes):
+        return root
+    unlinked = root.chars - root.link_chars
+
+    def little(chars):
+        return chars <= HINT_SHARE * unlinked or (chars <= HINT_CHARS and chars < unlinked)
+
+    if _drop(root, lambda n: n.hint == WORD and little(n.chars - n.link_chars)):
+        nodes = measure(root)
+    around = {id(n) for n in _path(core_of(nodes))}
+    _drop(root, lambda n: n.hint == PART and id(n) not in around and n.chars - n.link_chars <= PART_SHARE * unlinked)
+    return root
+
+
 def select(root: Node) -> Node:
     """The tree without the parts that are no main text."""
     nodes = measure(root)
@@ -363,7 +406,7 @@ def blocks(node: Node) -> list[str]:
 
 
 def main_text(page: str | None) -> str:
-    return "\n".join(blocks(select(parse(page)))) if page else ""
+    return "\n".join(blocks(select(without_hinted(parse(page))))) if page else ""
 
 
 def extract(pages: DataFrame, page: str = "html", carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
