@@ -64,6 +64,20 @@ def test_random_strings_are_found_and_words_are_left(docs):
     assert false <= 0.15 * hits
 
 
+def test_few_random_strings_among_many_long_words(docs):
+    rng = random.Random(9)
+    syllables = "the an re on er th in at es ed ion ou ing ble wh st ea ti ha nd".split()
+    alphabet = string.ascii_letters + string.digits
+    planted = ["".join(rng.choice(alphabet) for _ in range(32)) for _ in range(5)]
+    texts = []
+    for k in range(400):
+        long = ["".join(rng.choice(syllables) for _ in range(20))[: rng.randint(32, 36)] for _ in range(250)]
+        texts.append(" ".join([prose(rng, 60), *long, *planted[k : k + 1]]) + " Ab7 x9Q 40Zk")
+    found = [texts[r["doc_id"]][s["start"] : s["end"]] for r in scan(docs(texts)).collect() for s in r["spans"]]
+    assert set(planted) <= set(found)
+    assert len(found) <= 10
+
+
 def test_battery_tells_random_from_repeated():
     rng = np.random.default_rng(0)
     uniform = battery(rng.integers(0, 16, (200, 40)), 16)

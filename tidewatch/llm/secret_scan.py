@@ -8,7 +8,9 @@ correlation; Fisher's sum joins their p-values.
 
 A candidate's own p-value is the share of ordinary strings of its encoding and length
 class that look at least as random. Ordinary strings are drawn from the character pairs of
-the shorter runs of all documents (one distributed count). Within each length class the Benjamini-Hochberg
+the shorter runs of all documents (one distributed count), also from flattened versions of
+that chain, each weighted by its true over its drawing probability: shares far below one over
+the number of draws are measured so, and a rare secret is not lost among many ordinary strings. Within each length class the Benjamini-Hochberg
 rule at level FDR chooses the candidates to report, so that short strings, which any text
 can produce, need stronger evidence.
 
@@ -33,6 +35,10 @@ from .arrays import FOLD, add_columns, in_workers, map_slices, ranges, slices, w
 SHORTEST = 16
 FDR = 0.05
 DRAWS = 4000
+#: Powers of the chain's probabilities that strings are drawn from; the least ones look almost random.
+FLATTENED = (1.0, 0.75, 0.5, 0.25, 0.0)
+#: P-values are rounded up to powers of this, so that few different ones exist.
+STEP = 1.02
 LENGTHS = (16, 20, 24, 32, 40, 64)
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -130,9 +136,9 @@ def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Ordinary:
-    """Sorted battery values of ordinary strings, by (encoding, length class); missing where texts hold none."""
+    """By (encoding, length class): rising battery values, and the p-values below, between and above them; missing where texts hold none."""
 
-    values: dict[tuple[str, int], np.ndarray]
+    values: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
 
     def p_value(self, raw: bytes) -> tuple[str, int, float] | None:
         name = encoding_of(raw)
@@ -144,11 +150,11 @@ class Ordinary:
             return None
         letters = dict(ENCODINGS)[name]
         value = battery(_CODES[name][np.frombuffer(raw, np.uint8)][None, :], len(letters))[0]
-        return name, n, (np.searchsorted(drawn, value, "right") + 1) / (len(drawn) + 1)
+        return name, n, float(drawn[1][np.searchsorted(drawn[0], value, "right")])
 
 
 def ordinary(pairs: dict[int, int], draws: int = DRAWS, seed: int = 11) -> Ordinary:
-    """Strings drawn as a chain of character pairs, each class at its shortest length."""
+    """Strings drawn as a chain of character pairs, each class at its shortest length; `draws` for each of FLATTENED."""
     matrix = np.zeros((256, 256))
     for pair, n in pairs.items():
         matrix[pair >> 8, pair & 255] = n
@@ -159,20 +165,58 @@ def ordinary(pairs: dict[int, int], draws: int = DRAWS, seed: int = 11) -> Ordin
         total = m.sum()
         if not total:
             continue
-        start = np.cumsum(m.sum(1)) / total
+        first = m.sum(1) / total
         # a letter that nothing follows goes on as any first letter does
-        follow = np.cumsum(np.where(m.sum(1, keepdims=True) > 0, m / np.maximum(m.sum(1, keepdims=True), 1), m.sum(1) / total), 1)
+        follow = np.where(m.sum(1, keepdims=True) > 0, m / np.maximum(m.sum(1, keepdims=True), 1), first)
+        chains = [(_flat(first, power), _flat(follow, power)) for power in FLATTENED]
         rng = np.random.default_rng(seed)
-        codes = np.empty((draws, LENGTHS[-1]), np.int64)
-        last = len(own) - 1
-        codes[:, 0] = np.minimum(np.searchsorted(start, rng.random(draws), "right"), last)
-        for k in range(1, LENGTHS[-1]):
-            codes[:, k] = np.minimum((follow[codes[:, k - 1]] <= rng.random(draws)[:, None]).sum(1), last)
+        codes = np.concatenate([_chain(rng, start, step, draws) for start, step in chains])
+        # how much likelier each string is drawn, over all chains, than it is ordinary
+        logs = [_log_chances(codes, start, step) for start, step in chains]
+        ratio = np.logaddexp.reduce([x - logs[0] for x in logs]) - math.log(len(chains))
         for c, n in enumerate(LENGTHS):
-            values[name, c] = np.sort(battery(codes[:, :n], len(own)))
+            values[name, c] = _shares(battery(codes[:, :n], len(own)), np.exp(-ratio[:, n - 1]))
     return Ordinary(values)
 
 
+def _flat(chances: np.ndarray, power: float) -> np.ndarray:
+    flat = np.where(chances > 0, np.maximum(chances, 1e-300) ** power, 0.0)
+    return flat / flat.sum(-1, keepdims=True)
+
+
+def _chain(rng, start: np.ndarray, step: np.ndarray, draws: int) -> np.ndarray:
+    codes = np.empty((draws, LENGTHS[-1]), np.int64)
+    # chances that are zero are never drawn, whatever the sums round to
+    first, after = _rising(start), _rising(step)
+    codes[:, 0] = np.searchsorted(first, rng.random(draws), "right")
+    for k in range(1, LENGTHS[-1]):
+        codes[:, k] = (after[codes[:, k - 1]] <= rng.random(draws)[:, None]).sum(1)
+    return codes
+
+
+def _rising(chances: np.ndarray) -> np.ndarray:
+    sums = np.cumsum(chances, -1)
+    return np.where(sums >= sums[..., -1:], 1.0, sums)
+
+
+def _log_chances(codes: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Logarithm of the chance of each string's first character, first two, and so on."""
+    with np.errstate(divide="ignore"):
+        first, after = np.log(start), np.log(step)
+    return np.cumsum(np.concatenate([first[codes[:, :1]], after[codes[:, :-1], codes[:, 1:]]], 1), 1)
+
+
+def _shares(drawn: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and p-values: the weight of all strings at most as far from random, twice its standard error, and once more the heaviest of them and the next."""
+    order = np.argsort(drawn, kind="stable")
+    w = weights[order]
+    heaviest = np.maximum.accumulate(np.append(w, 0.0))
+    p = np.minimum((np.append(0.0, np.cumsum(w) + 2 * np.sqrt(np.cumsum(w * w))) + heaviest) / (len(w) + 1), 1.0)
+    p = np.minimum(STEP ** np.ceil(np.log(np.maximum(p, 1e-300)) / math.log(STEP)), 1.0)
+    new = np.flatnonzero(p[1:] != p[:-1])
+    return drawn[order][new], np.append(p[:1], p[new + 1])
+
+
 def _code_points(buf: np.ndarray) -> np.ndarray:
     """Code points before each byte."""
     return np.append(0, np.cumsum((buf & 0xC0) != 0x80))
@@ -247,7 +291,7 @@ def candidates(docs: DataFrame, text: str = "text", draws: int = DRAWS) -> DataF
 
 
 def cutoffs(scanned: DataFrame, fdr: float = FDR) -> dict[int, float]:
-    """Largest p-value reported in each length class (Benjamini-Hochberg). At most DRAWS + 1 values a class are collected."""
+    """Largest p-value reported in each length class (Benjamini-Hochberg). At most one value a power of STEP and class is collected."""
     found = scanned.select(F.explode("candidates").alias("c")).groupBy("c.class", "c.p").agg(F.count(F.lit(1)).alias("n"))
     by_class: dict[int, list[tuple[float, int]]] = {}
     for r in found.collect():
