@@ -95,6 +95,16 @@ def test_kept_documents(docs):
     assert got == sorted(want + [ids[0]] * 2 if empty else want)
 
 
+def test_rows_that_share_an_id_are_told_apart(docs):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(40)) for w in "abc")
+    near = b + " more"
+    rows = [(5, a), (5, b), (1, a), (7, c), (7, c + " more"), (7, ""), (None, a), (None, near), (None, "x y z"), (None, "x y z"), (None, None)]
+    kept = distinct_documents(docs([t for _, t in rows], [i for i, _ in rows])).collect()
+    got = [(r["doc_id"], r["text"]) for r in kept]
+    assert len(got) == 6 and (1, a) in got and (5, b) in got and (7, "") in got and (None, "x y z") in got and (None, None) in got
+    assert sum(i == 7 and t in (c, c + " more") for i, t in got) == 1
+
+
 def test_empty_table(docs):
     assert grouped(docs([])).count() == 0 and distinct_documents(docs([])).count() == 0
     assert distinct_documents(docs([None, "", None])).count() == 3

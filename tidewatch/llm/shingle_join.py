@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .arrays import FOLD, WORD_BETWEEN_SPACES, binaries, hashed, in_workers, map_slices, mixed, ranges, slices, words
+from .arrays import FOLD, WORD_BETWEEN_SPACES, add_columns, binaries, hashed, in_workers, map_slices, mixed, ranges, slices, words
 from .components import components
 
 WIDTH = 5
@@ -596,7 +596,7 @@ def _bits(n_tokens: int) -> int:
 
 
 def grouped(docs: DataFrame, *, id: str = "doc_id", text: str = "text", rare: int = RARE, block: int = BLOCK) -> DataFrame:
-    """id, n_shingles, key (of the set; null for none) and component_id (smallest id of the documents reachable by links)."""
+    """id, n_shingles, key (of the set; null for none), component_id (smallest id of the documents reachable by links) and label (the component's own; null for none)."""
     spark = docs.sparkSession
     docs = docs.select(id, text)
     nodes = staged(classes(docs, id, text), "classes")
@@ -610,21 +610,37 @@ def grouped(docs: DataFrame, *, id: str = "doc_id", text: str = "text", rare: in
     labels = components(links)
     joined = unique.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     smallest = joined.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    reached = staged(joined.select("key", "label").join(smallest, "label").select("key", "component_id"), "components")
+    reached = staged(joined.select("key", "label").join(smallest, "label").select("key", "component_id", "label"), "components")
     linked = nodes.where("key is not null").join(reached, "key")
-    alone = nodes.where("key is null").withColumn("component_id", F.col(id))
-    return linked.select(id, "n_shingles", "key", "component_id").unionByName(alone.select(id, "n_shingles", "key", "component_id"))
+    alone = nodes.where("key is null").withColumn("component_id", F.col(id)).withColumn("label", F.lit(None).cast("bigint"))
+    columns = [id, "n_shingles", "key", "component_id", "label"]
+    return linked.select(*columns).unionByName(alone.select(*columns))
 
 
 def distinct_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs with one document of each component, the one with the smallest id; columns as they are.
+    """docs with one row of each component, one with the smallest id (null after all others); columns as they are.
 
-    Documents without words all stay. Rows that repeat an id and a text are copies of each other; one stays.
+    Rows without words all stay. Rows that repeat an id, or have none, are documents of their own: they are told
+    apart by their set key, read again for these rows only. Of several sets under the smallest id the smallest key stays.
     """
     found = staged(grouped(docs, id=id, text=text, **options), "grouped")
+    again = staged(found.where(F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id), "repeated")
     dropped = found.where(F.col("component_id") != F.col(id)).select(id).distinct()
-    kept = docs.join(dropped, id, "left_anti").select(*docs.columns)
-    again = staged(found.where("key is not null").groupBy(id, "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id).distinct(), "repeated")
-    if again.isEmpty():
-        return kept
-    return kept.join(again, id, "left_anti").select(*docs.columns).unionByName(kept.join(again, id, "left_semi").select(*docs.columns).dropDuplicates([id, text]))
+    if again.isEmpty() and found.where(F.col(id).isNull() & F.col("key").isNotNull()).isEmpty():
+        return docs.join(dropped, id, "left_anti").select(*docs.columns)
+    single = docs.where(F.col(id).isNotNull()).join(dropped, id, "left_anti").join(again, id, "left_anti").select(*docs.columns)
+    several = docs.join(again, id, "left_semi").select(*docs.columns).unionByName(docs.where(F.col(id).isNull()))
+    key = "_set"
+    while key in {c.lower() for c in docs.columns}:
+        key = "_" + key
+
+    def work(rows, buf, at):
+        row, token = shingles(buf, at)
+        sizes, keys = set_keys(row, token, len(at) - 1)
+        return [pa.array(keys.view(np.int64), mask=sizes == 0)]
+
+    keyed = add_columns(several, text, f"`{key}` bigint", work)
+    least = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("own"), F.col("key").alias("set")))
+    first = found.where("key is not null").groupBy("label").agg(least.alias("r")).select(F.col("r.own").alias("_own"), F.col("r.set").alias("_first"))
+    chosen = keyed.join(first, keyed[id].eqNullSafe(first["_own"]) & (keyed[key] == first["_first"]), "left_semi").dropDuplicates([id, key])
+    return single.unionByName(chosen.select(*docs.columns)).unionByName(keyed.where(F.col(key).isNull()).select(*docs.columns))
