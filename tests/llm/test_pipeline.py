@@ -74,7 +74,7 @@ def test_run_and_registration(spark, folder):
     path, _, _ = folder
     registered = __spark_entry__.queries()
     assert registered["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in registered if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in registered if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     rows = corpus_pipeline.run(spark, path)
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "round_trip"] and rows.count() > 200
 
