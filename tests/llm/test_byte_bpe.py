@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tidewatch.llm.byte_bpe import decode, encode, encode_text, encoding, safe_pieces
+from tidewatch.llm.byte_bpe import _decodes_to, decode, encode, encode_checked, encode_text, encoding, safe_pieces
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -56,3 +56,23 @@ def test_round_trip(docs, bpe):
 
 def test_empty_table(docs):
     assert decode(encode(docs([]), RANKS, PATTERN), RANKS, PATTERN).count() == 0
+
+
+def test_one_worker_encodes_and_checks(docs, bpe):
+    texts = [*odd_texts()[:100], None, "", "same", "same", "long é " * 40_000]
+    out = encode_checked(docs(texts), RANKS, PATTERN)
+    plain = {r["doc_id"]: r for r in encode(docs(texts), RANKS, PATTERN).collect()}
+    for r in out.collect():
+        assert r["round_trip"] and (r["n_tokens"], r["ids"]) == (plain[r["doc_id"]]["n_tokens"], plain[r["doc_id"]]["ids"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_a_wrong_id_is_noticed(bpe):
+    text = "some words to encode " * 9000
+    ids = encode_text(bpe, text)
+    assert _decodes_to(bpe, ids, text.encode())
+    for k in (0, len(ids) // 2, len(ids) - 1):
+        other = ids.copy()
+        other[k] += 1
+        assert not _decodes_to(bpe, other, text.encode())
+    assert not _decodes_to(bpe, ids[:-1], text.encode()) and not _decodes_to(bpe, ids, text.encode()[:-1])

@@ -96,6 +96,40 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") ->
     return add_columns(docs, text, "n_tokens bigint, ids binary", work)
 
 
+def encode_checked(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") -> DataFrame:
+    """encode() that also decodes, in the same worker: adds round_trip, whether the ids' bytes are the text's.
+
+    Texts and ids pass through one worker a task, and no decoded text leaves it.
+    """
+
+    def work(rows, buf, at):
+        bpe = encoding(rank_file, pattern)
+        column = rows.column(rows.schema.get_field_index(text))
+        counts, same, parts = [], [], []
+        for t in column:
+            t = t.as_py() or ""
+            ids = encode_text(bpe, t)
+            counts.append(len(ids))
+            same.append(_decodes_to(bpe, ids, t.encode()))
+            parts.append(ids)
+        counts = np.array(counts, np.int64)
+        flat = np.concatenate(parts).astype("<u4")
+        return [pa.array(counts), binaries(flat, np.append(0, np.cumsum(counts * 4))), pa.array(same)]
+
+    return add_columns(docs, text, "n_tokens bigint, ids binary, round_trip boolean", work)
+
+
+def _decodes_to(bpe: tiktoken.Encoding, ids: np.ndarray, raw: bytes) -> bool:
+    """Whether the joined bytes of the tokens are `raw`, compared run by run."""
+    at = 0
+    for lo in range(0, len(ids), PIECE):
+        part = bpe.decode_bytes(ids[lo : lo + PIECE].tolist())
+        if raw[at : at + len(part)] != part:
+            return False
+        at += len(part)
+    return at == len(raw)
+
+
 def decode(encoded: DataFrame, rank_file: str, pattern: str, ids: str = "ids") -> DataFrame:
     """Adds decoded (binary): the joined raw bytes of the tokens; null ids decode to nothing. A column of that name is replaced."""
     encoded = without(encoded, ["decoded"], ids)
