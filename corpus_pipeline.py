@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm.byte_bpe import decode, encode
+from tidewatch.llm.byte_bpe import encode_checked
 from tidewatch.llm.decontaminate import remove
 from tidewatch.llm.quality import accepted
 from tidewatch.llm.secret_scan import redact
@@ -41,9 +41,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit integers) and whether decoding them gives the text's bytes."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = decode(encode(docs.select("doc_id", "text", "lang", "source"), ranks, pattern), ranks, pattern)
-    same = "decoded = cast(coalesce(text, '') as binary) AS round_trip"
-    return decoded.selectExpr("doc_id", "lang", "source", "n_tokens", "ids", same)
+    encoded = encode_checked(docs.select("doc_id", "text", "lang", "source"), ranks, pattern)
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip")
 
 
 STAGES = [
