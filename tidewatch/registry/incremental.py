@@ -9,14 +9,16 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.dedupe import union_by_name
-from ..sources.staging import shared_folder
+from ..sources.staging import shared_folder, staged
 from ..streaming.log import BatchLog, landed
+from ..streaming.refresh import Derived, RefreshedPanel
 from ..streaming.revisions import merge_revisions, merge_stream
 from ..streaming.snapshots import accumulate, accumulate_stream, snapshot_changes
-from .book import query
-from .tables import EVENTS, EVENTS_SQL, events_panel, running
+from .book import query, rounded
+from .tables import EVENTS, EVENTS_SQL, NATIONS, NATIONS_SQL, change_sql, events_panel, lag_sql, nations_panel, ramp_sql, running
 
 E = "event_type"
 TOTALS = {"total": "new_reported"}
@@ -99,3 +101,43 @@ def late_revision_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
         part.write.mode("append").parquet(f"{folder}/landing")
     source = landed(spark, f"{folder}/landing", files[0].schema, 1)
     return merge_stream(spark, source, files[0].schema, f"{folder}/published", f"{folder}/progress", "d", [E, "d"], revision_order())
+
+
+# revisions and the windows over them -------------------------------------------------
+MISSED = "n_name = 'NATION_3' AND d BETWEEN DATE '1997-05-01' AND DATE '1997-05-20'"
+REVISED = "d BETWEEN DATE '1998-03-10' AND DATE '1998-03-12'"
+FRESH = "d >= DATE '2001-01-01'"
+REFRESH_BATCHES = [
+    f"SELECT n_name, d, n, 0 AS version FROM panel WHERE NOT ({MISSED}) AND NOT ({FRESH})",
+    f"SELECT n_name, d, n + 5 AS n, 2 AS version FROM panel WHERE {REVISED} UNION ALL SELECT n_name, d, n, 0 AS version FROM panel WHERE {MISSED}",
+    f"SELECT n_name, d, n, 0 AS version FROM panel WHERE {FRESH} UNION ALL SELECT n_name, d, n + 9 AS n, 3 AS version FROM panel WHERE d = DATE '1998-03-11'"
+    f" UNION ALL SELECT n_name, d, n + 1 AS n, 1 AS version FROM panel WHERE {REVISED}",
+]
+REFRESH_SQL = f"""
+WITH panel AS ({NATIONS_SQL}), every AS ({' UNION ALL '.join(REFRESH_BATCHES)}),
+     p AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY n_name, d ORDER BY version DESC) = 1),
+     m AS (SELECT *, {ramp_sql('n', 'n_name')} AS a FROM p), k AS (SELECT n_name, max(n) AS peak FROM p GROUP BY n_name)
+SELECT n_name, d, n, version, round(a, 6) AS n_7d_avg, n - {lag_sql('n', 1, 'n_name')} AS n_change,
+       round({lag_sql('a', 7, 'n_name')}, 6) AS lstwk_n_7d_avg, round({change_sql('a', 'n_name')}, 6) AS n_incr_week, peak
+FROM m JOIN k USING (n_name)"""
+
+
+def refreshed_nations(spark: SparkSession, folder: str) -> RefreshedPanel:
+    derived = {
+        "n_7d_avg": Derived(lambda p: p.rolling_mean("n"), 6),
+        "n_change": Derived(lambda p: p.delta("n"), 1),
+        "lstwk_n_7d_avg": Derived(lambda p: p.lag("n_7d_avg", 7), 7, of=("n_7d_avg",)),
+        "n_incr_week": Derived(lambda p: p.change("n_7d_avg"), 7, of=("n_7d_avg",)),
+    }
+    base = StructType.fromDDL("n_name string, d date, n bigint, version int")
+    return RefreshedPanel(spark, folder, NATIONS, base, lambda: [F.col("version").desc()], derived, {"peak": ("max", lambda: F.col("n"))})
+
+
+@query("revision_window_refresh", REFRESH_SQL)
+def revision_window_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches: a history with a hole, revisions and the missed days, newer days and revisions of revisions."""
+    panel = staged(nations_panel(spark, sf).select("n_name", "d", "n"), "nations")
+    published = refreshed_nations(spark, work_folder(spark, "refresh"))
+    for sql in REFRESH_BATCHES:
+        published.apply(spark.sql(sql.replace("FROM panel", "FROM {panel}"), panel=panel))
+    return rounded(published.read())
