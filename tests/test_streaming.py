@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.sources.versions import name_of
 from tidewatch.streaming.log import BatchLog, landed
-from tidewatch.streaming.revisions import merge_revisions, merge_stream
+from tidewatch.streaming.revisions import merge_revisions, merge_stream, revision_table
 from tidewatch.streaming.snapshots import accumulate, accumulate_stream, last_snapshot, snapshot_changes
 
 KEYS = ["k", "d"]
@@ -49,11 +50,15 @@ def test_a_late_revision_rewrites_only_its_days(spark, tmp_path, frame):
     source = lambda: landed(spark, str(tmp_path / "in"), first.schema)
     first.write.parquet(str(tmp_path / "in"))
     merge_stream(spark, source(), first.schema, *args)
-    kept = [p for p in (tmp_path / "out" / "d=2021-01-01").glob("*.parquet")]
+    table = revision_table(spark, str(tmp_path / "out"), first.schema, "d")
+    kept = table.versions.current()
+    reader = table.read()
     late.write.mode("append").parquet(str(tmp_path / "in"))
     got = merge_stream(spark, source(), first.schema, *args)
     assert {(str(r["d"]), r["x"]) for r in got.collect()} == {("2021-01-01", 1.0), ("2021-01-02", 9.0)}
-    assert [p for p in (tmp_path / "out" / "d=2021-01-01").glob("*.parquet")] == kept
+    now = table.versions.current()
+    assert {n for n, p in now.of("revisions").items() if p != kept.of("revisions")[n]} == {name_of("2021-01-02")}
+    assert sorted(r["x"] for r in reader.collect()) == [1.0, 2.0]  # planned before: all days as they were
 
 
 def test_snapshots_pile_up_beyond_one_run(spark, tmp_path, frame):
@@ -80,3 +85,34 @@ def test_lost_progress_and_new_files_lose_no_history(spark, tmp_path, frame):
     history = accumulate_stream(landed(spark, str(tmp_path / "in2"), first.schema), log, str(tmp_path / "progress2"))
     assert rows_of(history) == rows_of(first.union(second))
     assert log.read().select("run").distinct().count() == 2
+
+
+def test_after_many_batches_a_read_opens_few_parts(spark, tmp_path, frame):
+    log = BatchLog(spark, str(tmp_path / "log"), frame([("a", "2021-01-01", 1)], "k string, d date, total long").schema, day="d", tier=3)
+    every = []
+    for batch in range(30):
+        rows = [("a", f"2021-01-{batch + 1:02d}", batch), ("b", "2021-01-01", batch)]
+        every += rows
+        log.append(frame(rows, "k string, d date, total long").coalesce(1), "run", batch)
+        if batch == 4:
+            reader, then = log.read(), rows_of(log.read())
+    parts = log.versions.current().of("log")
+    assert len(parts) <= 2 * 4 and len(log.read().inputFiles()) <= 16
+    assert sorted((r["k"], str(r["d"]), r["total"]) for r in log.read().collect()) == sorted(every)
+    assert log.read().select("batch").distinct().count() == 30
+    # a reader from before the parts were merged; a merged batch that is run again; then only what is named stays
+    assert rows_of(reader) == then
+    log.append(frame([("a", "2021-01-03", 2), ("b", "2021-01-01", 2)], "k string, d date, total long"), "run", 2)
+    assert log.versions.current().of("log") == parts
+    log.versions.vacuum(keep=1, older_than_hours=0)
+    assert log.read().count() == len(every)
+
+
+def test_a_batch_that_runs_again_replaces_its_own_rows(spark, tmp_path, frame):
+    schema = "k string, d date, total long"
+    log = BatchLog(spark, str(tmp_path / "log"), frame([("a", "2021-01-01", 1)], schema).schema, day="d")
+    assert log.read().count() == 0
+    for _ in range(2):
+        log.append(frame([("a", "2021-01-01", 1)], schema), "run", 0)
+    log.append(frame([("a", "2021-01-01", 1)], schema), "other run", 0)
+    assert sorted((r["run"], r["batch"]) for r in log.read().collect()) == [("other run", 0), ("run", 0)]

@@ -14,6 +14,7 @@ from ..sources.delimited import read_banner, read_feed, read_positional
 from ..sources.extracts import write_extract, write_table
 from ..sources.manifest import read_manifest
 from ..sources.staging import shared_folder
+from ..sources.versions import VersionedTable, Versions, part_name
 from .book import query
 from .tables import load
 
@@ -95,3 +96,20 @@ def table_by_year(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh(spark, "table")
     write_table(load(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), "o_totalprice"), path, "d")
     return spark.read.schema("o_orderkey long, d date, o_totalprice double, year_part int").parquet(path).where(F.col("year_part") >= 1999)
+
+
+@query(
+    "publish_changed_years",
+    """
+WITH o AS (SELECT o_orderkey, o_orderdate, o_totalprice FROM orders), k AS (SELECT year(o_orderdate) AS y FROM o WHERE o_orderkey = (SELECT min(o_orderkey) FROM o))
+SELECT CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n, year(o_orderdate) = (SELECT any_value(y) FROM k) AS written_again FROM o GROUP BY 1, 3""",
+)
+def publish_changed_years(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders published by year, then again with another price for the first one: which years are written again."""
+    orders = load(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"), "o_totalprice")
+    table = VersionedTable(Versions(spark, fresh(spark, "orders")), "orders", orders.schema, "y")
+    first = table.publish(orders).of("orders")
+    changed = F.col("o_orderkey") == orders.agg(F.min("o_orderkey")).scalar()
+    second = table.publish(orders.withColumn("o_totalprice", F.when(changed, F.lit(-1.0)).otherwise(F.col("o_totalprice"))), whole=True).of("orders")
+    again = part_name(F.col("y")).isin([n for n in second if second[n] != first[n]])
+    return table.read().groupBy("y").agg(F.count("*").alias("n")).withColumn("written_again", again)

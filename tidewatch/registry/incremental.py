@@ -62,6 +62,18 @@ def snapshot_accumulate_stream(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot_changes(history, (E,), "d", TOTALS)
 
 
+@query("snapshot_log_compacted", SNAPSHOT_SQL)
+def snapshot_log_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten batches of three days each; the log merges its parts on the way."""
+    folder = work_folder(spark, "snapshots")
+    runs = staged(snapshots(spark, sf), "runs")
+    log = BatchLog(spark, f"{folder}/log", runs.schema, day="d", tier=4)
+    every = runs.unionByName(repeated(runs))
+    for batch in range(10):
+        log.append(every.where((F.dayofmonth("d") - 1) % 30 % 10 == batch).distinct(), "run", batch)
+    return snapshot_changes(log.read().drop("run", "batch").distinct(), (E,), "d", TOTALS)
+
+
 # revisions --------------------------------------------------------------------------
 REVISION_SQL = f"""
 WITH s AS (SELECT 0 AS source_rank, 0 AS version, * FROM ({EVENTS_SQL}) WHERE d < DATE '2024-01-25'

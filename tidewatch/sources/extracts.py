@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import Conflict, Part, Versions
+
+EXTRACT = ("extract", "rows")
+
 
 def write_extract(df: DataFrame, path: str, null_text: str = "") -> None:
     """Flat CSV extract with a header in every part file. Missing text is `null_text`, empty text is quoted."""
@@ -26,20 +30,21 @@ def write_table(df: DataFrame, path: str, day: str) -> None:
 def publish_version(df: DataFrame, root: str, write) -> str:
     """Write a new version beside the old ones and only then name it the current one.
 
-    `write(df, folder)` writes the rows. A run that fails half way leaves the version
-    before it in place. Returns the new folder; `current_version` finds it.
+    `write(df, folder)` writes the rows. A run that fails half way leaves the version before it in place;
+    of two runs the one that ends later is current, by number and not by clock. Returns the new folder.
     """
     version = uuid.uuid4().hex
     folder = f"{root}/versions/{version}"
     write(df, folder)
-    spark = df.sparkSession
-    named = spark.createDataFrame([(version,)], "version string").select("version", F.current_timestamp().alias("at"))
-    named.coalesce(1).write.mode("append").json(f"{root}/current")
-    return folder
+    versions = Versions(df.sparkSession, root)
+    while True:
+        try:
+            versions.commit(versions.current(), {EXTRACT: Part(f"versions/{version}", 0, version)})
+            return folder
+        except Conflict:  # another run ended meanwhile; this one ends after it
+            continue
 
 
 def current_version(spark: SparkSession, root: str) -> str:
     """Folder of the version that was completed last."""
-    rows = spark.read.schema("version string, at timestamp").json(f"{root}/current")
-    newest = rows.orderBy(F.col("at").desc(), "version").first()
-    return f"{root}/versions/{newest['version']}"
+    return f"{root}/{Versions(spark, root).current().parts[EXTRACT].folder}"
