@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with its SQL where SQL can say it."""
 
-from . import aggregates, files, flows, incremental, joins, scalars, windows  # noqa: F401, I001
+from . import aggregates, entities, files, flows, incremental, joins, scalars, windows  # noqa: F401, I001
 from . import dirty  # noqa: F401
 from .book import BOOK
 
