@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_join
+from ..operators.intervals import interval_join
 from ..operators.panel import Panel
 from ..operators.segments import Columns, with_windows
 from .book import query, rounded
@@ -82,3 +83,32 @@ def asof_events_orders(spark: SparkSession, sf: str) -> DataFrame:
     orders = orders_of_users(spark, sf)
     found = asof_join(users(spark, sf), orders, ["u"], "ts", ["o_orderkey", "o_totalprice", "ordered_at"], right_time="ordered_at", ties=["o_orderkey"], size=SIZE)
     return found.select("event_id", "u", "o_orderkey", "o_totalprice", "ordered_at")
+
+
+@query(
+    "interval_corrections",
+    """
+WITH i AS (
+  SELECT event_type, CASE WHEN event_id % 400 <> 0 THEN ts END AS lo, CASE WHEN event_id % 60 <> 0 THEN ts + to_hours(CAST(event_id % 37 AS INTEGER)) END AS hi,
+    event_id % 11 AS rank, event_id AS corrected_by, value AS corrected FROM events WHERE event_id % 20 = 0
+  UNION ALL SELECT DISTINCT event_type, NULL, NULL, -1, -1, 0 FROM events),
+found AS (
+  SELECT e.event_id, e.event_type, corrected_by, corrected, row_number() OVER (PARTITION BY e.event_id ORDER BY rank DESC, corrected_by DESC) AS nr
+  FROM events e LEFT JOIN i ON i.event_type = e.event_type AND (i.lo IS NULL OR i.lo <= e.ts) AND (i.hi IS NULL OR e.ts < i.hi))
+SELECT event_id, event_type, corrected_by, corrected FROM found WHERE nr = 1""",
+)
+def interval_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event with the correction in force at its time; some are open at an end, and one of each type covers everything."""
+    events = load(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    hours = F.make_dt_interval(hours=F.col("event_id") % 37)
+    some = events.where("event_id % 20 = 0").select(
+        "event_type",
+        F.when(F.col("event_id") % 400 != 0, F.col("ts")).alias("lo"),
+        F.when(F.col("event_id") % 60 != 0, F.col("ts") + hours).alias("hi"),
+        (F.col("event_id") % 11).alias("rank"),
+        F.col("event_id").alias("corrected_by"),
+        F.col("value").alias("corrected"),
+    )
+    every = events.select("event_type").distinct().selectExpr("event_type", "cast(null as timestamp_ntz) lo", "cast(null as timestamp_ntz) hi", "-1L rank", "-1L corrected_by", "0D corrected")
+    found = interval_join(events, some.unionByName(every), ["event_type"], "ts", ["corrected_by", "corrected"], priority=["rank", "corrected_by"], size=SIZE)
+    return found.select("event_id", "event_type", "corrected_by", "corrected")
