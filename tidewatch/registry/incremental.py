@@ -13,12 +13,13 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedupe import union_by_name
 from ..sources.staging import shared_folder, staged
+from ..streaming.counters import changes_schema, run_counter_changes
 from ..streaming.log import BatchLog, landed
 from ..streaming.refresh import Derived, RefreshedPanel
 from ..streaming.revisions import merge_revisions, merge_stream
 from ..streaming.snapshots import accumulate, accumulate_stream, snapshot_changes
 from .book import query, rounded
-from .tables import EVENTS, EVENTS_SQL, NATIONS, NATIONS_SQL, change_sql, events_panel, lag_sql, nations_panel, ramp_sql, running
+from .tables import COUNTER_SQL, EVENTS, EVENTS_SQL, NATIONS, NATIONS_SQL, change_sql, events_panel, lag_sql, nations_counter, nations_panel, ramp_sql, running
 
 E = "event_type"
 TOTALS = {"total": "new_reported"}
@@ -74,6 +75,22 @@ def snapshot_log_compacted(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot_changes(log.read().drop("run", "batch").distinct(), (E,), "d", TOTALS)
 
 
+@query("counter_delta_stream", f"SELECT n_name, d, cum, cum - {lag_sql('cum', 1, 'n_name')} AS change FROM ({COUNTER_SQL})")
+def counter_delta_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders counter of each nation in four files; some rows of the last days of a file come with the next."""
+    folder = work_folder(spark, "counters")
+    counter = staged(nations_counter(spark, sf), "counter")
+    months = (F.year("d") - 1995) * 12 + F.month("d") - 1
+    delayed = (months % 20 == 19) & (F.dayofmonth("d") > 20) & (F.dayofmonth("d") % 3 == 0)
+    batch = F.floor(months / 20) + delayed.cast("int")
+    schema = changes_schema(counter, ["n_name"], "d", "cum", "change")
+    log = BatchLog(spark, f"{folder}/log", schema, day="d")
+    for k in range(5):
+        counter.where(batch == k).coalesce(1).write.mode("append").parquet(f"{folder}/source")
+    source = landed(spark, f"{folder}/source", counter.schema, 1)
+    return run_counter_changes(source, log, f"{folder}/progress", ["n_name"], "d", "cum", "change", keep_days=30).drop("late")
+
+
 # revisions --------------------------------------------------------------------------
 REVISION_SQL = f"""
 WITH s AS (SELECT 0 AS source_rank, 0 AS version, * FROM ({EVENTS_SQL}) WHERE d < DATE '2024-01-25'
