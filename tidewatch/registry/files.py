@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.delimited import read_banner, read_feed, read_positional
+from ..sources.inference import read_inferred
 from ..sources.extracts import write_extract, write_table
 from ..sources.manifest import read_manifest
 from ..sources.staging import shared_folder
@@ -113,3 +114,30 @@ def publish_changed_years(spark: SparkSession, sf: str) -> DataFrame:
     second = table.publish(orders.withColumn("o_totalprice", F.when(changed, F.lit(-1.0)).otherwise(F.col("o_totalprice"))), whole=True).of("orders")
     again = part_name(F.col("y")).isin([n for n in second if second[n] != first[n]])
     return table.read().groupBy("y").agg(F.count("*").alias("n")).withColumn("written_again", again)
+
+
+@query(
+    "csv_inferred_types",
+    """
+SELECT o_orderkey AS order_key,
+  CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN round(o_totalprice) WHEN 2 THEN CASE WHEN o_custkey % 4 <> 0 THEN o_totalprice END END AS total,
+  CAST(o_orderdate AS DATE) AS ordered, CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE CAST(o_custkey % 5 AS VARCHAR) END AS status,
+  lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS code, CASE WHEN o_orderkey % 3 = 1 THEN o_custkey END AS extra,
+  'order_key bigint, total double, ordered date, status string, code string, extra bigint' AS types FROM orders""",
+)
+def csv_inferred_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Three folders that disagree in columns, their order and what their values look like; no type is declared."""
+    orders = load(spark, sf, "orders")
+    third, key, status = F.col("o_orderkey") % 3, F.col("o_orderkey").alias("Order Key"), (F.col("o_custkey") % 5).alias("Status")
+    day, code = F.to_date("o_orderdate"), F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("Code")
+    total = F.when(F.col("o_custkey") % 4 != 0, F.col("o_totalprice").cast("string")).otherwise("N/A")
+    parts = [
+        orders.where(third == 0).select(key, F.col("o_totalprice").alias("Total"), day.alias("Ordered"), status, code),
+        orders.where(third == 1).select(F.date_format(day, "M/d/yyyy").alias("Ordered"), key, F.round("o_totalprice").cast("long").alias("Total"), F.col("o_orderstatus").alias("Status"), code, F.col("o_custkey").alias("Extra")),
+        orders.where(third == 2).select(key, total.alias("Total"), day.alias("Ordered"), status, code),
+    ]
+    paths = [fresh(spark, f"disagree-{k}") for k in range(3)]
+    for part, path in zip(parts, paths):
+        part.write.option("header", True).csv(path)
+    out = read_inferred(spark, paths).select("order_key", "total", "ordered", "status", "code", "extra")
+    return out.withColumn("types", F.lit(", ".join(f"{c} {t}" for c, t in out.dtypes)))

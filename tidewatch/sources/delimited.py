@@ -1,7 +1,10 @@
-"""CSV readers. None of them infers types."""
+"""CSV readers with declared types. For types found from the values see inference."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -11,6 +14,7 @@ from ..functions.names import starting, with_clean_names
 from ..operators.dedupe import union_by_name
 from ..schemas import ddl
 
+READERS = 16  # files whose first line is read at a time
 QUOTED = {"quote": '"', "escape": '"', "multiLine": False}
 
 
@@ -32,16 +36,30 @@ def read_text(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8
 
 
 def headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
-    """Files by header line, found in one job: the line with the smallest place in each file, whose places go up along the file."""
-    lines = spark.read.options(encoding=encoding).text(paths) if encoding == "UTF-8" else spark.read.options(header=False, encoding=encoding, sep="\x01", quote="").schema("value string").csv(paths)
-    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
-    first = placed.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    """Files by header line. Spark lists the files; of each only the first bytes are read, up to its first line's end."""
+    files = sorted(spark.read.text(paths).inputFiles())
+    with ThreadPoolExecutor(READERS) as pool:
+        lines = list(pool.map(lambda file: _first_line(spark, file, encoding), files))
     found: dict[str, list[str]] = {}
-    for r in first.orderBy("file").collect():  # one row per file
-        found.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(r["file"])
+    for file, line in zip(files, lines):
+        if line is not None:
+            found.setdefault(line.lstrip("\ufeff").rstrip("\r"), []).append(unquote(file))
     return found
 
 
+def _first_line(spark: SparkSession, file: str, encoding: str) -> str | None:
+    """The first line of a file, compressed or not; None when it is empty."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        raw = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, encoding)).readLine()
+    finally:
+        stream.close()
+
+
 def read_mixed(spark: SparkSession, paths: list[str], columns: dict[str, str], prefixes: tuple[str, ...] = (), encoding: str = "UTF-8", file: str | None = None) -> DataFrame:
     """Files whose headers differ in order or columns, as one table: one scan per header, put together by name.
 
