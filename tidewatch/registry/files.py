@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..sources.delimited import read_banner, read_feed, read_positional
 from ..sources.inference import read_inferred
 from ..sources.extracts import write_extract, write_table
+from ..sources.json_chunks import read_large_records
 from ..sources.manifest import read_manifest
 from ..sources.staging import shared_folder
 from ..sources.versions import VersionedTable, Versions, part_name
@@ -141,3 +142,21 @@ def csv_inferred_types(spark: SparkSession, sf: str) -> DataFrame:
         part.write.option("header", True).csv(path)
     out = read_inferred(spark, paths).select("order_key", "total", "ordered", "status", "code", "extra")
     return out.withColumn("types", F.lit(", ".join(f"{c} {t}" for c, t in out.dtypes)))
+
+
+@query(
+    "json_large_document",
+    """SELECT o_orderkey, o_totalprice, '}] "' || o_orderpriority || '\\ {' AS note, o_custkey FROM orders""",
+)
+def json_large_document(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as one document of one file, with braces and quotes in its texts; read by as many tasks as it has blocks."""
+    path = fresh(spark, "document")
+    note = F.concat(F.lit('}] "'), "o_orderpriority", F.lit("\\ {")).alias("note")
+    record = F.to_json(F.struct("o_orderkey", "o_totalprice", note, F.struct("o_custkey").alias("of")))
+    lines = load(spark, sf, "orders").select(F.concat(record, F.lit(",")).alias("value"))
+    head = spark.createDataFrame([('{"made": {"orders": [{"o_orderkey": -2}]}, "orders": [',)], lines.schema)
+    tail = spark.createDataFrame([('{"o_orderkey": -1}], "others": [{"o_orderkey": -3}]}',)], lines.schema)
+    head.union(lines).union(tail).coalesce(1).write.text(path)
+    columns = {"o_orderkey": "long", "o_totalprice": "double", "note": "string", "of": "struct<o_custkey: long>"}
+    records = read_large_records(spark, path, columns, "orders")
+    return records.where("o_orderkey <> -1").select("o_orderkey", "o_totalprice", "note", "of.o_custkey")

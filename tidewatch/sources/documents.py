@@ -1,4 +1,4 @@
-"""JSON readers. A document may span lines, so one file is one task; use many files for size."""
+"""JSON readers that take each file whole: one file is one task. For large documents see json_chunks."""
 
 from __future__ import annotations
 
