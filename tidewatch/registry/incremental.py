@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedupe import union_by_name
+from ..operators.enrich import lookup
+from ..operators.sketches import DISTINCT_ERROR, RANK_ERROR, DailyQuality
 from ..sources.staging import shared_folder, staged
 from ..streaming.counters import changes_schema, run_counter_changes
 from ..streaming.log import BatchLog, landed
@@ -19,7 +21,7 @@ from ..streaming.refresh import Derived, RefreshedPanel
 from ..streaming.revisions import merge_revisions, merge_stream
 from ..streaming.snapshots import accumulate, accumulate_stream, snapshot_changes
 from .book import query, rounded
-from .tables import COUNTER_SQL, EVENTS, EVENTS_SQL, NATIONS, NATIONS_SQL, change_sql, events_panel, lag_sql, nations_counter, nations_panel, ramp_sql, running
+from .tables import COUNTER_SQL, EVENTS, EVENTS_SQL, NATIONS, NATIONS_SQL, change_sql, events_panel, lag_sql, load, nations_counter, nations_panel, ramp_sql, running
 
 E = "event_type"
 TOTALS = {"total": "new_reported"}
@@ -170,3 +172,37 @@ def revision_window_refresh(spark: SparkSession, sf: str) -> DataFrame:
     for sql in REFRESH_BATCHES:
         published.apply(spark.sql(sql.replace("FROM panel", "FROM {panel}"), panel=panel))
     return rounded(published.read())
+
+
+# quality of spans ------------------------------------------------------------------------
+SPANS_SQL = """
+SELECT CAST(f AS DATE) AS "first", CAST(f + to_days(CAST(n - 1 AS INTEGER)) AS DATE) AS "last" FROM (SELECT DATE '2024-01-01' + to_days(CAST(x AS INTEGER)) AS f FROM range(30) t(x)), (VALUES (1), (3), (10), (30)) l(n)"""
+
+
+@query(
+    "span_quality",
+    f"""
+SELECT "first", "last", count(*) AS n_rows, count(nullif(value, 1.63)) AS n_values, TRUE AS keys_within, TRUE AS median_within
+FROM ({SPANS_SQL}) JOIN events ON CAST(ts AS DATE) BETWEEN "first" AND "last" GROUP BY 1, 2""",
+)
+def span_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures of every span of 1, 3, 10 and 30 days from daily sketches, and whether they are within their error of the exact ones.
+
+    The events arrive in two parts, of which the second replaces some days of the first.
+    """
+    events = load(spark, sf, "events").select(F.to_date("ts").alias("d"), "user_id", F.nullif(F.col("value"), F.lit(1.63)).alias("value"))
+    quality = DailyQuality(spark, work_folder(spark, "quality"), "d", "user_id", "value")
+    early = F.col("d") < F.lit("2024-01-20").cast("date")
+    quality.publish(events.where(early).withColumn("value", F.when(F.dayofmonth("d") != 15, F.col("value"))))
+    quality.publish(events.where(~early | (F.dayofmonth("d") == 15)))
+    starts = spark.range(30).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("first"))
+    spans = starts.withColumn("n", F.explode(F.array(*map(F.lit, (1, 3, 10, 30))))).select("first", F.date_add("first", F.col("n") - 1).alias("last"))
+    found = staged(quality.spans(spans), "spans")
+    days = found.select("first", "last", "q50", F.explode(F.sequence("first", "last")).alias("d"))
+    exact = days.join(events, "d").groupBy("first", "last").agg(
+        F.count_distinct("user_id").alias("users"), F.avg((F.col("value") < F.col("q50")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("q50")).cast("int")).alias("upto")
+    )
+    both = lookup(found, exact, ["first", "last"], unique=True)
+    keys_within = F.abs(F.col("n_keys") - F.col("users")) <= DISTINCT_ERROR * F.col("users") + 1
+    median_within = (F.col("below") <= 0.5 + RANK_ERROR) & (F.col("upto") >= 0.5 - RANK_ERROR)
+    return both.select("first", "last", "n_rows", "n_values", keys_within.alias("keys_within"), median_within.alias("median_within"))

@@ -10,6 +10,7 @@ from ..operators.dedupe import first_per_key, merge_by_priority, union_by_name
 from ..operators.enrich import between_days, full_join_feeds, left_join_feeds, lookup, overridden, repaired, step_value
 from ..operators.panel import build_panel, carry_previous
 from ..sources.manifest import newest
+from ..operators.spelling import repair_names
 from .book import query, rounded
 from .tables import (
     EVENTS, EVENTS_SQL, NATIONS_SQL, SHIPMENTS_SQL, events_panel, lag_sql, load, money, nations, nations_panel, rows, shipments_panel,
@@ -221,3 +222,32 @@ SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalp
 def newest_n(spark: SparkSession, sf: str) -> DataFrame:
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_totalprice")
     return newest(orders, 14, F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
+
+
+WRITTEN_SQL = """
+SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN substr(p_name, 1, 3) || substr(p_name, 5) WHEN 1 THEN p_name || 's' WHEN 2 THEN upper(p_name)
+  WHEN 3 THEN 'x' || substr(p_name, 2, 4) || 'yz' || substr(p_name, 6) WHEN 4 THEN substr(p_name, 2) || '!' ELSE p_name END AS written FROM part"""
+
+
+@query(
+    "fuzzy_repair",
+    f"""
+WITH w AS ({WRITTEN_SQL}), k AS (SELECT DISTINCT p_name AS repaired FROM part),
+     pair AS (SELECT n.written, repaired, levenshtein(lower(n.written), repaired) AS distance FROM (SELECT DISTINCT written FROM w) n, k),
+     near AS (SELECT * FROM pair WHERE distance <= 2 QUALIFY rank() OVER (PARTITION BY written ORDER BY distance) = 1),
+     one AS (SELECT written, any_value(repaired) AS repaired, CAST(any_value(distance) AS INTEGER) AS distance FROM near GROUP BY written HAVING count(*) = 1)
+SELECT p_partkey, w.written, repaired, distance FROM w LEFT JOIN one USING (written)""",
+)
+def fuzzy_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Part names written with edits, brought back to the known ones where one is closest."""
+    parts = load(spark, sf, "part").select("p_partkey", "p_name")
+    name, kind = F.col("p_name"), F.col("p_partkey") % 6
+    written = (
+        F.when(kind == 0, F.concat(F.substring(name, 1, 3), F.substring(name, 5, 100)))
+        .when(kind == 1, F.concat(name, F.lit("s")))
+        .when(kind == 2, F.upper(name))
+        .when(kind == 3, F.concat(F.lit("x"), F.substring(name, 2, 4), F.lit("yz"), F.substring(name, 6, 100)))
+        .when(kind == 4, F.concat(F.substring(name, 2, 100), F.lit("!")))
+        .otherwise(name)
+    )
+    return repair_names(parts.select("p_partkey", written.alias("written")), "written", parts.select("p_name").distinct(), "p_name")
