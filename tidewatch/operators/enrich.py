@@ -59,16 +59,22 @@ def _left(fact: DataFrame, dim: DataFrame, on: list[str], null_safe: bool) -> Da
     return fact.join(right, same, "left").drop(*held.values())
 
 
-def left_join_feeds(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Fact to fact on (entity, day). A repeated key on the right would multiply rows and is an error."""
+def left_join_feeds(left: DataFrame, right: DataFrame, on: list[str], *, unique: bool = False) -> DataFrame:
+    """Fact to fact on (entity, day). A repeated key on the right would multiply rows and is an error.
+
+    `unique` is for a feed that was reduced to one row per key just before.
+    """
     _no_clash([left, right], on)
-    return left.join(one_per_key(right, on, "feed"), on, "left")
+    return left.join(right if unique else one_per_key(right, on, "feed"), on, "left")
 
 
-def full_join_feeds(feeds: list[DataFrame], on: list[str]) -> DataFrame:
-    """Full outer join of panels on (entity, day), each of which must hold a key once; the shuffle by `on` is done once per feed."""
+def full_join_feeds(feeds: list[DataFrame], on: list[str], *, unique: bool = False) -> DataFrame:
+    """Full outer join of panels on (entity, day), each of which must hold a key once; the shuffle by `on` is done once per feed.
+
+    `unique` is for feeds that were all reduced to one row per key just before.
+    """
     _no_clash(feeds, on)
-    return reduce(lambda a, b: a.join(b, on, "full"), [one_per_key(f, on, "feed") for f in feeds])
+    return reduce(lambda a, b: a.join(b, on, "full"), feeds if unique else [one_per_key(f, on, "feed") for f in feeds])
 
 
 def _no_clash(feeds: list[DataFrame], on: list[str]) -> None:

@@ -62,7 +62,7 @@ def merged(cases: DataFrame, tests: DataFrame, hospital: DataFrame, history: Dat
     full = full_join_feeds([cases, tests, hospital], KEY)
     history = first_per_key(history, KEY, [F.col("total_tests").desc_nulls_last(), F.col("total_pos_tests").desc_nulls_last()])
     shares = [F.col(c).desc_nulls_last() for c in sorted(set(vax.columns) - set(KEY))]
-    return left_join_feeds(left_join_feeds(full, history, KEY), first_per_key(vax, KEY, shares), KEY)
+    return left_join_feeds(left_join_feeds(full, history, KEY, unique=True), first_per_key(vax, KEY, shares), KEY, unique=True)
 
 
 def places(df: DataFrame, census: DataFrame, population: DataFrame, hexes: DataFrame) -> DataFrame:
