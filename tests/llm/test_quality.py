@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -161,7 +162,69 @@ def test_no_python_runs_in_the_decision_list(labelled):
 def test_the_sample_is_the_first_by_hash(spark):
     from pyspark.sql import functions as F
 
-    rows = spark.range(5000).select(F.col("id").alias("i"))
-    want = [r["i"] for r in rows.orderBy(F.xxhash64("i")).limit(300).collect()]
-    assert [r["i"] for r in quality._first_by_hash(rows, "i", 300).collect()] == want
-    assert quality._first_by_hash(rows.limit(10), "i", 300).count() == 10
+    rows = spark.range(5000).select(F.col("id").alias("_id"))
+    want = [r["_id"] for r in rows.orderBy(F.xxhash64("_id")).limit(300).collect()]
+    assert [r["_id"] for r in quality._first_by_hash(rows.union(rows), 300).collect()] == want
+    assert quality._first_by_hash(rows.limit(10), 300).count() == 10
+
+
+@pytest.mark.parametrize("hot", range(6))
+def test_an_id_that_most_rows_share_leaves_the_sample_whole(spark, hot):
+    """Whatever its hash, it is one id of the sample; the others are there too."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(3000).select(F.lit(hot).cast("long").alias("_id")).unionByName(spark.range(100, 1100).select(F.col("id").alias("_id")))
+    chosen = {r["_id"] for r in quality._first_by_hash(ids, 400).collect()}
+    assert len(chosen) == 400
+    assert len({r["_id"] for r in quality._first_by_hash(ids, 5000).collect()}) == 1001
+
+
+def test_one_id_on_most_rows_still_trains(spark, labelled):
+    source, table, labels, texts = labelled
+    from pyspark.sql import functions as F
+
+    some = next(k for k in labels if not fold(k))
+    crowd = spark.range(20_000).select(F.lit(some).cast("long").alias("doc_id"), F.concat(F.lit("### x "), F.col("id").cast("string")).alias("text"))
+    both = source.select("doc_id", "text").unionByName(crowd)
+    rows = quality.score(both, table, sample=200).where(F.col("doc_id") != some).collect()
+    held = [(r["predicted"], labels[r["doc_id"]]) for r in rows if fold(r["doc_id"]) and r["doc_id"] in labels]
+    assert np.mean([a == b for a, b in held]) >= 0.95
+
+
+def naive_stats(text):
+    """STATS by their definitions, one text at a time."""
+    raw = (text or "").encode()
+    size = max(len(raw), 1)
+    kinds = [bytes(range(65, 91)), bytes(range(48, 58)), b"#*$%&|<>!", b".,;:?'\"()-"]
+    spaces = sum(b in b" \t\n\v\f\r" for b in raw)
+    lower, non_ascii = sum(97 <= b < 123 for b in raw), sum(b >= 128 for b in raw)
+    counts = [sum(b in k for b in raw) for k in kinds]
+    other = len(raw) - sum(counts) - lower - non_ascii - spaces
+    words = [bytes(b + 32 if 65 <= b < 91 else b for b in w) for w in raw.translate(bytes.maketrans(b"\t\n\v\f\r", b"     ")).split(b" ") if w]
+    n = max(len(words), 1)
+    lines = [x for x in raw.split(b"\n") if x]
+    windows = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+    mean = lambda test: sum(map(test, words)) / n
+    symbol = lambda b: b in kinds[2]
+    return [
+        np.log1p(len(words)), np.log1p(len(lines)), mean(len), *(counts[k] / size for k in (0, 1, 2, 3)), other / size, non_ascii / size, spaces / size,
+        len(set(words)) / n, max(Counter(words).values(), default=0) / n, sum(a == b for a, b in zip(words, words[1:])) / n, sum(c for c in windows.values() if c > 1) / n,
+        len(set(lines)) / max(len(lines), 1), len(words) / max(len(lines), 1),
+        mean(lambda w: w[0] >= 128 or w[:1].isalnum()), mean(lambda w: symbol(w[-1]) or symbol(w[0])), mean(lambda w: len(w) <= 3), mean(lambda w: len(w) >= 12),
+    ]
+
+
+def test_statistics_by_their_definitions():
+    rng = random.Random(21)
+    parts = ["a", "Be", "é", "漢字", " ", " ", "\n", "\t", "\v", "\x1c", "#", "12", ".", "--", "x y z w v ", "$a", "long" * 4, "~", "\x00"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 70))) for _ in range(300)] + ["", None, "\n\n", "same\nsame\n", "w " * 400]
+    raw = [(t or "").encode() for t in texts]
+    got = quality.text_stats(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    np.testing.assert_allclose(got, np.array([naive_stats(t) for t in texts]), rtol=1e-5, atol=1e-6)
+
+
+def test_very_long_text(docs, labelled):
+    source, table, _, _ = labelled
+    long = docs(["word number one " * 300_000, "z" * 3_000_000], ids=[10_000_000, 10_000_001])
+    out = quality.score(source.select("doc_id", "text").unionByName(long.select("doc_id", "text")), table).where("doc_id >= 10000000").collect()
+    assert len(out) == 2 and all(0 <= r["score"] <= 1 for r in out)
