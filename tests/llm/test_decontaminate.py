@@ -113,3 +113,23 @@ def test_search_gives_the_longest_match():
     which, place, long = search(suffix_array(tokens, 8), tokens, p)
     found = {(int(p.start[w]), int(q)): int(n) for w, q, n in zip(which, place, long)}
     assert found[(0, 0)] == 3 and found[(1, 4)] == 4 and found[(0, 6)] == 2 and found[(5, 1)] == 2
+
+
+def test_a_full_block_stays_within_its_bound():
+    """Arrays of a block of 4 MB, whatever its words: short ones, repeated texts, one long item."""
+    import pickle
+    import tracemalloc
+
+    from tidewatch.llm.decontaminate import BLOCK
+
+    rng = np.random.default_rng(5)
+    vocab = np.array([f"w{k}" for k in range(60_000)])
+    long = " ".join(rng.choice(vocab, BLOCK // 14))
+    items = [("long", long), *((str(k), "a b c " * 40) for k in range(BLOCK // 960)), *((f"x{k}", t) for k, t in enumerate(map(" ".join, rng.choice(vocab, (BLOCK // 4 // 280, 40)))))]
+    assert 0.9 * BLOCK <= sum(len(t) for _, t in items) <= 1.2 * BLOCK
+    tracemalloc.start()
+    p = probe(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6 and len(pickle.dumps(p)) < 80e6
+    assert len({int(c) for c in p.window_class}) + 0 == len(p.class_items[0]) - 1

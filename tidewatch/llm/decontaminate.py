@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.staging import staged
-from .arrays import FOLD, WORD_OF_LETTERS, add_columns, binaries, hashed, in_workers, keep_rows, lists, ranges, without, words
+from .arrays import FOLD, ODD, WORD_OF_LETTERS, add_columns, binaries, hashed, in_workers, keep_rows, lists, mixed, ranges, without, words
 
 WINDOW = 10
-BLOCK = 32 << 20
+BLOCK = 4 << 20  # bytes of benchmark text; with all working arrays some 400 MB on the driver
 SHARD = 2 << 20  # bytes of text under one suffix array
 
 
@@ -51,10 +51,11 @@ class Probe:
 
 
 def probe(items: list[tuple[str, str]], window: int = WINDOW) -> Probe | None:
-    """Suffixes of (id, text) rows; None when no item has a word."""
+    """Suffixes of (id, text) rows; None when no item has a word. Arrays only: some 60 bytes a word of the block."""
     items = [(i, t.encode()) for i, t in items if i is not None and t]
     names = sorted({i for i, _ in items})
-    rank = {name: k for k, name in enumerate(names)}
+    place = {name: k for k, name in enumerate(names)}
+    rank = np.array([place[i] for i, _ in items], np.int64)
     buf = FOLD[np.frombuffer(b"".join(t for _, t in items), np.uint8)]
     at = np.cumsum([0, *(len(t) for _, t in items)])
     starts, ends, row = words(buf, at, WORD_OF_LETTERS)
@@ -63,32 +64,31 @@ def probe(items: list[tuple[str, str]], window: int = WINDOW) -> Probe | None:
     vocabulary, codes = np.unique(hashed(buf, starts, ends), return_inverse=True)
     codes = (codes + 1).astype(np.int64)
     cuts = np.searchsorted(row, np.arange(len(items) + 1))
-    start, length, begin, need, item = [], [], [], [], []
-    classes: dict[bytes, int] = {}
-    klass, members = [], []
-    seen: dict[bytes, int] = {}
-    for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-        n = int(hi - lo)
-        whole = codes[lo:hi].tobytes()
-        same = n > 0 and whole in seen
-        seen.setdefault(whole, k)
-        for p in range(n):
-            w = window if n - p >= window else n if p == 0 else 0
-            if not w:
-                continue
-            name = codes[lo + p : lo + p + w].tobytes()
-            c = classes.setdefault(name, len(classes))
-            if c == len(members):
-                members.append(set())
-            members[c].add(rank[items[k][0]])
-            if same:  # the same words as an earlier item: only its name is new
-                continue
-            start.append(int(lo) + p), length.append(n - p), begin.append(int(lo)), need.append(w), item.append(rank[items[k][0]])
-            klass.append(c)
-    flat = [i for m in members for i in sorted(m)]
-    offsets = np.cumsum([0, *map(len, members)])
-    start, length, begin, need, klass, item, flat = (np.array(x, np.int64) for x in (start, length, begin, need, klass, item, flat))
-    return Probe(vocabulary, codes, start, length, begin, need, klass, item, (offsets, flat), names)
+    size = np.diff(cuts)
+    # a window begins at every word that has the others behind it; an item of fewer words is one
+    n_windows = np.where(size >= window, size - window + 1, (size > 0).astype(np.int64))
+    start = ranges(cuts[:-1], n_windows)
+    item = np.repeat(np.arange(len(items)), n_windows)
+    need = np.minimum(size, window)[item]
+    _, klass = np.unique(_window_hashes(codes, start, need), return_inverse=True)
+    pairs = np.unique(klass * len(names) + rank[item])
+    offsets = np.searchsorted(pairs // len(names), np.arange(int(klass.max()) + 2))
+    # the same words as an earlier item: only its name is new
+    whole = np.zeros(len(items), np.uint64)
+    np.add.at(whole, row, mixed(codes.astype(np.uint64) * ODD + mixed((np.arange(len(codes)) - cuts[row]).astype(np.uint64))))
+    _, first = np.unique(whole, return_index=True)
+    own = np.isin(item, first)
+    start, item, need, klass = start[own], item[own], need[own], klass[own]
+    return Probe(vocabulary, codes, start, cuts[item + 1] - start, cuts[item], need, klass, rank[item], (offsets, pairs % len(names)), names)
+
+
+def _window_hashes(codes: np.ndarray, start: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """64-bit hash of the `need` words from each start."""
+    h = need.astype(np.uint64)
+    for k in range(int(need.max())):
+        more = np.minimum(start + k, len(codes) - 1)
+        h = np.where(k < need, mixed(h + codes[more].astype(np.uint64) * ODD), h)
+    return h
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
