@@ -34,6 +34,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,9 +67,13 @@ ARTICLE_WORDS = {"article", "content", "post", "entry", "story", "main", "body"}
 #: Largest share of a page's unlinked text in an element that is left out for a word, and for a part of a word.
 HINT_SHARE, PART_SHARE = 0.75, 0.25
 HINT_CHARS = 140
-WORD, PART = 2, 1
+COMMENTS = {"comment", "comments", "disqus", "respond", "replies"}
+COMMENT, WORD, PART = 3, 2, 1
+#: Part of the core's worth from which on something outside the core, and outside the article, is main text too.
+BESIDE_CORE = 0.25
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.DOTALL)
+_TAG_START = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_BALANCED = re.compile(r"""(?>[^"']+|"[^"]*"|'[^']*')*+""")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?(?=[\s/"']|$)""", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -86,7 +91,7 @@ class Node:
 
 
 def _outside(name: str, attributes: str) -> tuple[bool, bool, int]:
-    """(never part of an article, named an article, hint that it is none: WORD, PART or 0)."""
+    """(never part of an article, named an article, hint that it is none: COMMENT, WORD, PART or 0)."""
     if name in OUTSIDE:
         return True, False, 0
     article = name in ("article", "main")
@@ -106,39 +111,90 @@ def _outside(name: str, attributes: str) -> tuple[bool, bool, int]:
         if key in ("class", "id"):
             names, whole = set(_NAME.findall(value)), set(value.split())
             if names & OUTSIDE_WORDS and name not in ("body", "html", "main") and not (name == "article" and names & ARTICLE_WORDS and not whole & {"comment", "comments"}):
-                hint = max(hint, WORD if any(OUTSIDE_WORDS.issuperset(_NAME.findall(w)) for w in whole if _NAME.search(w)) else PART)
+                telling = [parts for w in whole if (parts := _NAME.findall(w)) and OUTSIDE_WORDS.issuperset(parts)]
+                hint = max(hint, COMMENT if any(not COMMENTS.isdisjoint(p) for p in telling) else WORD if telling else PART)
     return False, article, hint
 
 
+class _Tags:
+    """Tags of a page one after the other. Every search goes forward and what is not there is looked for once, so a page
+    takes time in proportion to its length, whatever brackets and quotes it holds."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[str, int] = {}  # next place of a character, as last looked up
+        self.tries = 1 << 10  # tags with quotes that stay open; beyond them such a tag ends at its first bracket
+
+    def _next(self, what: str, at: int) -> int:
+        known = self.ends.get(what)
+        if known is None or (known != -1 and known < at):
+            known = self.ends[what] = self.page.find(what, at)
+        return known
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, whether an end tag, name or None for a comment, attributes) of the next tag."""
+        while True:
+            m = _TAG_START.search(self.page, at)
+            if m is None:
+                return None
+            if m[1]:
+                stop = self._next("-->", m.end())
+                return m.start(), len(self.page) if stop < 0 else stop + 3, False, None, ""
+            close = self._next(">", m.end())
+            if close < 0:
+                return None  # no bracket closes: all that follows is text
+            if m[3] is None:
+                return m.start(), close + 1, False, None, ""
+            stop = self._tag_end(m.end(), close)
+            return m.start(), stop + 1, bool(m[2]), m[3], self.page[m.end() : stop]
+
+    def _tag_end(self, at: int, close: int) -> int:
+        """The first closing bracket outside quotes; the first of all when there is none."""
+        lo, stop = at, close
+        while True:
+            lo = _BALANCED.match(self.page, lo, stop).end()
+            if lo == stop:
+                return stop
+            if self.tries <= 0:
+                return close
+            quote = self._next(self.page[lo], stop)
+            self.tries -= 1
+            if quote < 0:
+                return close
+            lo, stop = quote + 1, self.page.find(">", quote + 1)
+            if stop < 0:
+                return close
+
+
 def parse(page: str) -> Node:
     """Tree of the elements that may belong to an article."""
     root = Node("body", None)
-    open_: list[Node] = [root]
-    skipped = 0  # depth in `outside` of the stack: elements below are not kept
-    outside: list[str] = []
+    open_ = _Open([root])
+    outside = _Open()  # names of open elements that are not kept, from the topmost one on
     at = 0
 
     def text(lo: int, hi: int) -> None:
         if hi > lo and not outside:
             open_[-1].parts.append(page[lo:hi])
 
+    tags = _Tags(page)
     while True:
-        m = _TAG.search(page, at)
-        if not m:
+        found = tags.next(at)
+        if found is None:
             text(at, len(page))
             break
-        text(at, m.start())
-        at = m.end()
-        end, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        start, stop, end, name, attributes = found
+        text(at, start)
+        at = stop
         if name is None:
             continue
         name = name.lower()
         if end:
             if outside:
-                if name in outside:
-                    del outside[len(outside) - 1 - outside[::-1].index(name) :]
+                if outside.names[name]:
+                    outside.cut(outside.last(name))
                 elif name in ("body", "html"):
-                    outside.clear()
+                    outside.cut(0)
                 continue
             _close(open_, name)
             continue
@@ -152,9 +208,9 @@ def parse(page: str) -> Node:
             continue
         if outside:
             if name not in VOID and not attributes.endswith("/"):
-                if name in ENDS_PARAGRAPH and "p" in outside[1:]:
-                    del outside[len(outside) - 1 - outside[::-1].index("p") :]
-                outside.append(name)
+                if name in ENDS_PARAGRAPH and outside.names["p"] and outside.last("p"):
+                    outside.cut(outside.last("p"))
+                outside.push(name)
             continue
         if name in ("html", "body", "head"):
             continue
@@ -169,41 +225,70 @@ def parse(page: str) -> Node:
         if name in SIBLINGS:
             _close_sibling(open_, SIBLINGS[name])
         left_out, article, hint = _outside(name, attributes)
-        if left_out:
+        if left_out and not (name == "header" and (open_.names["article"] or open_.names["main"])):  # an article's own header holds its title
             if name in BLOCK:
                 open_[-1].parts.append(Node("hr", open_[-1]))  # a block that is gone still ends a line
-            outside.append(name)
+            outside.push(name)
             continue
         node = Node(name, open_[-1])
         node.article, node.hint = article, hint
         open_[-1].children.append(node)
         open_[-1].parts.append(node)
-        open_.append(node)
+        open_.push(node)
     return root
 
 
-def _close(open_: list[Node], name: str) -> None:
+class _Open(list):
+    """Open elements (nodes, or names) from the outside in, with how many there are of each name: what is not open is not looked for."""
+
+    def __init__(self, items=()):
+        super().__init__(items)
+        self.names = Counter(map(_name, self))
+
+    def push(self, item: Node | str) -> None:
+        self.append(item)
+        self.names[_name(item)] += 1
+
+    def cut(self, k: int) -> None:
+        self.names.subtract(map(_name, self[k:]))
+        del self[k:]
+
+    def last(self, name: str) -> int:
+        return next(k for k in range(len(self) - 1, -1, -1) if _name(self[k]) == name)
+
+
+def _name(item: Node | str) -> str:
+    return item if isinstance(item, str) else item.name
+
+
+def _close(open_: _Open, name: str) -> None:
+    if not open_.names[name]:
+        return
     for k in range(len(open_) - 1, 0, -1):
         if open_[k].name == name:
-            del open_[k:]
+            open_.cut(k)
             return
         if name in FORMATTING and open_[k].name in BLOCK:
             return  # an inline end tag does not end a block
 
 
-def _close_paragraph(open_: list[Node]) -> None:
+def _close_paragraph(open_: _Open) -> None:
+    if not open_.names["p"]:
+        return
     for k in range(len(open_) - 1, 0, -1):
         if open_[k].name == "p":
-            del open_[k:]
+            open_.cut(k)
             return
         if open_[k].name in BLOCK:
             return
 
 
-def _close_sibling(open_: list[Node], names: set[str]) -> None:
+def _close_sibling(open_: _Open, names: set[str]) -> None:
+    if not any(open_.names[n] for n in names):
+        return
     for k in range(len(open_) - 1, 0, -1):
         if open_[k].name in names:
-            del open_[k:]
+            open_.cut(k)
             return
         if open_[k].name in FENCE:
             return
@@ -307,19 +392,34 @@ def _drop(root: Node, leaves) -> bool:
 
 
 def without_hinted(root: Node) -> Node:
-    """The tree without elements that are no main text by their class, id or being a form, unless they hold too much of it."""
+    """The tree without elements that are no main text by their class, id or being a form, unless they hold too much of it.
+
+    Size protects no reader comments, and nothing beside an article: both go, however long, as long as there is other text.
+    """
     nodes = measure(root)
     if not any(n.hint for n in nodes):
         return root
+    around = set()  # what holds an article
+    for n in nodes:
+        if n.parent is not None and (id(n) in around or (n.article and n.hint != COMMENT)):
+            around.add(id(n.parent))
+    inside, below = {id(root): False}, {id(root): False}  # an article; reader comments
+    for n in reversed(nodes[:-1]):
+        inside[id(n)] = inside[id(n.parent)] or (n.parent.article and n.parent.hint != COMMENT)
+        below[id(n)] = below[id(n.parent)] or n.parent.hint == COMMENT
+    beside = {id(n) for n in nodes if around and not inside[id(n)] and id(n) not in around and not (n.article and n.hint != COMMENT)}
+    comments = [n for n in nodes if n.hint == COMMENT and id(n) not in around and not below[id(n)]]
+    if sum(n.chars - n.link_chars for n in comments) < root.chars - root.link_chars and _drop(root, lambda n: n.hint == COMMENT and id(n) not in around):
+        nodes = measure(root)
     unlinked = root.chars - root.link_chars
 
     def little(chars):
         return chars <= HINT_SHARE * unlinked or (chars <= HINT_CHARS and chars < unlinked)
 
-    if _drop(root, lambda n: n.hint == WORD and little(n.chars - n.link_chars)):
+    if _drop(root, lambda n: n.hint in (WORD, COMMENT) and (id(n) in beside or little(n.chars - n.link_chars))):
         nodes = measure(root)
-    around = {id(n) for n in _path(core_of(nodes))}
-    _drop(root, lambda n: n.hint == PART and id(n) not in around and n.chars - n.link_chars <= PART_SHARE * unlinked)
+    path = {id(n) for n in _path(core_of(nodes))}
+    _drop(root, lambda n: n.hint == PART and id(n) not in path and n.chars - n.link_chars <= PART_SHARE * unlinked)
     return root
 
 
@@ -334,6 +434,7 @@ def select(root: Node) -> Node:
     path = _path(core)
     threshold = min(n.density for n in path)
     article = _named(path)
+    enough = BESIDE_CORE * (core.total if core.children else core.density)
 
     best: dict[int, tuple[tuple[float, float, int], Node]] = {}  # of every subtree
     for k, node in enumerate(nodes):
@@ -347,10 +448,13 @@ def select(root: Node) -> Node:
         if id(node) in kept:
             continue
         if node.density >= threshold and id(node) not in on_path:
-            kept.add(id(best[id(node)][1]))
-            if id(node) in kept:
-                continue
-        whole = {k for at, run in _runs(node) if _density(run, share) >= threshold or (within and not _linked(run)) for k in at}
+            top = best[id(node)][1]
+            if within or (top.total if top.children else top.density) >= enough:
+                kept.add(id(top))
+                if id(node) in kept:
+                    continue
+        least = threshold if within else max(threshold, enough)
+        whole = {k for at, run in _runs(node) if _density(run, share) >= least or (within and not _linked(run)) for k in at}
         parts: list[Node | str] = []
         for k, part in enumerate(node.parts):
             if k in whole or (isinstance(part, Node) and part.name == "hr"):
@@ -359,6 +463,8 @@ def select(root: Node) -> Node:
                 parts.append(" ")
             elif within and part.density < threshold and not _linked(part) and id(part) not in on_path:
                 parts.append(part)
+            elif part.name == "h1" and part.density >= threshold and id(part) not in on_path:
+                parts.append(part)  # a title may stand beside its text
             elif part.children or part.density >= threshold:
                 parts.append(part)
                 stack.append((part, within))
