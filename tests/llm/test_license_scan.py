@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from tidewatch.llm.license_scan import LEAST, LICENCE_FILE, scan
+from tidewatch.llm import license_scan
+from tidewatch.llm.license_scan import EXACT, LEAST, LICENCE_FILE, MARGIN, own_licences, scan
 from tidewatch.llm.license_templates import TEMPLATES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -23,13 +24,13 @@ def count(ws):
 
 
 def own(texts):
-    vocab = {w for _, t in TEMPLATES for w in words(t)}
+    vocab = {w for t in TEMPLATES for w in (*words(t.text), *t.must, *t.never)}
     n = len(texts)
     df = {w: sum(w in set(words(t or "")) for t in texts) for w in vocab}
     idf = lambda w: math.log((1 + n) / (1 + df.get(w, 0))) + 1
     vec = lambda ws: {w: c * idf(w) for w, c in count(ws).items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    models = [(name, vec(words(t))) for name, t in TEMPLATES]
+    models = [(t, vec(words(t.text))) for t in TEMPLATES]
     out = []
     for text in texts:
         lines = (text or "").split("\n")
@@ -45,10 +46,15 @@ def own(texts):
             v = vec(words(unit))
             if not v:
                 continue
-            for k, (licence, m) in enumerate(models):
-                c = round(sum(x * m.get(w, 0) for w, x in v.items()) / norm(v) / norm(m), 10)
-                if (c, -k) > (best, -at):
-                    best, name, at = c, licence, k
+            meant = [(k, t, m) for k, (t, m) in enumerate(models) if t.must <= set(v) and not t.never & set(v)]
+            near = [(round(sum(x * m.get(w, 0) for w, x in v.items()) / norm(v) / norm(m), 10), -k, t.name) for k, t, m in meant]
+            if not near:
+                continue
+            c, k, licence = max(near)
+            if c < EXACT and c - max([x[0] for x in near if x[2] != licence], default=0) < MARGIN:
+                continue
+            if (c, k) > (best, -at):
+                best, name, at = c, licence, -k
         out.append((name if best >= LEAST - 1e-9 else None, best))
     return out
 
@@ -76,7 +82,7 @@ APACHE, MIT, GPL, CC = "Licensed under the Apache License, Version 2.0.", "Relea
 
 
 def test_against_plain_vectors(spark):
-    notice = TEMPLATES[1][1]
+    notice = next(t.text for t in TEMPLATES if t.text.startswith("Licensed under the Apache License, Version 2.0 (the"))
     half = len(notice) // 2
     files = [
         ("a/LICENSE", APACHE), ("a/b/x.txt", "no licence here"), ("a/b/c/LICENSE.md", MIT), ("a/b/c/y.txt", "text\n\ntext"), ("a/b/c/d/e/z.txt", None),
@@ -97,3 +103,65 @@ def test_a_licence_at_the_top_and_empty_table(spark):
     source = spark.createDataFrame([(1, "LICENSE", MIT), (2, "a/b", "x")], "k int, path string, text string")
     assert {r["k"]: (r["licence"], r["origin_directory"]) for r in scan(source).collect()} == {1: ("MIT", None), 2: ("MIT", "")}
     assert scan(source.limit(0)).count() == 0
+
+
+def gnu(name, version, work="program"):
+    return (
+        f"# This {work} is free software; you can redistribute it and/or\n# modify it under the terms of the GNU {name}General Public License\n# as published by the Free Software Foundation; either"
+        f" version {version}\n# of the License, or (at your option) any later version.\n#\n# This {work} is distributed in the hope that it will be useful,\n# but WITHOUT ANY WARRANTY; without even the implied"
+        f" warranty of\n# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n# GNU {name}General Public License for more details."
+    )
+
+
+BSD = (
+    "Copyright (c) 2020, Someone\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+    " conditions are met:\n\n* Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n* Redistributions in binary"
+    " form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
+)
+THIRD = "\n* Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+HEADERS = [
+    (gnu("", "2"), "GPL-2.0"), (gnu("", "3"), "GPL-3.0"), (gnu("Lesser ", "2.1", "library"), "LGPL-2.1"), (gnu("Lesser ", "3", "library"), "LGPL-3.0"), (gnu("Affero ", "3"), "AGPL-3.0"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1989 Someone", "GPL-2.0"), ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nPreamble", "GPL-3.0"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "LGPL-2.1"), ("Licensed under the GPLv3.", "GPL-3.0"), ("Licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    (BSD, "BSD-2-Clause"), (BSD + THIRD, "BSD-3-Clause"), ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause"), ("Licensed under the 2-Clause BSD License", "BSD-2-Clause"),
+    ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+    ("This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"), (CC, "CC-BY-NC-4.0"),
+    ("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0"), ("# SPDX-License-Identifier: CC-BY-NC-SA-4.0", "CC-BY-NC-SA-4.0"), ("SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ("Licensed under the Eclipse Public License, Version 2.0.", "EPL-2.0"), ("made available under the terms of the Eclipse Public License v1.0", "EPL-1.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"), (APACHE, "Apache-2.0"), (MIT, "MIT"), (GPL, "GPL-3.0"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"), ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.", "0BSD"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+    # no licence that is known, or none at all
+    ("Licensed under the Foo Public License, Version 2.0.", None), ("Licensed under the GNU General Public License, version 4.", None), ("Licensed under the Example License.", None), ("SPDX-License-Identifier: Foo-1.0", None),
+    ("The licence of a driver was issued by the general public office in 2007.", None), ("by and by the permission was granted free of charge", None), ("You are licensed to drive under the following terms and conditions", None),
+]
+
+
+def test_every_header_has_its_own_name(spark):
+    prose = [(1000 + k, f"ordinary prose number {k} of the corpus, by the author, with 2 or 3 words under the line", "x") for k in range(60)]
+    files = spark.createDataFrame([(k, t, "x") for k, (t, _) in enumerate(HEADERS)] + prose, "k int, text string, path string")
+    got = {r["k"]: r["own"] for r in own_licences(files).collect()}
+    wrong = [(t[:70], got[k], want) for k, (t, want) in enumerate(HEADERS) if got[k] != want]
+    assert not wrong, wrong
+    assert not any(got[k] for k in got if k >= 1000)
+
+
+def test_templates_mean_what_they_say(spark):
+    """Each template is named by its own text."""
+    files = spark.createDataFrame([(k, t.text) for k, t in enumerate(TEMPLATES)], "k int, text string")
+    got = {r["k"]: r["own"] for r in own_licences(files).collect()}
+    assert [(t.name, t.text, got[k]) for k, t in enumerate(TEMPLATES) if got[k] != t.name] == []
+
+
+def test_a_hot_directory_is_dealt_over_pieces(spark):
+    rows = [(k, f"hot/{k}.txt") for k in range(400)] + [(1000, "hot/LICENSE"), (1001, "cold/x"), (1002, None)]
+    placed = spark.createDataFrame(rows, "k int, path string").withColumn("_directory", license_scan.directory("path"))
+    nearest = spark.createDataFrame([("hot", ("MIT", "hot"))], "_directory string, _from struct<licence: string, holder: string>")
+    few, many = (license_scan._joined(placed, nearest, "path", n) for n in (10, 0))
+    key = lambda df: sorted(map(str, df.select("k", "path", "_directory", "_from").collect()))
+    assert key(few) == key(many) and few.columns == many.columns
+
+
+def test_very_long_texts(spark):
+    files = spark.createDataFrame([(1, "word " * 600_000 + "\n\n" + APACHE), (2, "license " * 400_000), (3, "x" * 3_000_000)], "k int, text string")
+    assert {r["k"]: r["own"] for r in own_licences(files).collect()} == {1: "Apache-2.0", 2: None, 3: None}

@@ -4,7 +4,8 @@
 whole text: a header is a line or a paragraph, a licence file a paragraph or all of it. Units and
 templates are sparse vectors of words weighted count * (ln((1 + N) / (1 + df)) + 1), where df is the
 number of files among all N that hold the word; words outside the templates weigh like one that
-no file holds. The best cosine of LEAST or more names the licence.
+no file holds. The best cosine of LEAST or more names the licence. A template means only units that hold the words it
+asks for and none that it excludes, which tells versions of a licence apart; a unit about as near to another licence names none.
 
 *Inherited licence.* A file without its own takes that of the nearest ancestor directory that has
 a licence file (by name, LICENCE_FILE). Each distinct directory is joined once with its
@@ -26,9 +27,14 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 from .arrays import FOLD, WORD_OF_LETTERS, add_columns, hashed, map_slices, mixed, without, words
-from .license_templates import TEMPLATES
+from .license_templates import TEMPLATES, Template
 
 LEAST = 0.7
+MARGIN = 0.01  # a unit that is about as near to another licence names none
+EXACT = 0.9999
+UNITS = 2048  # units compared at a time
+FEW = 200_000  # directories whose licences are broadcast; more are joined piece by piece
+PIECES = 16
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 FOUND = "own string, score double"
 
@@ -51,10 +57,21 @@ class Model:
     idf: np.ndarray  # of the vocabulary
     other_idf: float
     matrix: np.ndarray  # vocabulary x templates, columns of length 1
+    anchors: np.ndarray  # of the vocabulary: whether a unit with the word may be meant by a template
+    ruled: np.ndarray  # place of each word that a template asks for or excludes among these, else -1
+    must: np.ndarray  # templates x ruled words
+    never: np.ndarray
+    family: np.ndarray  # number of each template's licence
+
+
+def as_templates(templates) -> list[Template]:
+    """Templates, or (name, text) pairs that ask for no words."""
+    return [t if isinstance(t, Template) else Template(*t, frozenset()) for t in templates]
 
 
 def vocabulary_of(templates) -> np.ndarray:
-    return np.unique(_of_texts([t for _, t in templates])[2])
+    every = [w for t in as_templates(templates) for w in (t.text, *t.must, *t.never)]
+    return np.unique(_of_texts(every)[2])
 
 
 def document_counts(files: DataFrame, vocabulary: np.ndarray, text: str = "text") -> tuple[int, np.ndarray]:
@@ -74,34 +91,74 @@ def document_counts(files: DataFrame, vocabulary: np.ndarray, text: str = "text"
 
 
 def model(templates, vocabulary: np.ndarray, n: int, df: np.ndarray) -> Model:
+    templates = as_templates(templates)
     idf = np.log((1 + n) / (1 + df)) + 1
-    _, row, h = _of_texts([t for _, t in templates])
+    _, row, h = _of_texts([t.text for t in templates])
     matrix = np.zeros((len(vocabulary), len(templates)))
     np.add.at(matrix, (np.searchsorted(vocabulary, h), row), 1)
     matrix *= idf[:, None]
     matrix /= np.linalg.norm(matrix, axis=0)
-    return Model(tuple(name for name, _ in templates), vocabulary, idf, float(np.log(1 + n) + 1), matrix)
+
+    def places(words) -> list[int]:
+        return np.searchsorted(vocabulary, _of_texts(sorted(words))[2]).tolist() if words else []
+
+    must, never = [places(t.must) for t in templates], [places(t.never) for t in templates]
+    words = sorted({p for each in (*must, *never) for p in each})
+    ruled = np.full(len(vocabulary), -1)
+    ruled[words] = np.arange(len(words))
+    tables = [np.zeros((len(templates), len(words)), np.float32) for _ in range(2)]
+    for table, lists_ in zip(tables, (must, never)):
+        for k, each in enumerate(lists_):
+            table[k, ruled[each]] = 1
+    # the rarest word that each template asks for; a template that asks for none may mean any unit that shares a word
+    anchors = np.zeros(len(vocabulary), bool)
+    if all(must):
+        anchors[[min(each, key=lambda p: (df[p], p)) for each in must]] = True
+    else:
+        anchors[:] = True
+    names = tuple(t.name for t in templates)
+    family = np.array([sorted(set(names)).index(x) for x in names])
+    return Model(names, vocabulary, idf, float(np.log(1 + n) + 1), matrix, anchors, ruled, *tables, family)
 
 
 def cosines(unit: np.ndarray, h: np.ndarray, n_units: int, m: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Best cosine of each unit and its template, from the units of words and their hashes."""
-    own = h ^ mixed(unit.astype(np.uint64) + np.uint64(1))
-    _, first, counts = np.unique(own, return_index=True, return_counts=True)
-    unit, h = unit[first], h[first]
+    """Best cosine of each unit and its template, from the units of words and their hashes.
+
+    0 for units that lack the words that templates ask for, and for those that are as near to another licence.
+    """
+    best, which = np.zeros(n_units), np.zeros(n_units, np.int64)
     place = np.minimum(np.searchsorted(m.vocabulary, h), len(m.vocabulary) - 1)
     known = m.vocabulary[place] == h
+    meant = np.zeros(n_units, bool)
+    meant[unit[known & m.anchors[place]]] = True
+    near = meant[unit]
+    unit, h, place, known = unit[near], h[near], place[near], known[near]
+    if not len(unit):
+        return best, which
+    own = h ^ mixed(unit.astype(np.uint64) + np.uint64(1))
+    _, first, counts = np.unique(own, return_index=True, return_counts=True)
+    unit, place, known = unit[first], place[first], known[first]
     weight = counts * np.where(known, m.idf[place], m.other_idf)
     norm = np.sqrt(np.bincount(unit, weight * weight, minlength=n_units))
-    # units that share a word with a template, and the products of those words alone
     touched, where = np.unique(unit[known], return_inverse=True)
-    best, which = np.zeros(n_units), np.zeros(n_units, np.int64)
-    if len(touched):
-        order = np.argsort(where, kind="stable")
-        heads = np.flatnonzero(np.append(True, np.diff(where[order]) > 0))
-        products = m.matrix[place[known][order]] * weight[known][order][:, None]
-        dots = np.round(np.add.reduceat(products, heads) / norm[touched][:, None], 12)  # equal but for the order of sums is equal
-        which[touched] = dots.argmax(1)
-        best[touched] = dots.max(1)
+    place, weight = place[known], weight[known]
+    order = np.argsort(where, kind="stable")
+    for lo in range(0, len(touched), UNITS):
+        a, b = np.searchsorted(where[order], (lo, lo + UNITS))
+        part = order[a:b]
+        row = where[part] - lo
+        heads = np.flatnonzero(np.append(True, np.diff(row) > 0))
+        dots = np.add.reduceat(m.matrix[place[part]] * weight[part][:, None], heads) / norm[touched[lo : lo + UNITS]][:, None]
+        dots = np.round(dots, 12)  # equal but for the order of sums is equal
+        held = np.zeros((len(heads), m.must.shape[1]), np.float32)
+        asked = m.ruled[place[part]]
+        held[row[asked >= 0], asked[asked >= 0]] = 1
+        dots[(held @ m.must.T < m.must.sum(1)) | (held @ m.never.T > 0)] = 0
+        top = dots.argmax(1)
+        score = dots[np.arange(len(heads)), top]
+        others = np.where(m.family[None, :] == m.family[top][:, None], 0, dots).max(1)
+        score[(score < EXACT) & (score - others < MARGIN)] = 0
+        which[touched[lo : lo + UNITS]], best[touched[lo : lo + UNITS]] = top, score
     return best, which
 
 
@@ -130,7 +187,7 @@ def own_licence(buf, at, m: Model) -> tuple[np.ndarray, np.ndarray]:
 
 
 def own_licences(files: DataFrame, *, text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
-    """files with own (a licence name or null) and score (its cosine; the best one where no licence is named)."""
+    """files with own (a licence name or null) and score (its cosine; the best of a template that may be meant, where no licence is named)."""
     vocabulary = vocabulary_of(templates)
     shared = files.sparkSession.sparkContext.broadcast(model(templates, vocabulary, *document_counts(files, vocabulary, text)))
 
@@ -154,17 +211,15 @@ def inherited(owned: DataFrame, *, path: str = "path", is_licence_file: Column |
     is_licence_file = name.rlike(LICENCE_FILE) if is_licence_file is None else is_licence_file
     placed = owned.withColumn("_directory", directory(path))
     files = placed.where(is_licence_file & F.col("own").isNotNull() & F.col("_directory").isNotNull())
-    top = files.groupBy("_directory").agg(F.max("score").alias("score"))
-    holders = files.join(top, ["_directory", "score"]).groupBy("_directory").agg(F.min_by("own", F.col(path)).alias("licence"))
-    holders = holders.withColumnRenamed("_directory", "holder")
+    best = F.min(F.struct((-F.col("score")).alias("s"), F.col(path).alias("p"), F.col("own").alias("own")))
+    holders = files.groupBy(F.col("_directory").alias("holder")).agg(best.alias("b")).select("holder", F.col("b.own").alias("licence"))
 
     folders = placed.select("_directory").where("_directory is not null").distinct()
     parts = F.split("_directory", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     above = folders.select("_directory", F.posexplode(F.array_distinct(ancestors)).alias("depth", "holder"))
-    # written, so that the join below is free to split a directory that holds a large share of all files
     nearest = staged(above.join(holders, "holder").groupBy("_directory").agg(F.max_by(F.struct("licence", "holder"), "depth").alias("_from")), "nearest")
-    joined = placed.join(nearest, "_directory", "left")
+    joined = _joined(placed, nearest, path)
     has, found = F.col("own").isNotNull(), F.col("_from").isNotNull()
     return joined.select(
         *owned.columns,
@@ -174,6 +229,18 @@ def inherited(owned: DataFrame, *, path: str = "path", is_licence_file: Column |
     )
 
 
+def _joined(placed: DataFrame, nearest: DataFrame, path: str, few: int = FEW) -> DataFrame:
+    """placed with the licence nearest to each directory. A directory may hold any share of the files.
+
+    Few directories are broadcast, after they are counted; for more, the files of a directory are dealt over PIECES.
+    """
+    if nearest.count() <= few:
+        return placed.join(F.broadcast(nearest), "_directory", "left")
+    dealt = placed.withColumn("_piece", F.when(F.col("_directory").isNotNull(), F.pmod(F.xxhash64(path), F.lit(PIECES)).cast("int")))
+    every = nearest.withColumn("_piece", F.explode(F.array(*[F.lit(k) for k in range(PIECES)])))
+    return dealt.join(every, ["_directory", "_piece"], "left").drop("_piece")
+
+
 def scan(files: DataFrame, *, path: str = "path", text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """files without their text, with own, score, licence, origin and origin_directory."""
     owned = staged(own_licences(files, text=text, templates=templates, least=least).drop(text), "licences")
