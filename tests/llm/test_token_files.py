@@ -11,7 +11,7 @@ import regex
 from tokenizers import Tokenizer
 
 from tidewatch.llm import token_files
-from tidewatch.llm.token_files import BLOCK, Code, code_lengths, encode, pack, piece_starts, read, store, unpack
+from tidewatch.llm.token_files import _buckets, BLOCK, Code, code_lengths, encode, pack, piece_starts, read, store, unpack
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -114,3 +114,30 @@ def test_empty_table(spark, docs, tmp_path):
     assert encode(docs([]), FILE, 2).count() == 0
     folder = store(docs([]), FILE, 2, folder=str(tmp_path / "none"))
     assert read(spark, folder).count() == 0
+
+
+def test_ids_that_are_text(spark, docs, tmp_path):
+    """Any type with an order: names sort as Spark sorts them; a hot id shares its buckets."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    names = [f"{'é' if k % 7 == 0 else 'n'}{int(x)}" for k, x in enumerate(rng.integers(0, 500, 300))] + ["hot"] * 300 + [None] * 5
+    source = docs([f"text {k} of some words" for k in range(605)]).withColumn("doc_id", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("doc_id").cast("int") + 1))
+    folder = store(source, FILE, 2, folder=str(tmp_path / "named"), per_file=150)
+    rows = sorted(read(spark, folder).collect(), key=lambda r: r["start"])
+    keys = [(r["doc_id"] is not None, (r["doc_id"] or "").encode()) for r in rows]
+    assert len(rows) == 605 and keys == sorted(keys)
+    assert [r["start"] for r in rows] == np.cumsum([0, *(r["n_tokens"] for r in rows)])[:-1].tolist()
+    sizes = [r["n"] for r in spark.read.parquet(f"{folder}/ids").groupBy("bucket").agg(F.sum("n_tokens").alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) < 600
+
+
+def test_buckets_by_binary_search():
+    import pyarrow as pa
+
+    edges = [3, 7, 7, 7, 9]
+    ids, ties = pa.array([None, 0, 3, 4, 7, 7, 7, 8, 100], pa.int64()), np.array([0, 5, 0, 2**31, 0, 2**31, 2**32 - 1, 1, 1])
+    assert _buckets(ids, ties, edges).tolist() == [0, 0, 0, 1, 1, 3, 4, 4, 5]
+    text = pa.array([None if x is None else f"{x:03}" for x in ids.to_pylist()])
+    assert _buckets(text, ties, [f"{x:03}" for x in edges]).tolist() == [0, 0, 0, 1, 1, 3, 4, 4, 5]
+    assert _buckets(ids, ties, []).tolist() == [0] * 9

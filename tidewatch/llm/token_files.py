@@ -20,6 +20,7 @@ order of their code's checksum; null ids come first. An empty table gives files
 
 from __future__ import annotations
 
+import bisect
 import os
 import uuid
 import zlib
@@ -28,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ LONGEST = 20
 BLOCK = 1 << 16
 CHECK = 256
 PER_FILE = 16 << 20
+PER_EDGE = 64  # rows drawn for each bound between files
+DRAWN = 1 << 20  # rows drawn for all of them at most: beyond 16,384 files fewer for each
 SLOTS = 1 << 22  # of the table of known pieces, half of which are used: 48 MB and the ids
 LINES = 2000
 
@@ -407,6 +411,37 @@ def _batches_of(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
         yield batch.slice(a, b - a)
 
 
+def _edges(encoded: DataFrame, id: str, files: int, each: int = PER_EDGE) -> list:
+    """Ids between the buckets, in order: steps through a sample of `each` rows a bucket, those whose hashes are least.
+
+    Rows are hashed by id and size, so an id that many rows share is drawn as often as its share. At most
+    DRAWN rows; nulls are no edges.
+    """
+    if files < 2:
+        return []
+    rows = encoded.select(F.col(id).alias("id"), F.xxhash64(F.col(id), F.crc32("ids")).alias("h")).where("id is not null")
+    n, wanted = rows.count(), min(each * files, DRAWN)
+    if n > 2 * wanted:
+        rows = rows.where(F.col("h") <= int(-(2**63) + 2 * wanted / n * 2**64))
+    drawn = sorted(r["id"] for r in rows.orderBy("h").limit(wanted).collect())
+    return [drawn[k * len(drawn) // files] for k in range(1, files)] if drawn else []
+
+
+def _buckets(ids: pa.Array, ties: np.ndarray, edges: list) -> np.ndarray:
+    """Bucket of each row by binary search. An id that is several edges shares its buckets by the tie; nulls come first."""
+    if not edges:
+        return np.zeros(len(ids), np.int32)
+    known = pc.fill_null(ids, edges[0])
+    if pa.types.is_integer(ids.type):
+        bounds, values = np.array(edges, np.int64), known.to_numpy(zero_copy_only=False)
+        low, high = np.searchsorted(bounds, values, "left"), np.searchsorted(bounds, values, "right")
+    else:
+        values = known.to_pylist()
+        low, high = (np.array([side(edges, v) for v in values], np.int64) for side in (bisect.bisect_left, bisect.bisect_right))
+    bucket = low + ties * (high - low + 1) // (1 << 32)
+    return np.where(np.asarray(ids.is_null()), 0, bucket).astype(np.int32)
+
+
 def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = PER_FILE) -> None:
     """Writes the file set of an encoded corpus. `encoded` is read three times: give a stored table."""
     spark = encoded.sparkSession
@@ -416,10 +451,8 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
     spark.createDataFrame(pa.table({"id": pa.array(ids), "bits": pa.array(code.bits)}).to_pandas(), "id bigint, bits bigint").coalesce(1).write.parquet(f"{folder}/codes")
 
     files = max(1, -(-int(n.sum()) // per_file))
-    shares = [k / files for k in range(1, files)]
-    bounds = encoded.where("n_tokens >= 0").agg(F.percentile_approx(id, shares, 10_000).alias("b")).first()["b"] if shares else []
-    edges = F.array(*[F.lit(b) for b in bounds or []]).cast(f"array<{encoded.schema[id].dataType.simpleString()}>")
-    shared = spark.sparkContext.broadcast(code)
+    edges = _edges(encoded.where("n_tokens >= 0"), id, files)
+    shared, bounds = spark.sparkContext.broadcast(code), spark.sparkContext.broadcast(edges)
     kind = encoded.schema[id].dataType.simpleString()
 
     def coded(batches):
@@ -428,14 +461,11 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
             for rows in _batches_of(batch, "ids"):
                 parts = [_from_planes(np.frombuffer(x.as_buffer(), np.uint8)) for x in rows.column(2)]
                 payloads = pack(parts, codes, bits)
-                checks = pa.array([zlib.crc32(p) for p in payloads], pa.int64())
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(payloads, pa.binary()), checks], names=["id", "n_tokens", "payload", "tie"])
+                checks = np.array([zlib.crc32(p) for p in payloads], np.int64)
+                bucket = _buckets(rows.column(0), checks, bounds.value)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), rows.column(0), rows.column(1), pa.array(payloads, pa.binary()), pa.array(checks)], names=["bucket", "id", "n_tokens", "payload", "tie"])
 
-    payloads = in_workers(encoded.where("n_tokens >= 0").select(id, "n_tokens", "ids"), coded, f"id {kind}, n_tokens bigint, payload binary, tie bigint")
-    # an id that fills whole files shares them by the tie; all others lie between two bounds
-    low = F.size(F.filter(edges, lambda b: b < F.col("id")))
-    same = F.size(F.filter(edges, lambda b: b == F.col("id")))
-    bucket = F.when(F.col("id").isNull(), 0).otherwise(low + F.floor(F.col("tie") * (same + 1) / F.lit(1 << 32)).cast("int"))
+    payloads = in_workers(encoded.where("n_tokens >= 0").select(id, "n_tokens", "ids"), coded, f"bucket int, id {kind}, n_tokens bigint, payload binary, tie bigint")
 
     def numbered(batches):
         now, before = None, 0
@@ -449,7 +479,8 @@ def write(encoded: DataFrame, folder: str, id: str = "doc_id", per_file: int = P
                 before += size
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts), batch.column(2), batch.column(3)], names=["bucket", "id", "start", "n_tokens", "payload"])
 
-    ordered = payloads.withColumn("bucket", bucket).repartition(3 * files, "bucket").sortWithinPartitions("bucket", "id", "tie").select("bucket", "id", "n_tokens", "payload")
+    # every bucket is a task of its own
+    ordered = payloads.repartitionById(len(edges) + 1, F.col("bucket")).sortWithinPartitions("bucket", "id", "tie").select("bucket", "id", "n_tokens", "payload")
     rows = in_workers(ordered, numbered, f"bucket int, id {kind}, start bigint, n_tokens bigint, payload binary")
     rows.write.option("compression", "uncompressed").parquet(f"{folder}/ids")
 
