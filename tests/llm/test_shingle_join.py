@@ -183,3 +183,25 @@ def test_classes_without_tokens_do_not_end_the_choice():
     assert shingle_join.least_class({4: 50, 5: 20, 9: 3, 14: 1}, 100) == 4
     assert shingle_join.least_class({4: 50, 5: 20, 9: 3, 14: 1}, 24) == 5
     assert shingle_join.least_class({14: 9}, 5) == 15 and shingle_join.least_class({}, 5) == 1
+
+
+def test_probes_are_dealt_over_tasks(docs, monkeypatch):
+    """Blocks of two sets and deals of few tokens: the links across blocks are the same."""
+    rng = random.Random(31)
+    base = [" ".join(rng.choice(["aa", "bb", "cc", "dd", "ee"]) + str(rng.randint(0, 9)) for _ in range(60)) for _ in range(4)]
+    texts = []
+    for b in base:
+        for k in range(14):
+            w = b.split()
+            w[rng.randrange(len(w))] = f"x{k}"
+            texts.append(" ".join(w))
+    want = {i: c for i, _, c in expected(list(range(len(texts))), texts)}
+    dealt, seen = shingle_join._probed, []
+
+    def small(home, sent, tokens=0):
+        seen.append(1)
+        return dealt(home, sent, 100)
+
+    monkeypatch.setattr(shingle_join, "_probed", small)
+    got = {r["doc_id"]: r["component_id"] for r in grouped(docs(texts), rare=2, block=2).collect()}
+    assert got == want and seen

@@ -495,11 +495,20 @@ def common_links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
         probes = probing.select("key", "sig", "family", "block", "piece").join(spots, "sig").where("block <> to_block or piece <> to_piece")
         probes = probes.select("key", F.col("to_family").alias("family"), F.col("to_block").alias("block"), F.col("to_piece").alias("piece")).distinct()
         sent = staged(probes.join(home.select("key", "n", "n_rare", "frequent"), "key"), "probes")
-        across = home.groupBy("family", "block", "piece").cogroup(sent.groupBy("family", "block", "piece")).applyInArrow(_probe_links, LINK)
+        across = _probed(home, sent)
         inside = staged(inside.union(across), "links")
     return inside
 
 
+def _probed(home: DataFrame, sent: DataFrame, tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Links between blocks and the sets sent to them; a task compares one block with sets of about `tokens` tokens."""
+    spot = ["family", "block", "piece"]
+    deals = staged(sent.groupBy(*spot).agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / tokens)).cast("int").alias("deals")), "deals")
+    dealt = sent.join(deals, spot).withColumn("deal", F.pmod(F.xxhash64("key"), F.col("deals")).cast("int")).drop("deals")
+    blocks = home.join(deals, spot).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+    return blocks.groupBy(*spot, "deal").cogroup(dealt.groupBy(*spot, "deal")).applyInArrow(_probe_links, LINK)
+
+
 def _cut(home: DataFrame, block: int) -> DataFrame:
     """Blocks that many sets share a smallest signature in are cut into pieces by key."""
     sizes = home.groupBy("family", "block").agg(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_TOKENS).alias("full"))
