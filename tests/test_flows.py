@@ -357,3 +357,25 @@ def test_variant_steps(frame):
     days = ["2021-07-31", "2021-08-01", "2021-11-27", "2021-11-28", "2021-12-19", "2022-01-22", "2022-01-23"]
     df = frame([(d, 100.0) for d in days], "date date, new_case_7d_avg double")
     assert [r["omi_pct"] for r in federal.with_variant(df).orderBy("date").collect()] == [None, 0.0, 0.0, 0.006, 0.77, 0.998, 0.999]
+
+
+def test_the_refreshed_series_follows_late_archives(spark, tmp_path):
+    """Each feed after the other gives the panel that all of them give at once; a late day changes what looks back at it."""
+    from tidewatch.operators.dedupe import union_by_name
+    from tidewatch.plans import hospital
+    from tidewatch.registry import feeds
+
+    batches = hospital.version_rows(*feeds.hospital_feeds(feeds.line_cells(spark, "/root/testdata/sf0.001")))
+    like = union_by_name(batches).schema
+    corrections = {"carry": hospital.carry_table(spark, feeds.CARRY), "ranges": hospital.range_table(spark, (feeds.ICU_FIX,))}
+    panel = hospital.refreshed_series(spark, str(tmp_path / "series"), like)
+    assert panel.reach == 13
+    for rows in batches:
+        done = panel.apply(hospital.series_batch(rows, like, **corrections))
+    got = hospital.read_series(panel, like)
+    want = hospital.hospital_panel(*feeds.hospital_feeds(feeds.line_cells(spark, "/root/testdata/sf0.001")), **corrections)
+    assert set(got.columns) == set(want.columns)
+    key = lambda df: sorted(map(str, df.select(*sorted(want.columns)).collect()))
+    assert key(got) == key(want)
+    years = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr("count(distinct year(l_shipdate)) n").first()["n"]
+    assert 0 < len(done.written) <= len(done.read) < years

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from ..functions.dates import is_latest, parse_date
 from ..functions.missing import add_all, clip
@@ -14,6 +15,7 @@ from ..operators.filters import drop_latest, latest_of
 from ..operators.panel import Panel, carry_previous
 from ..operators.reshape import lengthen
 from ..schemas import ADMISSIONS
+from ..streaming.refresh import Derived, RefreshedPanel
 from . import constants as k
 
 PANEL = Panel(("state",), "date")
@@ -50,17 +52,24 @@ def late_revisions(raw: DataFrame, since: Column) -> DataFrame:
     return _series(raw, day, "source_rank").where(F.col("date") >= since)
 
 
-def merged_series(series: DataFrame, archives: DataFrame, daily: DataFrame) -> DataFrame:
-    """Long series first, then the archives newest first, then the current daily file."""
+TIES = ("currently_hospitalized", "new_admit", *OCCUPANCY, ICU)
+
+
+def version_rows(series: DataFrame, archives: DataFrame, daily: DataFrame) -> list[DataFrame]:
+    """Rows of the long series, of the archives newest first, and of the current daily file, each with its rank."""
     history, newest = history_series(series)
     last = F.lit(1_000_000)
-    late = [
+    return [
+        history.withColumn("source_rank", F.lit(0)),
         late_revisions(archives.withColumn("source_rank", F.col("source_rank") + 1), newest),
         late_revisions(daily.withColumn("source_rank", last), newest),
     ]
-    rows = union_by_name([history.withColumn("source_rank", F.lit(0)), *late])
-    ties = [F.col(c).desc_nulls_last() for c in ("currently_hospitalized", "new_admit", *OCCUPANCY, ICU)]
-    return first_per_key(rows, ["state", "date"], [F.col("source_rank").asc(), *ties]).drop("source_rank")
+
+
+def merged_series(series: DataFrame, archives: DataFrame, daily: DataFrame) -> DataFrame:
+    """Long series first, then the archives newest first, then the current daily file."""
+    rows = union_by_name(version_rows(series, archives, daily))
+    return first_per_key(rows, KEY, [F.col("source_rank").asc(), *[F.col(c).desc_nulls_last() for c in TIES]]).drop("source_rank")
 
 
 def carry_table(spark: SparkSession, days=tuple(k.CARRY_DAYS)) -> DataFrame:
@@ -75,8 +84,8 @@ def range_table(spark: SparkSession, ranges=(k.ICU_RANGE,)) -> DataFrame:
     return table.select("state", F.date_add(F.to_date("lo"), 1).alias("lo"), F.to_date("hi").alias("hi"), "value")
 
 
-def corrected(df: DataFrame, carry: DataFrame | None = None, ranges: DataFrame | None = None) -> DataFrame:
-    """Listed days take the previous row's count; ranges of days of a state take a constant.
+def with_corrections(df: DataFrame, carry: DataFrame | None = None, ranges: DataFrame | None = None) -> DataFrame:
+    """df with _listed, whether its day takes the previous row's count, and _fixed, the constant in force.
 
     Both are tables and are joined by (state, date): any number of corrections costs one join each.
     Ranges are laid out as days, inside the days of the data; where they overlap the highest value counts.
@@ -86,29 +95,71 @@ def corrected(df: DataFrame, carry: DataFrame | None = None, ranges: DataFrame |
     ranges = range_table(spark) if ranges is None else ranges
     day = F.explode(F.when(F.col("lo") < F.col("hi"), F.sequence("lo", F.date_sub("hi", 1))))
     fixed = ranges.withColumn("date", day).groupBy(*KEY).agg(F.max("value").alias("_fixed"))
-    both = lookup(lookup(df, carry, KEY, unique=True), fixed, KEY, unique=True)
+    return lookup(lookup(df, carry, KEY, unique=True), fixed, KEY, unique=True)
+
+
+def corrected(df: DataFrame, carry: DataFrame | None = None, ranges: DataFrame | None = None) -> DataFrame:
+    """Listed days take the previous row's count; ranges of days of a state take a constant."""
+    both = with_corrections(df, carry, ranges)
     both = both.withColumn("currently_hospitalized", carry_previous(PANEL, "currently_hospitalized", F.col("_listed").isNotNull()))
     return both.withColumn(ICU, F.coalesce("_fixed", ICU)).drop("_listed", "_fixed")
 
 
+#: Columns of the changes: expression, rows back, columns among them that it is made of.
+CHANGES = {
+    "hosp_change": Derived(lambda p: p.delta("currently_hospitalized"), 1, ("currently_hospitalized",)),
+    "total_icu_change": Derived(lambda p: p.delta("staffed_adult_icu_bed_occupancy"), 1),
+    "total_hosp_change": Derived(lambda p: p.delta("inpatient_beds_used"), 1),
+    "icu_change": Derived(lambda p: clip(p.delta(ICU), -k.ICU_CHANGE_LIMIT, k.ICU_CHANGE_LIMIT), 1, (ICU,)),
+    "new_admit_7d_avg": Derived(lambda p: p.rolling_mean("new_admit"), 6),
+    "currently_hospitalized_1wk": Derived(lambda p: p.lag("currently_hospitalized", 7), 7, ("currently_hospitalized",)),
+    "adm_1_wk": Derived(lambda p: p.lag("new_admit", 7), 7),
+    "new_admit_avg_1wk": Derived(lambda p: p.lag("new_admit_7d_avg", 7), 7, ("new_admit_7d_avg",)),
+}
+
+
 def hospital_changes(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "hosp_change": PANEL.delta("currently_hospitalized"),
-            "total_icu_change": PANEL.delta("staffed_adult_icu_bed_occupancy"),
-            "total_hosp_change": PANEL.delta("inpatient_beds_used"),
-            "icu_change": clip(PANEL.delta(ICU), -k.ICU_CHANGE_LIMIT, k.ICU_CHANGE_LIMIT),
-            "new_admit_7d_avg": PANEL.rolling_mean("new_admit"),
-            "currently_hospitalized_1wk": PANEL.lag("currently_hospitalized", 7),
-            "adm_1_wk": PANEL.lag("new_admit", 7),
-        }
-    ).withColumn("new_admit_avg_1wk", PANEL.lag("new_admit_7d_avg", 7))
+    first = {name: d.column(PANEL) for name, d in CHANGES.items() if "new_admit_7d_avg" not in d.of}
+    later = {name: d.column(PANEL) for name, d in CHANGES.items() if name not in first}
+    return df.withColumns(first).withColumns(later)
 
 
 def hospital_panel(series: DataFrame, archives: DataFrame, daily: DataFrame, **corrections) -> DataFrame:
     return hospital_changes(corrected(merged_series(series, archives, daily), **corrections))
 
 
+# the same series, kept up to date ----------------------------------------------------
+REPORTED = {"currently_hospitalized": "reported_hospitalized", ICU: "reported_icu"}
+
+
+def series_batch(rows: DataFrame, like: StructType, **corrections) -> DataFrame:
+    """Rows of version_rows() as a batch of the refreshed series: with all columns of `like`, and their corrections."""
+    empty = rows.sparkSession.createDataFrame([], like)
+    return with_corrections(union_by_name([empty, rows]), **corrections).withColumnsRenamed(REPORTED)
+
+
+def refreshed_series(spark: SparkSession, root: str, like: StructType) -> RefreshedPanel:
+    """The corrected series with its changes and means, refreshed where late archives change it.
+
+    `like` is the schema of the rows of all feeds together. A day on the list of corrections takes the row before
+    it, so it is dirty when that row is.
+    """
+    names = {**{f.name: f.name for f in like.fields}, **REPORTED}
+    base = StructType([StructField(names[f.name], f.dataType) for f in like.fields] + [StructField("_listed", BooleanType()), StructField("_fixed", DoubleType())])
+    first = {
+        "currently_hospitalized": Derived(lambda p: carry_previous(p, "reported_hospitalized", F.col("_listed").isNotNull()), 1),
+        ICU: Derived(lambda p: F.coalesce("_fixed", "reported_icu"), 0),
+    }
+    ties = [names[c] for c in TIES]
+    order = lambda: [F.col("source_rank").asc(), *[F.col(c).desc_nulls_last() for c in ties]]
+    return RefreshedPanel(spark, root, PANEL, base, order, first | CHANGES, period=F.year)
+
+
+def read_series(panel: RefreshedPanel, like: StructType) -> DataFrame:
+    """The columns that hospital_panel() gives."""
+    return panel.read().select(*[f.name for f in like.fields if f.name != "source_rank"], *CHANGES)
+
+
 # age bands -----------------------------------------------------------------------
 def band_label(name: Column) -> Column:
     """Age band of an admission column, from what stands after its kind.

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import rename
+from ..operators.dedupe import union_by_name
 from ..plans import county, federal, hospital, nursing, peaks, reports, testing, trend
 from ..plans.hospital import ADULT, CHILD, ICU
-from ..sources.staging import staged
+from ..sources.staging import shared_folder, staged
 from . import feeds
 from .book import query, rounded
 from .feeds import CASES_CTE, COUNTY_SQL, HOSPITAL_CTE, NURSING_CTE, TEST_CTE, VAX_CTE
@@ -161,6 +164,19 @@ def corrected_series(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(beds(feeds.line_cells(spark, sf)))
 
 
+@query("flow_series_refreshed", f"WITH {HOSP_CTE} SELECT * REPLACE ({r6('new_admit_7d_avg', 'new_admit_avg_1wk')}) FROM hosp")
+def series_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same series, published from the long feed and then refreshed with the archives and with the daily file."""
+    cells = feeds.line_cells(spark, sf)
+    corrections = {"carry": hospital.carry_table(spark, feeds.CARRY), "ranges": hospital.range_table(spark, (feeds.ICU_FIX,))}
+    batches = hospital.version_rows(*feeds.hospital_feeds(cells))
+    like = union_by_name(batches).schema
+    panel = hospital.refreshed_series(spark, f"{shared_folder(spark)}/published/series-{uuid.uuid4().hex}", like)
+    for rows in batches:
+        panel.apply(hospital.series_batch(rows, like, **corrections))
+    return rounded(hospital.read_series(panel, like))
+
+
 BAND_COLUMNS = [f"{ADULT}_covid_{s}_{b}" for s in ("confirmed", "suspected") for b in feeds.BANDS] + [
     f"{CHILD}_covid_{s}" for s in ("confirmed", "suspected")
 ]

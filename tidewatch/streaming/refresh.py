@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -105,6 +105,7 @@ class RefreshedPanel:
     def versions(self) -> Versions:
         return Versions(self.spark, self.root)
 
+    @cached_property
     def _tables(self) -> tuple[VersionedTable, VersionedTable]:
         empty = self._computed(self.spark.createDataFrame([], self.base).withColumn("_period", self._period()))
         rows = empty.select(*self.base.names, *self.derived, "_period")
@@ -126,7 +127,7 @@ class RefreshedPanel:
     def read(self, manifest: Manifest | None = None) -> DataFrame:
         """Base, derived and whole-entity columns of the current version, or of another."""
         manifest = manifest or self.versions.current()
-        rows, summary = self._tables()
+        rows, summary = self._tables
         found = rows.read(manifest).select(*self.base.names, *self.derived)
         if not self.whole:
             return found
@@ -137,13 +138,16 @@ class RefreshedPanel:
     def apply(self, batch: DataFrame) -> Refreshed:
         """Merges a batch of rows (base columns) and computes again what they reach. Applied twice, a batch changes nothing."""
         manifest = self.versions.current()
-        rows, summary = self._tables()
+        rows, summary = self._tables
         batch = staged(batch.select(*self.base.names).withColumn("_period", self._period()), "refresh-batch")
         touched = {name_of(r[0]) for r in batch.select("_period").distinct().collect()}  # calendar periods
         old = rows.read(manifest, touched)
         versions = batch.unionByName(old.select(*self.base.names, "_period"))
         best = staged(first_per_key(versions, self.row_key, self.order()), "refresh-best")
-        dirty = staged(best.exceptAll(old.select(best.columns)).select(*self.row_key, "_period"), "refresh-dirty")
+        # rows that are new, or differ in any base column
+        before = old.select(*self.row_key, F.struct(*self.base.names).alias("_before"))
+        met = lookup(best, before, self.row_key, unique=True, null_safe=True)
+        dirty = staged(met.where(~F.struct(*self.base.names).eqNullSafe(F.col("_before"))).select(*self.row_key, "_period"), "refresh-dirty")
         if dirty.isEmpty():
             return Refreshed(manifest, frozenset(touched))
         near = staged(self._near(dirty, summary.read(manifest)), "refresh-near")
