@@ -86,3 +86,30 @@ def test_no_documents(spark, folder):
         out = stage(spark, docs, path)
         assert out.count() == 0
         docs = docs if "text" not in out.columns else out
+
+
+def test_nulls_and_repeats_in_every_stage(spark, folder):
+    """Null ids, null and empty texts and repeated rows: each stage keeps or drops them as its own rule says, and none fails."""
+    path, every, items = folder
+    good = every[3]
+    odd = [(None, good, None, None, None), (None, None, None, None, None), (7_000, "", "en", None, 0), (7_001, None, "en", "src0", None), (3, good, "en", "src0", len(good)), (3, good, "en", "src0", len(good))]
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    docs = docs.limit(60).unionByName(spark.createDataFrame(odd, docs.schema))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, path)
+        rows = out.collect()
+        texts = [r["text"] for r in rows] if "text" in out.columns else []
+        if name == "near_duplicates":
+            # one of the rows of the same text stays, and every row without words, which is linked with nothing
+            assert texts.count(good) == 1
+            without = [r["text"] for r in docs.collect() if not (r["text"] or "").strip()]
+            assert len([t for t in texts if not (t or "").strip()]) == len(without)
+        if name in ("secrets", "tokens"):
+            assert len(rows) == docs.count()
+        if name != "tokens":
+            assert out.columns == columns
+            docs = spark.createDataFrame(rows, docs.schema)
+        else:
+            assert all(r["round_trip"] for r in rows)
+            assert [r["n_tokens"] for r in rows if r["doc_id"] in (7_000, 7_001)] in ([0, 0], [0], [])
