@@ -13,7 +13,7 @@ from tidewatch.sources.delimited import read_banner, read_feed, read_mixed, read
 from tidewatch.sources.documents import read_nested_records, read_records
 from tidewatch.sources.extracts import write_extract, write_table
 from tidewatch.sources.manifest import newest_links, placed, read_manifest
-from tidewatch.sources.staging import shared_folder, staged
+from tidewatch.sources.staging import shared_folder, staged, staging
 
 
 def put(folder, name: str, text: str, encoding: str = "utf-8") -> str:
@@ -121,3 +121,24 @@ def test_headers_that_differ(spark, tmp_path):
 def test_links_that_name_their_own_place():
     assert placed("a/b.csv", "/in/") == "/in/a/b.csv"
     assert placed("https://host/a.csv", "/in") == "https://host/a.csv" and placed("/x/a.csv", "/in") == "/x/a.csv" and placed("a.csv", None) == "a.csv"
+
+
+def test_staged_files_go_with_their_work(spark, frame, tmp_path):
+    from pathlib import Path
+
+    def files(df):
+        return [Path(f.removeprefix("file:")) for f in df.inputFiles()]
+
+    kept = staged(frame([("a", 1)], "k string, x int"), "kept")
+    with staging(spark):
+        one = staged(frame([("a", 1)], "k string, x int"), "one")
+        with staging(spark):
+            inner = files(staged(one, "inner"))
+        assert inner and not any(f.exists() for f in inner) and all(f.exists() for f in files(one))
+        one.write.parquet(str(tmp_path / "out"))
+        mine = files(one)
+    assert mine and not any(f.exists() for f in mine) and all(f.exists() for f in files(kept))
+    with pytest.raises(ZeroDivisionError), staging(spark):
+        lost = files(staged(kept, "lost"))
+        1 / 0
+    assert not any(f.exists() for f in lost) and spark.read.parquet(str(tmp_path / "out")).count() == 1

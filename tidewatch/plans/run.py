@@ -21,7 +21,7 @@ from ..schemas import TEST_HISTORY
 from ..sources.delimited import typed
 from ..sources.extracts import publish_version, write_extract, write_table
 from ..sources.landing import Landing
-from ..sources.staging import staged
+from ..sources.staging import staged, staging
 from . import county, federal, hospital, nursing, reports, testing, trend
 
 COUNTY_FEEDS = (
@@ -129,12 +129,13 @@ def publish(df: DataFrame, out: str, name: str) -> None:
 def main(landing: str, out: str, wanted: set[str] | None = None) -> None:
     spark = SparkSession.builder.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     wanted = wanted or {"county", "strict", "trend", "federal", "ages", "nursing", "reports"}
-    made = extracts(Landing(spark, landing), out, wanted)
-    new = made.pop("snapshots", None)
-    for name, df in made.items():
-        publish(df, out, name)
-    if new is not None:  # last: a run that fails before it can be run again
-        keep_snapshots(new, f"{out}/snapshots")
+    with staging(spark):
+        made = extracts(Landing(spark, landing), out, wanted)
+        new = made.pop("snapshots", None)
+        for name, df in made.items():
+            publish(df, out, name)
+        if new is not None:  # last: a run that fails before it can be run again
+            keep_snapshots(new, f"{out}/snapshots")
 
 
 if __name__ == "__main__":
