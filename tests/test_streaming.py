@@ -90,16 +90,16 @@ def test_lost_progress_and_new_files_lose_no_history(spark, tmp_path, frame):
 def test_after_many_batches_a_read_opens_few_parts(spark, tmp_path, frame):
     log = BatchLog(spark, str(tmp_path / "log"), frame([("a", "2021-01-01", 1)], "k string, d date, total long").schema, day="d", tier=3)
     every = []
-    for batch in range(30):
+    for batch in range(14):
         rows = [("a", f"2021-01-{batch + 1:02d}", batch), ("b", "2021-01-01", batch)]
         every += rows
         log.append(frame(rows, "k string, d date, total long").coalesce(1), "run", batch)
         if batch == 4:
             reader, then = log.read(), rows_of(log.read())
     parts = log.versions.current().of("log")
-    assert len(parts) <= 2 * 4 and len(log.read().inputFiles()) <= 16
+    assert len(parts) <= 2 * 3 and len(log.read().inputFiles()) <= 12
     assert sorted((r["k"], str(r["d"]), r["total"]) for r in log.read().collect()) == sorted(every)
-    assert log.read().select("batch").distinct().count() == 30
+    assert log.read().select("batch").distinct().count() == 14
     # a reader from before the parts were merged; a merged batch that is run again; then only what is named stays
     assert rows_of(reader) == then
     log.append(frame([("a", "2021-01-03", 2), ("b", "2021-01-01", 2)], "k string, d date, total long"), "run", 2)
