@@ -80,7 +80,7 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "parts", "order", "chars", "tags", "link_chars", "link_tags", "density", "total", "article", "hint")
+    __slots__ = ("name", "parent", "children", "parts", "order", "chars", "tags", "link_chars", "link_tags", "density", "total", "article", "hint", "own")
 
     def __init__(self, name: str, parent: Node | None):
         self.name, self.parent = name, parent
@@ -88,6 +88,7 @@ class Node:
         self.parts: list[Node | str] = []  # children and texts in page order
         self.article = False
         self.hint = 0
+        self.own: int | None = None  # characters of its own texts, once they are counted
 
 
 def _outside(name: str, attributes: str) -> tuple[bool, bool, int]:
@@ -151,6 +152,9 @@ class _Tags:
     def _tag_end(self, at: int, close: int) -> int:
         """The first closing bracket outside quotes; the first of all when there is none."""
         lo, stop = at, close
+        attributes = self.page[at:close]
+        if '"' not in attributes and "'" not in attributes:
+            return close
         while True:
             lo = _BALANCED.match(self.page, lo, stop).end()
             if lo == stop:
@@ -184,7 +188,8 @@ def parse(page: str) -> Node:
             text(at, len(page))
             break
         start, stop, end, name, attributes = found
-        text(at, start)
+        if start > at:
+            text(at, start)
         at = stop
         if name is None:
             continue
@@ -307,14 +312,16 @@ def measure(root: Node) -> list[Node]:
     """Sets counts and densities; nodes in post order."""
     nodes = _post_order(root)
     for node in nodes:
-        chars = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
-        node.chars = chars + sum(c.chars for c in node.children)
-        node.tags = sum(c.tags + 1 for c in node.children)
-        if node.name == "a":
-            node.link_chars, node.link_tags = node.chars, node.tags + 1
-        else:
-            node.link_chars = sum(c.link_chars for c in node.children)
-            node.link_tags = sum(c.link_tags for c in node.children)
+        if node.own is None:
+            node.own = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        chars, tags, link_chars, link_tags = node.own, 0, 0, 0
+        for c in node.children:
+            chars += c.chars
+            tags += c.tags + 1
+            link_chars += c.link_chars
+            link_tags += c.link_tags
+        node.chars, node.tags = chars, tags
+        node.link_chars, node.link_tags = (chars, tags + 1) if node.name == "a" else (link_chars, link_tags)
     share = root.link_chars / root.chars if root.chars else 0.0
     for node in nodes:
         node.density = _density(node, share)
