@@ -228,3 +228,42 @@ def test_very_long_text(docs, labelled):
     long = docs(["word number one " * 300_000, "z" * 3_000_000], ids=[10_000_000, 10_000_001])
     out = quality.score(source.select("doc_id", "text").unionByName(long.select("doc_id", "text")), table).where("doc_id >= 10000000").collect()
     assert len(out) == 2 and all(0 <= r["score"] <= 1 for r in out)
+
+
+def pair_loss_slope(x, better, w, ridge):
+    a, b = x[better], x[~better]
+    p = 1 / (1 + np.exp((a @ w)[:, None] - (b @ w)[None]))
+    return -(p.sum(1) @ a - p.sum(0) @ b) / p.size + ridge * w
+
+
+def known_rows(spark, n=700):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(n, len(STATS))), 2).astype(np.float32)
+    better = x[:, 2] + x[:, 5] + 0.8 * rng.normal(size=n) > -0.5
+    ids = [k for k in range(2 * n) if not fold(k)][:n]
+    stats = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in zip(ids, x)], "doc_id long, stats array<float>")
+    labels = spark.createDataFrame([(i, int(y)) for i, y in zip(ids, better)], "doc_id long, quality int")
+    return x, better, stats, labels
+
+
+def test_every_labelled_row_and_every_pair_trains(spark):
+    x, better, stats, labels = known_rows(spark)
+    few, many = (quality.train(stats.repartition(5), labels, sample=n, pairs=200) for n in (40, 5000))
+    for got in (few, many):
+        want = [np.sort(np.concatenate([np.quantile(x[side, j], quality.QUANTILES) for side in (better, ~better)]).astype(np.float32))[: quality.BINS - 1] for j in range(len(STATS))]
+        np.testing.assert_allclose(got.edges, want, atol=1e-6)
+        slope = pair_loss_slope(quality._one_hot(quality._cells(got.edges, x)).astype(float), better, got.weights.ravel(), quality.RIDGE)
+        assert np.abs(slope).max() < 2e-5  # of all pairs, to a step of the grid
+        worth = np.sort(got.worth(x))
+        k = int((~better).sum())
+        assert got.cut == pytest.approx((worth[k - 1] + worth[k]) / 2) and got.scale == pytest.approx(worth.std() / 4)
+    assert np.abs(few.weights - many.weights).max() < 0.02
+
+
+def test_counts_of_worths_give_the_sums_over_all_pairs():
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 4, (2, 3000))
+    got = quality._over_pairs(counts)
+    worth = np.arange(3000) / quality.GRID
+    p = 1 / (1 + np.exp(worth[:, None] - worth))
+    np.testing.assert_allclose(got, [p @ counts[1] / counts[1].sum(), counts[0] @ p / counts[0].sum()], rtol=1e-9)
