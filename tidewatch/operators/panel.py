@@ -29,14 +29,15 @@ def build_panel(df: DataFrame, keys: dict[str, Column] | list[str], day: Column,
 def densify(df: DataFrame, keys: list[str], day: str, **fill) -> DataFrame:
     """One row per entity and calendar day, from its first day to its last; new rows hold `fill` and are else missing.
 
-    A repeated (entity, day) keeps its rows; rows without a day stay as they are. The ends of an
-    entity are one map-side combined aggregate, and days are laid out from it: no cross join.
+    A repeated (entity, day) keeps its rows; rows without a day stay as they are. An entity's days are
+    one row, gathered by a map-side combined aggregate and as long as its calendar at most. The new days are laid out
+    from that row, behind the shuffle: no day that is filled in travels.
     """
-    ends = df.where(F.col(day).isNotNull()).groupBy(*keys).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    days = ends.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.explode(F.sequence("_first", "_last")).alias("_day"))
-    known = df.select(*keys, F.col(day).alias("_on")).where(F.col(day).isNotNull()).distinct()
-    same = [days[f"_key_{k}"].eqNullSafe(known[k]) for k in keys]
-    missing = days.join(known, [*same, days["_day"] == known["_on"]], "left_anti")
+    on = F.col(day).alias("_on")
+    known = df.where(F.col(day).isNotNull()).select(*[F.col(k).alias(f"_key_{k}") for k in keys], on).distinct()
+    days = known.groupBy(*[f"_key_{k}" for k in keys]).agg(F.collect_list("_on").alias("_days"))
+    span = F.sequence(F.array_min("_days"), F.array_max("_days"))
+    missing = days.select(*[f"_key_{k}" for k in keys], F.explode(F.array_except(span, F.col("_days"))).alias("_day"))
     values = {**{k: F.col(f"_key_{k}") for k in keys}, day: F.col("_day"), **{c: F.lit(v) for c, v in fill.items()}}
     new = missing.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     return df.unionByName(new)
