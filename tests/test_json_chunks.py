@@ -81,3 +81,38 @@ def test_empty_documents(spark, tmp_path):
     for k, text in enumerate(["[]", " [ ] \n", "[{}]", "﻿[{\"n\": 1}]"]):
         (tmp_path / f"{k}.json").write_text(text, encoding="utf-8")
     assert sorted(str(r["n"]) for r in read_large_records(spark, str(tmp_path), COLUMNS).collect()) == ["1", "None"]
+
+
+def test_fragments_of_one_file_stay_spread(spark, tmp_path, small_blocks):
+    """Nothing but a few rows a block is dealt by the file: it would put a whole document into one task."""
+    from tidewatch.sources import json_chunks
+
+    (tmp_path / "one.json").write_text(json.dumps({"records": [{"n": k} for k in range(3000)]}))
+    small_blocks(3_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = json_chunks._with_depth(json_chunks._fragments(spark, str(tmp_path)), "records")
+        held = json_chunks._of_array(rows, "records")
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert read_large_records(spark, str(tmp_path), COLUMNS, "records").count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_orders_in_several_documents(spark, tmp_path, monkeypatch):
+    from tidewatch.registry import files
+
+    orders = [(k, float(k), "1-URGENT" if k % 2 else None, k % 7) for k in range(95)] + [(None, 1.0, "x", 1), (3, 1.0, "x", None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_totalprice double, o_orderpriority string, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    paths, read = [], files.read_large_records
+    monkeypatch.setattr(files, "read_large_records", lambda s, path, *more: (paths.append(path), read(s, path, *more))[1])
+    one = rows_of(files.json_large_document(spark, str(tmp_path)))
+    monkeypatch.setattr(files, "ORDERS_PER_DOCUMENT", 10)
+    assert rows_of(files.json_large_document(spark, str(tmp_path))) == one and len(one) == 96  # the row without a key is left out, as before
+    written = [spark.read.text(path, wholetext=True).collect() for path in paths]
+    assert [len(x) for x in written] == [1, 10]
+    for row in [r for x in written for r in x]:
+        assert list(json.loads(row["value"])) == ["made", "orders", "others"]

@@ -21,6 +21,7 @@ from .book import query
 from .tables import load
 
 LATIN = "ISO-8859-1"
+ORDERS_PER_DOCUMENT = 2_000_000
 
 
 def fresh(spark: SparkSession, name: str) -> str:
@@ -149,14 +150,23 @@ def csv_inferred_types(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT o_orderkey, o_totalprice, '}] "' || o_orderpriority || '\\ {' AS note, o_custkey FROM orders""",
 )
 def json_large_document(spark: SparkSession, sf: str) -> DataFrame:
-    """All orders as one document of one file, with braces and quotes in its texts; read by as many tasks as it has blocks."""
+    """All orders as one document of one file, with braces and quotes in its texts; read by as many tasks as it has blocks.
+
+    A file has one writer, so beyond ORDERS_PER_DOCUMENT orders there are more documents, each of them of many blocks.
+    """
     path = fresh(spark, "document")
     note = F.concat(F.lit('}] "'), "o_orderpriority", F.lit("\\ {")).alias("note")
     record = F.to_json(F.struct("o_orderkey", "o_totalprice", note, F.struct("o_custkey").alias("of")))
-    lines = load(spark, sf, "orders").select(F.concat(record, F.lit(",")).alias("value"))
-    head = spark.createDataFrame([('{"made": {"orders": [{"o_orderkey": -2}]}, "orders": [',)], lines.schema)
-    tail = spark.createDataFrame([('{"o_orderkey": -1}], "others": [{"o_orderkey": -3}]}',)], lines.schema)
-    head.union(lines).union(tail).coalesce(1).write.text(path)
+    orders = load(spark, sf, "orders")
+    documents = max(1, -(-orders.count() // ORDERS_PER_DOCUMENT))
+    lines = orders.select((F.monotonically_increasing_id() % documents).alias("document"), F.lit(1).alias("place"), F.concat(record, F.lit(",")).alias("value"))
+    frame = F.array(*[
+        F.struct(F.lit(place).alias("place"), F.lit(text).alias("value"))
+        for place, text in ((0, '{"made": {"orders": [{"o_orderkey": -2}]}, "orders": ['), (2, '{"o_orderkey": -1}], "others": [{"o_orderkey": -3}]}'))
+    ])
+    frames = spark.range(documents).select(F.col("id").alias("document"), F.inline(frame))
+    placed = frames.union(lines).repartition("document").sortWithinPartitions("document", "place")
+    placed.select("document", "value").write.partitionBy("document").text(path)
     columns = {"o_orderkey": "long", "o_totalprice": "double", "note": "string", "of": "struct<o_custkey: long>"}
     records = read_large_records(spark, path, columns, "orders")
     return records.where("o_orderkey <> -1").select("o_orderkey", "o_totalprice", "note", "of.o_custkey")

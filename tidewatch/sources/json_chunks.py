@@ -76,7 +76,7 @@ def _entry(rows: DataFrame, amount: str) -> DataFrame:
 def _running(rows: DataFrame, amount: str, name: str, frame: tuple) -> DataFrame:
     """rows with the sum of `amount` from the file's start: what comes with the block, and what has come in it."""
     within = F.coalesce(F.sum(amount).over(Window.partitionBy(*BLOCK).orderBy("place").rowsBetween(*frame)), F.lit(0))
-    return rows.join(_entry(rows, amount), BLOCK).withColumn(name, F.col("_entry") + within).drop("_entry")
+    return rows.join(F.broadcast(_entry(rows, amount)), BLOCK).withColumn(name, F.col("_entry") + within).drop("_entry")
 
 
 def _with_depth(fragments: DataFrame, field: str | None) -> DataFrame:
@@ -127,15 +127,18 @@ def _records(rows: DataFrame, depth: int, field: str | None) -> DataFrame:
 
 
 def _of_array(rows: DataFrame, field: str) -> DataFrame:
-    """The fragments of the field's array, the first one without what comes before the array."""
+    """The fragments of the field's array, the first one without what comes before the array.
+
+    What is known of a file is one row, sent to all tasks: fragments stay where they are, however many one file has.
+    """
     rows = rows.withColumn("_begin", _array_begin(field)).withColumn("_spot", F.struct("block", "place"))
     firsts = rows.where("_begin is not null").groupBy("file").agg(F.min("_spot").alias("_first"))
-    inside = rows.join(firsts, "file").where(F.col("_spot") >= F.col("_first"))
+    inside = rows.join(F.broadcast(firsts), "file").where(F.col("_spot") >= F.col("_first"))
     first = F.col("_spot") == F.col("_first")
     inside = inside.withColumn("text", F.when(first, F.substr("text", F.col("_begin") + 1)).otherwise(F.col("text")))
     # between its records, the first bracket that is not another record's ends the array
     between = first | (F.col("depth") - F.col("gained") == 2)
     mark = F.regexp_extract(_outside(F.col("text"), F.col("inside") & ~first), r"[\[\]{]", 0)
     over = inside.where(between & (mark == "]")).groupBy("file").agg(F.min("_spot").alias("_last"))
-    held = inside.join(over, "file", "left").where(F.col("_last").isNull() | (F.col("_spot") < F.col("_last")))
+    held = inside.join(F.broadcast(over), "file", "left").where(F.col("_last").isNull() | (F.col("_spot") < F.col("_last")))
     return held.drop("_begin", "_spot", "_first", "_last")
