@@ -162,6 +162,33 @@ def test_a_hot_directory_is_dealt_over_pieces(spark):
     assert key(few) == key(many) and few.columns == many.columns
 
 
+def test_directories_beyond_what_fits_are_not_broadcast(spark, monkeypatch, tmp_path):
+    """Files that are small do not mean that the driver can hold the directories: 16 copies of each are joined."""
+    placed = spark.createDataFrame([(k, f"{k % 7}/{k}.txt") for k in range(100)] + [(100, None)], "k int, path string").withColumn("_directory", license_scan.directory("path"))
+    nearest = spark.createDataFrame([(str(k), ("MIT", "")) for k in range(5)], "_directory string, _from struct<licence: string, holder: string>")
+    nearest.write.parquet(f"{tmp_path}/nearest")
+    nearest = spark.read.parquet(f"{tmp_path}/nearest")
+    key = lambda df: sorted(map(str, df.select("k", "path", "_directory", "_from").collect()))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    few, many = (license_scan._joined(placed, nearest, "path", n) for n in (5, 4))
+    assert key(few) == key(many) and "BroadcastHashJoin" in plan(few)
+    assert "SortMergeJoin" in plan(many) and "Broadcast" not in plan(many)
+    monkeypatch.setattr(license_scan, "LARGE", 10, raising=False)  # bytes, for long paths
+    wide = license_scan._joined(placed, nearest, "path", 5)
+    assert key(few) == key(wide) and "Broadcast" not in plan(wide)
+
+
+def test_inheritance_beyond_what_fits(spark, monkeypatch):
+    files = [("LICENSE", MIT), ("top", "x"), ("a/b/c/x", "x"), ("a/LICENSE", APACHE), ("a/y", "y"), ("a/b/COPYING", "nothing"), ("d//LICENSE", GPL), ("d//e/z", "z"), (None, "n"), (None, None), ("a/y", "y"), ("a/y", CC)]
+    source = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "k int, path string, text string")
+    few = sorted(scan(source).collect(), key=lambda r: r["k"])
+    monkeypatch.setattr(license_scan, "LARGE", -1, raising=False)
+    many = scan(source)
+    assert sorted(many.collect(), key=lambda r: r["k"]) == few and "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    want = expected([p for p, _ in files], [t for _, t in files])
+    assert [(r["own"], r["licence"], r["origin"], r["origin_directory"]) for r in few] == [(w[0], *w[2:]) for w in want]
+
+
 def test_very_long_texts(spark):
     files = spark.createDataFrame([(1, "word " * 600_000 + "\n\n" + APACHE), (2, "license " * 400_000), (3, "x" * 3_000_000)], "k int, text string")
     assert {r["k"]: r["own"] for r in own_licences(files).collect()} == {1: "Apache-2.0", 2: None, 3: None}

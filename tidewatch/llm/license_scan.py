@@ -34,6 +34,7 @@ MARGIN = 0.01  # a unit that is about as near to another licence names none
 EXACT = 0.9999
 UNITS = 2048  # units compared at a time
 FEW = 200_000  # directories whose licences are broadcast; more are joined piece by piece
+LARGE = 32 << 20  # bytes of their paths and licences, beyond which fewer are joined piece by piece, too
 PIECES = 16
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 FOUND = "own string, score double"
@@ -212,13 +213,14 @@ def inherited(owned: DataFrame, *, path: str = "path", is_licence_file: Column |
     placed = owned.withColumn("_directory", directory(path))
     files = placed.where(is_licence_file & F.col("own").isNotNull() & F.col("_directory").isNotNull())
     best = F.min(F.struct((-F.col("score")).alias("s"), F.col(path).alias("p"), F.col("own").alias("own")))
-    holders = files.groupBy(F.col("_directory").alias("holder")).agg(best.alias("b")).select("holder", F.col("b.own").alias("licence"))
+    holders = staged(files.groupBy(F.col("_directory").alias("holder")).agg(best.alias("b")).select("holder", F.col("b.own").alias("licence")), "holders")
 
     folders = placed.select("_directory").where("_directory is not null").distinct()
     parts = F.split("_directory", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     above = folders.select("_directory", F.posexplode(F.array_distinct(ancestors)).alias("depth", "holder"))
-    nearest = staged(above.join(holders, "holder").groupBy("_directory").agg(F.max_by(F.struct("licence", "holder"), "depth").alias("_from")), "nearest")
+    held = _joined(above, holders, "_directory", key="holder", how="inner")
+    nearest = staged(held.groupBy("_directory").agg(F.max_by(F.struct("licence", "holder"), "depth").alias("_from")), "nearest")
     joined = _joined(placed, nearest, path)
     has, found = F.col("own").isNotNull(), F.col("_from").isNotNull()
     return joined.select(
@@ -229,16 +231,23 @@ def inherited(owned: DataFrame, *, path: str = "path", is_licence_file: Column |
     )
 
 
-def _joined(placed: DataFrame, nearest: DataFrame, path: str, few: int = FEW) -> DataFrame:
-    """placed with the licence nearest to each directory. A directory may hold any share of the files.
+def _fits(table: DataFrame, few: int) -> bool:
+    """Whether a stored table may go through the driver's memory: its rows and bytes are counted, as its files say little about them."""
+    n, size = table.agg(F.count("*"), F.sum(F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns])))).first()
+    return n <= few and (size or 0) <= LARGE
 
-    Few directories are broadcast, after they are counted; for more, the files of a directory are dealt over PIECES.
+
+def _joined(rows: DataFrame, directories: DataFrame, path: str, few: int = FEW, key: str = "_directory", how: str = "left") -> DataFrame:
+    """rows (files, or directories with an ancestor) with what is known of a directory each. A directory may hold any share of the rows.
+
+    Few directories are broadcast, after they are counted; for more, the rows of a directory are dealt by path over PIECES.
+    These are merged whatever Spark expects of their size: it takes that from the files, without the copies for the pieces.
     """
-    if nearest.count() <= few:
-        return placed.join(F.broadcast(nearest), "_directory", "left")
-    dealt = placed.withColumn("_piece", F.when(F.col("_directory").isNotNull(), F.pmod(F.xxhash64(path), F.lit(PIECES)).cast("int")))
-    every = nearest.withColumn("_piece", F.explode(F.array(*[F.lit(k) for k in range(PIECES)])))
-    return dealt.join(every, ["_directory", "_piece"], "left").drop("_piece")
+    if _fits(directories, few):
+        return rows.join(F.broadcast(directories), key, how)
+    dealt = rows.withColumn("_piece", F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(path), F.lit(PIECES)).cast("int")))
+    every = directories.withColumn("_piece", F.explode(F.array(*[F.lit(k) for k in range(PIECES)])))
+    return dealt.join(every.hint("merge"), [key, "_piece"], how).drop("_piece")
 
 
 def scan(files: DataFrame, *, path: str = "path", text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
